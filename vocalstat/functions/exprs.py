@@ -137,23 +137,26 @@ def int_or_null(c: str | Column) -> Column:
 
 
 def bin_index(value: str | Column, edges: Sequence[float], closed_last: bool = True,
-              truncate: bool = True) -> Column:
+              truncate: bool = True, drop_first: bool = False, sentinel: int | None = None) -> Column:
     """0-based bin of a value over fixed edges.
 
     Bins are [e_i, e_i+1); the last one also holds e_m when ``closed_last``
-    (numpy form) and not otherwise (``cut`` / vote form). Values below the
-    first edge, above the range, and nulls give null. With ``truncate`` the
-    value is first cut toward zero (P17), as the published statistics do.
+    (numpy form) and not otherwise (``cut`` / vote form). With ``drop_first``
+    the first bin is not reported and the others are renumbered from 0.
+    Values outside the range, values in a dropped bin, and nulls give
+    ``sentinel`` (null by default). With ``truncate`` the value is first cut
+    toward zero (P17), as the published statistics do.
     """
     x = truncate_long(value) if truncate else col(value)
     m = len(edges) - 1
-    null = F.lit(None).cast("int")
-    expr = F.when(x.isNull() | (x < F.lit(edges[0])), null)
-    for i in range(m):
-        expr = expr.when(x < F.lit(edges[i + 1]), F.lit(i))
+    first = 1 if drop_first else 0
+    out = F.lit(sentinel).cast("int")
+    expr = F.when(x.isNull() | (x < F.lit(edges[first])), out)
+    for i in range(first, m):
+        expr = expr.when(x < F.lit(edges[i + 1]), F.lit(i - first))
     if closed_last:
-        expr = expr.when(x == F.lit(edges[m]), F.lit(m - 1))
-    return expr.otherwise(null)
+        expr = expr.when(x == F.lit(edges[m]), F.lit(m - 1 - first))
+    return expr.otherwise(out)
 
 
 def unify_clips(df: DataFrame, lc: str | Column | None = None) -> DataFrame:

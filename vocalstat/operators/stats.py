@@ -169,11 +169,24 @@ def counts_summary(df: DataFrame, keys: Sequence[str], item: str | Column, prefi
 # A2 / A3 histograms over fixed edges
 # --------------------------------------------------------------------------
 
-def _grid(groups: DataFrame, keys: Sequence[str], edges: Sequence[float], first: int,
-          m: int, edge_set: int | None = None) -> DataFrame:
-    cells = [F.struct(F.lit(i - first).alias("bin"), F.lit(edges[i]).alias("lo")) for i in range(first, m)]
-    g = groups.select(*keys, F.inline(F.array(*cells)))
-    return g if edge_set is None else g.withColumn("_set", F.lit(edge_set))
+_OUT = -1  # bin number of values outside the reported bins
+
+
+def _dense_from_counts(counts: DataFrame, keys: Sequence[str], n_bins: int, count: str,
+                       lo: Column, extra: Sequence[str] = ()) -> DataFrame:
+    """(keys, bin, _c) -> dense (keys, bin, lo, count) over bins 0..n_bins-1.
+
+    Densified per group through a map bin -> count (at most n_bins + 1 entries)
+    instead of a join on the bin: a join key on a derived bin would make the
+    optimizer infer ``isnotnull(bin)`` and push that CASE below the aggregate.
+    """
+    per_group = counts.groupBy(*keys, *extra).agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "_c"))).alias("_m"))
+    dense = per_group.select(
+        *keys, *extra,
+        F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(n_bins - 1)),
+                                 lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0)))).alias("bin", count))
+    return dense.select(*keys, "bin", lo.cast("long").alias("lo"), F.col(count).cast("long").alias(count))
 
 
 def histogram_from_counts(vc: DataFrame, keys: Sequence[str], value: str, weight: str | None,
@@ -183,25 +196,26 @@ def histogram_from_counts(vc: DataFrame, keys: Sequence[str], value: str, weight
     """A2/A3 in long form: (keys, bin, lo, cnt), dense over the fixed bins.
 
     Rows are binned where they are (one CASE per row, inside codegen), summed
-    per (keys, bin) with map-side partial aggregation, then densified against
-    the literal bin list of each group (explode of a fixed-size array, no join
-    fan-out). ``groups`` lists the groups to report (default: groups present).
+    per (keys, bin) with map-side partial aggregation, then densified per group
+    against the literal bin list. Groups without rows produce no rows (F8)
+    unless ``groups`` lists them, in which case they get all-zero bins.
     """
     vc, keys = _keys(vc, keys)
-    if groups is not None and keys == [_G]:
-        groups = groups.withColumn(_G, F.lit(0))
     m = len(edges) - 1
     first = 1 if drop_first else 0
     wt = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    counts = (vc.select(*keys, (bin_index(value, edges, closed_last, truncate) - F.lit(first)).alias("bin"),
-                        wt.alias("_w"))
-              .where(F.col("bin") >= 0)
-              .groupBy(*keys, "bin").agg(F.sum("_w").alias(count)))
-    if groups is None:
-        groups = vc.select(*keys).distinct()
-    dense = _grid(groups, keys, edges, first, m).join(counts, [*keys, "bin"], "left")
-    return _drop_g(dense.select(*keys, "bin", F.col("lo").cast("long").alias("lo"),
-                                F.coalesce(F.col(count), F.lit(0)).cast("long").alias(count)))
+    b = bin_index(value, edges, closed_last, truncate, drop_first, sentinel=_OUT)
+    counts = vc.select(*keys, b.alias("bin"), wt.alias("_w")).groupBy(*keys, "bin").agg(F.sum("_w").alias("_c"))
+    los = F.array(*[F.lit(e) for e in edges[first:m]])
+    dense = _dense_from_counts(counts, keys, m - first, count, F.element_at(los, F.col("bin") + 1))
+    if groups is not None:
+        if keys == [_G]:
+            groups = groups.withColumn(_G, F.lit(0))
+        empty = (groups.select(*keys).join(counts.select(*keys).distinct(), keys, "left_anti")
+                 .select(*keys, F.posexplode(los).alias("bin", "lo"))
+                 .select(*keys, "bin", F.col("lo").cast("long").alias("lo"), F.lit(0).cast("long").alias(count)))
+        dense = dense.unionByName(empty)
+    return _drop_g(dense)
 
 
 def histogram(df: DataFrame, keys: Sequence[str], value: str | Column, edges: Sequence[float],
@@ -210,8 +224,6 @@ def histogram(df: DataFrame, keys: Sequence[str], value: str | Column, edges: Se
     """A2 over raw rows (bin index per row, then ``groupBy(keys, bin)``)."""
     v = F.col(value) if isinstance(value, str) else value
     src = df.select(*keys, v.alias("_val"))
-    if groups is None:
-        groups = df.select(*keys).distinct() if keys else None
     return histogram_from_counts(src, keys, "_val", None, edges, closed_last, drop_first,
                                  truncate, groups, count)
 
@@ -222,8 +234,9 @@ def adaptive_histogram_from_counts(vc: DataFrame, keys: Sequence[str], value: st
                                    truncate: bool = True, count: str = "cnt") -> DataFrame:
     """Data-dependent bins (A11, C1, C2): ``choice`` = (keys, use_low boolean) per group.
 
-    The chosen edge set is joined onto the (small) value-count table, never onto
-    raw rows; both edge sets must have the same number of bins.
+    The chosen edge set is joined onto the value-count table by group key (a
+    table with one row per group), never onto raw rows; both edge sets must
+    have the same number of bins.
     """
     assert len(low_edges) == len(high_edges)
     vc, keys = _keys(vc, keys)
@@ -232,18 +245,20 @@ def adaptive_histogram_from_counts(vc: DataFrame, keys: Sequence[str], value: st
     m = len(low_edges) - 1
     wt = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     j = vc.join(choice.select(*keys, "use_low"), keys)
-    b = F.when(F.col("use_low"), bin_index(value, low_edges, closed_last, truncate)).otherwise(
-        bin_index(value, high_edges, closed_last, truncate))
-    counts = (j.select(*keys, b.alias("bin"), wt.alias("_w")).where(F.col("bin").isNotNull())
-              .groupBy(*keys, "bin").agg(F.sum("_w").alias(count)))
+    b = F.when(F.col("use_low"), bin_index(value, low_edges, closed_last, truncate, sentinel=_OUT)).otherwise(
+        bin_index(value, high_edges, closed_last, truncate, sentinel=_OUT))
+    counts = (j.select(*keys, "use_low", b.alias("bin"), wt.alias("_w"))
+              .groupBy(*keys, "use_low", "bin").agg(F.sum("_w").alias("_c")))
     lo_low = F.array(*[F.lit(e) for e in low_edges[:-1]])
     lo_high = F.array(*[F.lit(e) for e in high_edges[:-1]])
-    grid = (choice.select(*keys, "use_low", F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("bin"))
-            .withColumn("lo", F.when(F.col("use_low"), F.element_at(lo_low, F.col("bin") + 1))
-                        .otherwise(F.element_at(lo_high, F.col("bin") + 1))))
-    dense = grid.join(counts, [*keys, "bin"], "left")
-    return _drop_g(dense.select(*keys, "bin", F.col("lo").cast("long").alias("lo"),
-                                F.coalesce(F.col(count), F.lit(0)).cast("long").alias(count)))
+    per_group = counts.groupBy(*keys, "use_low").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "_c"))).alias("_m"))
+    dense = per_group.select(
+        *keys, "use_low",
+        F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(m - 1)),
+                                 lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0)))).alias("bin", count))
+    lo = F.when(F.col("use_low"), F.element_at(lo_low, F.col("bin") + 1)).otherwise(F.element_at(lo_high, F.col("bin") + 1))
+    return _drop_g(dense.select(*keys, "bin", lo.cast("long").alias("lo"), F.col(count).cast("long").alias(count)))
 
 
 def to_array(long_df: DataFrame, keys: Sequence[str], index: str, value: str, name: str) -> DataFrame:

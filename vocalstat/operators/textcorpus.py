@@ -53,8 +53,7 @@ def word_stats(df: DataFrame, keys: Sequence[str], word_cnt: str = "word_cnt") -
     """w_sum/avg/med/std and the words histogram (first bin dropped)."""
     vc = stats.value_counts(df, keys, word_cnt, name="_v", count="_w")
     summ = stats.summary_from_counts(vc, keys, "_v", "_w", "w")
-    hist = stats.histogram_from_counts(vc, keys, "_v", "_w", bins.WORDS, drop_first=True,
-                                       groups=summ.select(*keys) if keys else None)
+    hist = stats.histogram_from_counts(vc, keys, "_v", "_w", bins.WORDS, drop_first=True)
     return summ.withColumn("w_sum", F.col("w_sum").cast("long")), hist
 
 
@@ -70,8 +69,7 @@ def token_stats(freq: DataFrame, keys: Sequence[str], count: str = "count") -> t
     distinct = freq.groupBy(*keys).agg(F.count(F.lit(1)).alias("t_sum")) if keys else \
         freq.agg(F.count(F.lit(1)).alias("t_sum"))
     summ = summ.join(distinct, list(keys)) if keys else summ.crossJoin(distinct)
-    hist = stats.histogram_from_counts(vc, keys, "_v", "_w", bins.TOKENS, drop_first=True,
-                                       groups=distinct.select(*keys) if keys else None)
+    hist = stats.histogram_from_counts(vc, keys, "_v", "_w", bins.TOKENS, drop_first=True)
     return summ, hist
 
 

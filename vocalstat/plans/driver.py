@@ -15,9 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocalstat.functions import bins
-from vocalstat.functions.exprs import char_count, normalise, tokenise, word_count
-from vocalstat.operators import stats, textcorpus
+from vocalstat.functions import bins, dims
+from vocalstat.functions.exprs import (char_count, gender_backmap, nodata, normalise, rint3, tokenise,
+                                       word_count)
+from vocalstat.operators import audio, matrix, membership, reported, speed, splits, stats, textcorpus
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -124,6 +125,378 @@ def tc_record(spark, sf_dir):
     return textcorpus.text_corpus_stats(d, ["lang", "source"], top=100)
 
 
+# ---------------------------------------------------------------- clips (events)
+
+# Stand-in labels derived from user_id: AGE_LABELS[user_id % 11] (null = no answer,
+# 'centenarian' = a label outside the fixed list); GENDER_LABELS[user_id % 7].
+AGE_LABELS = dims.AGES[:9] + [None, "centenarian"]
+GENDER_LABELS = ["male_masculine", "female", "non-binary", "male", "female_feminine", None, "undisclosed"]
+
+
+def _pick(labels, idx):
+    return F.element_at(F.array(*[F.lit(x).cast("string") for x in labels]), (idx + F.lit(1)).cast("int"))
+
+
+def clips(spark, sf_dir):
+    """events as clip rows: sp = event_type, client = user_id, path = event_id, sentence = props."""
+    e = load(spark, sf_dir, "events")
+    return e.select(
+        F.col("event_type").alias("sp"),
+        F.col("user_id").cast("string").alias("client_id"),
+        F.col("event_id").alias("path"),
+        F.col("props").alias("sentence"),
+        F.lower("props").alias("sentence_lower"),
+        nodata(_pick(AGE_LABELS, F.pmod("user_id", F.lit(11)))).alias("age"),
+        gender_backmap(nodata(_pick(GENDER_LABELS, F.pmod("user_id", F.lit(7))))).alias("gender"),
+        F.col("value"))
+
+
+def uniques(spark, sf_dir):
+    """Clips, uq_v, uq_s, uq_sl per event type."""
+    return splits.basic_counts(clips(spark, sf_dir), ["sp"])
+
+
+def uniques_nullable(spark, sf_dir):
+    """A6 vs A7 on a column with nulls (documents left join labels)."""
+    d = load(spark, sf_dir, "documents").join(load(spark, sf_dir, "labels"), "doc_id", "left")
+    return d.groupBy("lang").agg(stats.distinct_with_null("quality").alias("uq_with_null"),
+                                 stats.distinct_non_null("quality").alias("uq_non_null"),
+                                 stats.distinct_with_null("toxic").alias("uq_toxic"))
+
+
+def recs_per_voice(spark, sf_dir):
+    """Recordings per voice (user) per event type: v_avg, v_med, v_std."""
+    s, _ = splits.per_item_stats(clips(spark, sf_dir), ["sp"], "client_id", "v", bins.VOICES)
+    return s
+
+
+def recs_per_voice_hist(spark, sf_dir):
+    """A26 histogram: VOICES bins, first bin dropped."""
+    _, h = splits.per_item_stats(clips(spark, sf_dir), ["sp"], "client_id", "v", bins.VOICES)
+    return h
+
+
+def recs_per_sentence(spark, sf_dir):
+    """Recordings (documents) per sentence text per language."""
+    d = load(spark, sf_dir, "documents")
+    s, _ = splits.per_item_stats(d, ["lang"], "text", "s", bins.SENTENCES)
+    return s
+
+
+def recs_per_sentence_hist(spark, sf_dir):
+    """A27 histogram: SENTENCES bins, first bin dropped."""
+    d = load(spark, sf_dir, "documents")
+    _, h = splits.per_item_stats(d, ["lang"], "text", "s", bins.SENTENCES)
+    return h
+
+
+def demographics_matrix(spark, sf_dir):
+    """A8 / A29 recordings: (sp, age, gender, n) over AGES+TOTAL x GENDERS+TOTAL."""
+    rec, _ = splits.demographics(clips(spark, sf_dir), ["sp"])
+    return rec.drop("_ri", "_ci")
+
+
+def demographics_unique(spark, sf_dir):
+    """A29 unique voices: distinct (voice, age, gender) rows in the same matrix."""
+    _, uq = splits.demographics(clips(spark, sf_dir), ["sp"])
+    return uq.drop("_ri", "_ci")
+
+
+def clips_union(spark, sf_dir):
+    """Main buckets counted in their own bucket and in 'clips'; other types are splits of 's1'."""
+    c = clips(spark, sf_dir)
+    bucket = {"view": ("", "validated"), "click": ("", "invalidated"), "signup": ("", "other"),
+              "purchase": ("s1", "train"), "error": ("s1", "dev")}
+    m = F.create_map(*[x for k, (a, b) in bucket.items() for x in (F.lit(k), F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")))])
+    c = c.withColumn("_ab", F.element_at(m, F.col("sp"))).select(
+        F.col("_ab")["a"].alias("alg"), F.col("_ab")["b"].alias("sp"), "client_id")
+    u = splits.with_all_clips(c)
+    return u.groupBy("alg", "sp").agg(F.count(F.lit(1)).alias("clips"), stats.distinct_with_null("client_id").alias("uq_v"))
+
+
+# ---------------------------------------------------------------- votes, durations (lineitem)
+
+def votes(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem")
+    return li.select("l_returnflag", F.col("l_linenumber").alias("up_votes"),
+                     F.col("l_quantity").cast("int").alias("down_votes"))
+
+
+def vote_stats(spark, sf_dir):
+    """A28 (Q3): sums, and avg/med/std over counts of distinct vote values."""
+    v = votes(spark, sf_dir)
+    up, _ = splits.vote_stats(v, ["l_returnflag"], "up_votes", "uv", bins.VOTES_UP)
+    down, _ = splits.vote_stats(v, ["l_returnflag"], "down_votes", "dv", bins.VOTES_DOWN)
+    return up.join(down, "l_returnflag")
+
+
+def vote_hist(spark, sf_dir):
+    """A3: half-open vote bins (last bin open), per clip, both vote kinds."""
+    v = votes(spark, sf_dir)
+    _, up = splits.vote_stats(v, ["l_returnflag"], "up_votes", "uv", bins.VOTES_UP)
+    _, down = splits.vote_stats(v, ["l_returnflag"], "down_votes", "dv", bins.VOTES_DOWN)
+    return up.withColumn("kind", F.lit("up")).unionByName(down.withColumn("kind", F.lit("down")))
+
+
+def timed_lines(spark, sf_dir):
+    """Lineitem clips with a duration looked up from orders (ms = floor(o_totalprice))."""
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", "l_quantity",
+                                                "l_extendedprice")
+    o = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("clip"),
+                                             F.floor("o_totalprice").alias("duration_ms"))
+    return splits.attach_durations(li, o, on_clip="l_orderkey", lc=None, ver=None)
+
+
+def duration_lookup(spark, sf_dir):
+    """J5 + A25: dur_total/avg/med/std in seconds per return flag."""
+    s, _ = splits.duration_stats(timed_lines(spark, sf_dir), ["l_returnflag"])
+    return s
+
+
+def duration_hist(spark, sf_dir):
+    """A25 histogram: DURATION bins over truncated seconds."""
+    _, h = splits.duration_stats(timed_lines(spark, sf_dir), ["l_returnflag"])
+    return h
+
+
+# ---------------------------------------------------------------- char speed (lineitem)
+
+def speed_rows(spark, sf_dir):
+    """C: duration = l_extendedprice / 20000 s, sentence length = l_quantity characters."""
+    li = load(spark, sf_dir, "lineitem")
+    df = li.select("l_returnflag", "l_linestatus", (F.col("l_extendedprice") / F.lit(20000.0)).alias("duration"),
+                   F.col("l_quantity").cast("int").alias("qty"))
+    return speed.with_speed(df, "duration", length="qty")
+
+
+def speed_stats(spark, sf_dir):
+    """cs_avg, cs_med, cs_std and the bin choices per group."""
+    ch = speed.speed_choice(speed_rows(spark, sf_dir), ["l_returnflag"])
+    return ch.select("l_returnflag", "cs_avg", "cs_med", "cs_std", "use_low_cs", "use_short_len")
+
+
+def speed_hist(spark, sf_dir):
+    """C1 cs_freq: dense half-open histogram over the chosen speed bins."""
+    df = speed_rows(spark, sf_dir)
+    return speed.speed_histogram(df, ["l_returnflag"], speed.speed_choice(df, ["l_returnflag"]))
+
+
+def speed_crosstab(spark, sf_dir):
+    """Speed bin x length bin, observed cells."""
+    df = speed_rows(spark, sf_dir)
+    b = speed.binned(df, ["l_returnflag"], speed.speed_choice(df, ["l_returnflag"]))
+    return speed.speed_vs_length(b, ["l_returnflag"])
+
+
+def speed_by_status(spark, sf_dir):
+    """Speed bin x a fixed label list (line status O, F), columns dense."""
+    df = speed_rows(spark, sf_dir)
+    b = speed.binned(df, ["l_returnflag"], speed.speed_choice(df, ["l_returnflag"]))
+    return speed.speed_vs(b, ["l_returnflag"], "l_linestatus", ["O", "F"])
+
+
+# ---------------------------------------------------------------- audio quality (events)
+
+def spec_rows(spark, sf_dir):
+    """events as audio specs: est_snr = value - 2, speech_power = value * 1e-6."""
+    e = load(spark, sf_dir, "events")
+    return e.select("event_id", "event_type", "user_id", "value",
+                    (F.col("value") - F.lit(2.0)).alias("est_snr"),
+                    (F.col("value") * F.lit(1e-6)).alias("speech_power"))
+
+
+def bad_counts(spark, sf_dir):
+    """Clips, no speech, low SNR, low power per event type."""
+    q = audio.quality_counts(spec_rows(spark, sf_dir).withColumn("duration", F.lit(None).cast("long")), ["event_type"])
+    return q.drop("dur")
+
+
+def bad_rows(spark, sf_dir):
+    """Distinct bad rows (no speech or low SNR or low power)."""
+    b = audio.bad_clips(spec_rows(spark, sf_dir), ["event_type"], main_buckets_only=False)
+    return b.select("event_id", "event_type", "user_id", "value")
+
+
+def snr_stats(spark, sf_dir):
+    """A37 with the distributed exact median (range-partitioned selection)."""
+    s, _ = audio.measure_stats(spec_rows(spark, sf_dir), ["event_type"], "snr")
+    return s
+
+
+def snr_hist(spark, sf_dir):
+    """A37 histogram: SNR bins, truncated values, first bin dropped."""
+    _, h = audio.measure_stats(spec_rows(spark, sf_dir), ["event_type"], "snr")
+    return h
+
+
+def value_distributions(spark, sf_dir):
+    """Labels (as text) and counts of three lineitem columns per return flag."""
+    li = load(spark, sf_dir, "lineitem").select(
+        "l_returnflag", F.col("l_linenumber").alias("orig_encoding"), F.col("l_linestatus").alias("orig_num_channels"),
+        F.col("l_quantity").cast("long").alias("orig_sample_rate"), F.col("l_tax").cast("string").alias("orig_bitrate_kbps"))
+    return audio.value_distributions(li.withColumn("orig_bitrate_kbps", F.lit(None).cast("string")), ["l_returnflag"])
+
+
+# ---------------------------------------------------------------- reported (conversations)
+
+REASONS = ["user", "assistant", "moderator"]
+
+
+def reports(spark, sf_dir):
+    c = load(spark, sf_dir, "conversations")
+    return c.select(F.col("conv_id").alias("sentence_id"), F.col("role").alias("reason"))
+
+
+def reported_stats(spark, sf_dir):
+    """A20 + A21: rep_sum, rep_sen, avg/med/std of reports per sentence."""
+    r = reports(spark, sf_dir)
+    s, _ = reported.reports_per_sentence(r, [])
+    return reported.report_counts(r, []).crossJoin(s)
+
+
+def reported_hist(spark, sf_dir):
+    """A21 histogram: REPORTED bins, first bin dropped."""
+    _, h = reported.reports_per_sentence(reports(spark, sf_dir), [])
+    return h
+
+
+def reason_freq(spark, sf_dir):
+    """Reasons in fixed order, everything else 'other'."""
+    return reported.reason_frequency(reports(spark, sf_dir), [], base=REASONS)
+
+
+# ---------------------------------------------------------------- matrix (lineitem x supplier x nation)
+
+def split_results(spark, sf_dir):
+    """Split-statistics stand-in: per (lc = supplier nation, ver = ship year) a validated
+    bucket row (dur_total = 100 s per unit of quantity) and algorithm rows (alg = return flag)."""
+    li = load(spark, sf_dir, "lineitem")
+    sup = load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    nat = load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("lc"))
+    rows = li.join(sup, "l_suppkey").join(nat, "s_nationkey").select(
+        "lc", F.year("l_shipdate").cast("string").alias("ver"), "l_returnflag", "l_linestatus", "l_quantity")
+    bucket = rows.groupBy("lc", "ver").agg((F.sum("l_quantity") * F.lit(100.0)).alias("dur_total")) \
+        .select("lc", "ver", F.lit("").alias("alg"), F.lit("validated").alias("sp"), "dur_total")
+    algo = rows.select("lc", "ver", F.col("l_returnflag").alias("alg"), F.col("l_linestatus").alias("sp"),
+                       F.lit(None).cast("double").alias("dur_total")).distinct()
+    return bucket.unionByName(algo)
+
+
+def support_matrix(spark, sf_dir):
+    """(lc, ver, cell) for every nation; cell = hours|algorithms, left join from all locales."""
+    cells = matrix.support_cells(split_results(spark, sf_dir), versions=None)
+    nations = load(spark, sf_dir, "nation").select(F.col("n_name").alias("lc"))
+    return nations.join(cells, "lc", "left")
+
+
+def support_matrix_counts(spark, sf_dir):
+    """Totals over the combined split statistics."""
+    return matrix.combined_counts(split_results(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- joins (documents, labels, orders)
+
+def corpus(spark, sf_dir):
+    d = load(spark, sf_dir, "documents")
+    return d.select(F.col("lang").alias("lc"), F.col("doc_id").cast("string").alias("sentence_id"),
+                    F.col("text").alias("sentence"), "source")
+
+
+def split_membership(spark, sf_dir):
+    """Corpus rows used by each split (source); even-numbered sources are a version
+    with usable ids (match by id), odd ones an older version (match by text)."""
+    c = corpus(spark, sf_dir)
+    num = F.regexp_extract("source", r"(\d+)$", 1).cast("int")
+    sp = c.select("lc", "sentence_id", "sentence", F.col("source").alias("sp"),
+                  F.when(F.pmod(num, F.lit(2)) == 0, F.lit("20.0")).otherwise(F.lit("16.1")).alias("ver"))
+    used = membership.corpus_rows_of_splits(c.drop("source"), sp, split_keys=("sp",))
+    return used.groupBy("ver", "lc", "sp").agg(F.count(F.lit(1)).alias("n_rows"),
+                                               F.count_distinct("sentence").alias("n_text"))
+
+
+def labeled_texts(spark, sf_dir):
+    d = load(spark, sf_dir, "documents")
+    return d.join(load(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi").select("lang", "text")
+
+
+def found_texts(spark, sf_dir):
+    """Documents whose (lang, text) occurs among labeled documents (semi) and not (anti)."""
+    d = load(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    ref = labeled_texts(spark, sf_dir)
+    f = membership.found(d, ref, ["lang", "text"]).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    nf = membership.not_found(d, ref, ["lang", "text"]).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    return f.withColumn("found", F.lit(True)).unionByName(nf.withColumn("found", F.lit(False)))
+
+
+def new_sentences(spark, sf_dir):
+    """Documents not yet in the corpus (labels) by id, counted per language."""
+    d = load(spark, sf_dir, "documents")
+    return membership.new_rows(d, load(spark, sf_dir, "labels"), ["doc_id"]).groupBy("lang") \
+        .agg(F.count(F.lit(1)).alias("n_new"))
+
+
+def version_filter(spark, sf_dir):
+    """Corpus restricted to a version index (labels: ver = 'q' || quality)."""
+    c = load(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    idx = load(spark, sf_dir, "labels").select("doc_id", F.concat(F.lit("q"), F.col("quality").cast("string")).alias("ver"))
+    r = membership.restrict_to_index(c, idx, on=["doc_id"])
+    return r.groupBy("ver", "lang").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("text").alias("n_text"))
+
+
+def specs_upto_version(spark, sf_dir):
+    """Per dataset (customer nation, order year), the lines of the same nation
+    (supplier side) shipped in that year or earlier. Facts are pre-aggregated per
+    (lc, year) before the range condition, so the range join is over small tables."""
+    li = load(spark, sf_dir, "lineitem")
+    sup = load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("lc"))
+    facts = (li.join(sup, "l_suppkey").groupBy("lc", F.year("l_shipdate").alias("ord"))
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q")))
+    o = load(spark, sf_dir, "orders").join(
+        load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("lc")), "o_custkey")
+    datasets = o.select("lc", F.year("o_orderdate").alias("ver")).distinct()
+    j = datasets.join(facts, "lc").where(F.col("ord") <= F.col("ver"))
+    return j.groupBy("lc", "ver").agg(F.sum("n").cast("long").alias("n"), rint3(F.sum("q")).alias("q"))
+
+
+def incremental_work(spark, sf_dir):
+    """Work items (ver = order day, lc = priority) minus the items already done
+    (a day/priority on which a returned line was shipped)."""
+    o = load(spark, sf_dir, "orders")
+    li = load(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
+    possible = o.select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("ver"), F.col("o_orderpriority").alias("lc"))
+    done = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("ver"), F.col("o_orderpriority").alias("lc"))
+    return membership.work_left(possible, done)
+
+
+# ---------------------------------------------------------------- variants / accents (part)
+
+VARIANT_PRESETS = [("eco", "ECONOMY"), ("std", "STANDARD"), ("lg", "LARGE"), ("sm", "SMALL")]
+ACCENT_PRESETS = [("SM", "small"), ("RD", "red"), ("BL", "blue"), ("HT", "hot"), ("SMR", "small ring")]
+
+
+def _per_brand_presets(part, rows, code_name):
+    cells = [F.struct(F.lit(c).alias(code_name), F.lit(t).alias("text"), F.lit(i).alias("ord"))
+             for i, (c, t) in enumerate(rows)]
+    return part.select(F.col("p_brand").alias("lc")).distinct().select("lc", F.inline(F.array(*cells)))
+
+
+def variant_freq(spark, sf_dir):
+    """V1: variant codes (exact text match), recordings and distinct sizes per brand."""
+    p = load(spark, sf_dir, "part")
+    rows = p.select(F.col("p_brand").alias("lc"), F.col("p_type").alias("variant"),
+                    F.col("p_size").cast("string").alias("client_id"))
+    return splits.variant_counts(rows, ["lc"], _per_brand_presets(p, VARIANT_PRESETS, "code"))
+
+
+def accent_freq(spark, sf_dir):
+    """V2: accents from part names split on spaces; whole preset values first, unknown pieces 'other'."""
+    p = load(spark, sf_dir, "part")
+    rows = p.select(F.col("p_brand").alias("lc"), F.col("p_name").alias("accents"),
+                    F.col("p_size").cast("string").alias("client_id"))
+    return splits.accent_counts(rows, ["lc"], _per_brand_presets(p, ACCENT_PRESETS, "token"), sep=" ")
+
+
 QUERIES = {
     "char_stats_by_lang": char_stats_by_lang,
     "char_hist_by_lang": char_hist_by_lang,
@@ -137,4 +510,39 @@ QUERIES = {
     "grapheme_topk": grapheme_topk,
     "valid_sentences": text_counts,
     "tc_record": tc_record,
+    "uniques": uniques,
+    "uniques_nullable": uniques_nullable,
+    "recs_per_voice": recs_per_voice,
+    "recs_per_voice_hist": recs_per_voice_hist,
+    "recs_per_sentence": recs_per_sentence,
+    "recs_per_sentence_hist": recs_per_sentence_hist,
+    "demographics_matrix": demographics_matrix,
+    "demographics_unique": demographics_unique,
+    "clips_union": clips_union,
+    "vote_stats": vote_stats,
+    "vote_hist": vote_hist,
+    "duration_lookup": duration_lookup,
+    "duration_hist": duration_hist,
+    "speed_stats": speed_stats,
+    "speed_hist": speed_hist,
+    "speed_crosstab": speed_crosstab,
+    "speed_by_status": speed_by_status,
+    "bad_counts": bad_counts,
+    "bad_rows": bad_rows,
+    "snr_stats": snr_stats,
+    "snr_hist": snr_hist,
+    "value_distributions": value_distributions,
+    "reported_stats": reported_stats,
+    "reported_hist": reported_hist,
+    "reason_freq": reason_freq,
+    "support_matrix": support_matrix,
+    "support_matrix_counts": support_matrix_counts,
+    "split_membership": split_membership,
+    "found_texts": found_texts,
+    "new_sentences": new_sentences,
+    "version_filter": version_filter,
+    "specs_upto_version": specs_upto_version,
+    "incremental_work": incremental_work,
+    "variant_freq": variant_freq,
+    "accent_freq": accent_freq,
 }
