@@ -497,6 +497,35 @@ def accent_freq(spark, sf_dir):
     return splits.accent_counts(rows, ["lc"], _per_brand_presets(p, ACCENT_PRESETS, "token"), sep=" ")
 
 
+# ---------------------------------------------------------------- row repair (documents)
+
+def rendered_lines(spark, sf_dir):
+    """documents rendered as one TAB line each (64-char id, text, lang, source, 1, n_chars)
+    and cut at the newlines their texts contain: (file, ln, value) with dense ln."""
+    from vocalstat.operators.seq import prefix_sum
+    d = load(spark, sf_dir, "documents")
+    line = F.concat_ws("\t", F.lpad(F.col("doc_id").cast("string"), 64, "0"), "text", "lang", "source", F.lit("1"),
+                       F.col("n_chars").cast("string"))
+    docs = d.select(F.lit("documents").alias("file"), "doc_id", F.split(line, "\n", -1).alias("_parts"))
+    docs = prefix_sum(docs.withColumn("_n", F.size("_parts")), ["file"], ["doc_id"], "_n", out="_base", inclusive=False)
+    return docs.select("file", "_base", F.posexplode("_parts").alias("_pos", "value")) \
+        .select("file", (F.col("_base") + F.col("_pos")).alias("ln"), "value")
+
+
+def repair_rows(spark, sf_dir):
+    """Rebuild the rendered documents from their broken lines."""
+    from vocalstat.sources.repair import SENTENCE_COLUMNS, repair_lines
+    rows, _ = repair_lines(rendered_lines(spark, sf_dir), 6, SENTENCE_COLUMNS, header=False)
+    return rows.drop("file", "ln")
+
+
+def repair_problems(spark, sf_dir):
+    """S2 quarantine: lines that belong to no record (none expected on clean renders)."""
+    from vocalstat.sources.repair import SENTENCE_COLUMNS, repair_lines
+    _, problems = repair_lines(rendered_lines(spark, sf_dir), 6, SENTENCE_COLUMNS, header=False)
+    return problems.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {
     "char_stats_by_lang": char_stats_by_lang,
     "char_hist_by_lang": char_hist_by_lang,
@@ -545,4 +574,6 @@ QUERIES = {
     "incremental_work": incremental_work,
     "variant_freq": variant_freq,
     "accent_freq": accent_freq,
+    "repair_rows": repair_rows,
+    "repair_problems": repair_problems,
 }

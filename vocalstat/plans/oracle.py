@@ -347,6 +347,18 @@ FROM grid LEFT JOIN n ON n.lc = grid.lc AND n.accent = grid.accent""",
     }
 
 
+def _repair_queries() -> dict[str, str]:
+    return {
+        "repair_rows": """
+SELECT lpad(CAST(doc_id AS VARCHAR), 64, '0') AS sentence_id,
+  CASE WHEN strpos(text, chr(10)) > 0 THEN regexp_replace(replace(text, chr(10), ' '), ' {2,}', ' ', 'g')
+       ELSE text END AS sentence,
+  lang AS sentence_domain, source, '1' AS is_used, CAST(n_chars AS VARCHAR) AS clips_count
+FROM documents""",
+        "repair_problems": "SELECT 'unrepairable' AS reason, CAST(0 AS BIGINT) AS n WHERE FALSE",
+    }
+
+
 _base_oracle = oracle_sql
 
 
@@ -354,4 +366,5 @@ def oracle_sql() -> dict[str, str]:  # noqa: F811
     out = _base_oracle()
     out.update(_clip_queries())
     out.update(_join_queries())
+    out.update(_repair_queries())
     return out
