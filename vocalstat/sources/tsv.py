@@ -65,9 +65,9 @@ def read_tsv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     return df
 
 
-def keys_from_path(df: DataFrame, release_re: str = RELEASE_RE) -> DataFrame:
+def keys_from_path(df: DataFrame, release_re: str = RELEASE_RE, path_col: str | None = None) -> DataFrame:
     """S4 keys: ver, lc, alg ('' for buckets), sp from ``.../<release>/<lc>/[<alg>/]<sp>.tsv``."""
-    p = F.col("_metadata.file_path")
+    p = F.col(path_col) if path_col else F.col("_metadata.file_path")
     parts = F.split(p, "/")
     n = F.size(parts)
     sp = F.regexp_replace(F.element_at(parts, -1), r"\.tsv$", "")
@@ -82,15 +82,44 @@ def keys_from_path(df: DataFrame, release_re: str = RELEASE_RE) -> DataFrame:
             .where(n > 0))
 
 
+def read_by_header(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
+                   first_column: str) -> tuple[DataFrame, DataFrame]:
+    """Read TSV files whose layouts differ between releases in one scan.
+
+    Each file's header (the line starting with ``first_column``) maps its
+    fields by name; columns of ``schema`` absent from a file come back null.
+    Rows whose field count differs from their header are quarantined (S1).
+    Only the empty field is null (Q20); numbers are parsed with ``try_cast``.
+    Returns (rows with ``file`` + schema columns, quarantine (file, line)).
+    """
+    raw = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
+    is_header = F.col("value").startswith(first_column + "\t") | (F.col("value") == first_column)
+    headers = raw.where(is_header).select("file", F.split("value", "\t", -1).alias("_h")).dropDuplicates(["file"])
+    body = raw.where(~is_header & (F.col("value") != "")).join(F.broadcast(headers), "file")
+    fields = F.split("value", "\t", -1)
+    ok = F.size(fields) == F.size("_h")
+    bad = body.where(~ok).select("file", F.col("value").alias("line"))
+    m = F.map_from_arrays(F.col("_h"), fields)
+    cols = []
+    for f in schema.fields:
+        v = F.try_element_at(m, F.lit(f.name))
+        v = F.when(v == "", None).otherwise(v)
+        cols.append((v if isinstance(f.dataType, T.StringType) else v.try_cast(f.dataType)).alias(f.name))
+    rows = body.where(ok).select("file", *cols, F.col("_h"))
+    return rows, bad
+
+
 def read_clips(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """S4 scan: bucket and split files of all datasets in one read, keys from paths.
 
-    Files of older releases lack columns; they are read by header name, absent
-    columns come back null and ``unify_clips`` fills them.
+    Files of older releases lack columns or call ``accents`` ``accent``; fields
+    are mapped by each file's header, so layouts may be mixed in one read.
     """
-    df = (spark.read.option("sep", "\t").option("header", True).option("quote", "").option("escape", "")
-          .option("nullValue", "").option("enforceSchema", False).schema(CLIP_SCHEMA).csv(paths))
-    return keys_from_path(df)
+    schema = T.StructType(list(CLIP_SCHEMA.fields) + [T.StructField("accent", T.StringType())])
+    rows, _ = read_by_header(spark, paths, schema, "client_id")
+    present = F.array_contains("_h", "accents")
+    rows = rows.withColumn("accents", F.when(present, F.col("accents")).otherwise(F.col("accent"))).drop("accent", "_h")
+    return keys_from_path(rows, path_col="file")
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
