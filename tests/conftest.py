@@ -12,6 +12,7 @@ def spark():
     from pyspark.sql import SparkSession
     s = (SparkSession.builder.master("local[4]").appName("vocalstat-tests")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.driver.memory", "6g")
          .config("spark.ui.enabled", "false")
          .config("spark.driver.host", "127.0.0.1").config("spark.driver.bindAddress", "127.0.0.1")
          .config("spark.sql.session.timeZone", "UTC")

@@ -31,9 +31,14 @@ class SplitInputs:
     accents: DataFrame | None = None      # (lc, token, text, ord)
 
 
-def prepared_clips(inp: SplitInputs) -> DataFrame:
+def prepared_clips(inp: SplitInputs, materialize: bool = True) -> DataFrame:
     """P1-P4 + U1 + F7 + J5: unified rows, main buckets also in 'clips', algorithm
-    splits only for datasets whose validated bucket has rows, durations attached."""
+    splits only for datasets whose validated bucket has rows, durations attached.
+
+    The result is checkpointed (written to the shared ``spark.checkpoint.dir``)
+    so the dozen statistics that read it never re-run the scan, the unification
+    and the duration join, and a lost executor does not replay them either.
+    """
     c = unify_clips(inp.clips)
     c = splits.with_all_clips(c)
     validated = c.where((F.col("alg") == "") & (F.col("sp") == "validated")).select("ver", "lc").distinct()
@@ -43,19 +48,20 @@ def prepared_clips(inp: SplitInputs) -> DataFrame:
         c = splits.attach_durations(c, inp.durations)
     else:
         c = c.withColumn("duration", F.lit(None).cast("double"))
-    return c
+    return c.checkpoint(eager=True) if materialize else c
 
 
 def split_statistics(inp: SplitInputs) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(split stats, char speed, audio analysis) records per (ver, lc, alg, sp)."""
     c = prepared_clips(inp)
-    ss = splits.split_stats(c, KEYS, inp.variants, inp.accents)
-    cs = speed.char_speed_stats(c, KEYS)
+    ss = splits.split_stats(c, KEYS, inp.variants, inp.accents).checkpoint(eager=True)
+    cs = speed.char_speed_stats(c, KEYS).checkpoint(eager=True)
     if inp.specs is not None:
         datasets = c.select("ver", "lc").distinct()
         ds_specs = audio.specs_of_datasets(inp.specs, datasets)
         split_specs = audio.specs_of_splits(c.select(*KEYS, "path"), ds_specs)
-        aa = audio.audio_stats(split_specs, KEYS, inp.errors, c.select(*KEYS, "path"))
+        aa = audio.audio_stats(split_specs.checkpoint(eager=True), KEYS, inp.errors,
+                               c.select(*KEYS, "path")).checkpoint(eager=True)
     else:
         aa = None
     return ss, cs, aa
