@@ -32,7 +32,7 @@ def arrays_as_text(df: DataFrame) -> DataFrame:
 def write_tsv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
               header: bool = True, compression: str | None = None) -> None:
     """K1: TAB-separated, no quoting, backslash escape, values written as they are."""
-    w = (arrays_as_text(df).write.mode(mode).option("sep", "\t").option("header", header)
+    w = (arrays_as_text(df).write.mode(mode).option("partitionOverwriteMode", "dynamic").option("sep", "\t").option("header", header)
          .option("quote", "\u0000").option("escape", "\\").option("emptyValue", "")
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if compression:
@@ -44,7 +44,7 @@ def write_tsv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode:
 
 def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = ("lc", "ver"), mode: str = "overwrite") -> None:
     """K2 / K3: one JSON row per line, partitioned by (lc, ver)."""
-    w = df.write.mode(mode)
+    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.json(path)
@@ -52,7 +52,7 @@ def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = ("lc", "v
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("lc", "ver"), mode: str = "overwrite") -> None:
     """Parquet result table, dynamic partition overwrite."""
-    w = df.write.mode(mode)
+    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

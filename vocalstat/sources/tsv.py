@@ -183,3 +183,35 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     finally:
         spark.conf.set(key, before)
     return df
+
+
+BUCKET_TOKEN = "_bucket"  # an empty partition value would come back as null
+
+
+def write_ingested(df: DataFrame, path: str, mode: str = "append") -> None:
+    """S4 sink: the ingested clip table, Parquet partitioned by (ver, lc, alg, sp);
+    bucket rows (alg '') are stored under a non-empty token."""
+    out = df.withColumn("alg", F.when(F.col("alg") == "", F.lit(BUCKET_TOKEN)).otherwise(F.col("alg")))
+    out.write.mode(mode).partitionBy("ver", "lc", "alg", "sp").parquet(path)
+
+
+def from_ingested(df: DataFrame) -> DataFrame:
+    return df.withColumn("alg", F.when(F.col("alg") == BUCKET_TOKEN, F.lit("")).otherwise(F.col("alg")))
+
+
+def read_ingested(spark: SparkSession, path: str) -> DataFrame:
+    """S4 read-back: partition values as text, bucket token back to ''."""
+    return from_ingested(read_results(spark, path))
+
+
+def ingest(spark: SparkSession, paths: str | Sequence[str], out: str, existing: str | None = None) -> DataFrame:
+    """Scan release folders, skip datasets already ingested (anti join on keys), append the rest."""
+    clips = read_clips(spark, paths).drop("file")
+    if existing:
+        try:
+            done = read_ingested(spark, existing).select("ver", "lc").distinct()
+            clips = clips.join(done, ["ver", "lc"], "left_anti")
+        except Exception:  # nothing ingested yet
+            pass
+    write_ingested(clips, out)
+    return clips
