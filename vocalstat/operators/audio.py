@@ -98,7 +98,7 @@ MEASURES = {
 def measure_stats(specs: DataFrame, keys: Sequence[str], name: str) -> tuple[DataFrame, DataFrame]:
     """avg/med/std (3 decimals) and histogram (values truncated) of one measure."""
     expr, edges, drop_first, med = MEASURES[name]
-    vc = stats.value_counts(specs, keys, expr(), name="_v", count="_w")
+    vc = stats.value_counts(specs, keys, expr(), name="_v", count="_w", drop_nulls=False)
     summ = stats.summary_from_counts(vc, keys, "_v", "_w", name, median=med)
     if name == "vad":
         summ = summ.withColumn("vad_sum", truncate_long("vad_sum"))

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from vocalstat.session import materialize
 
 
 def prefix_sums(df: DataFrame, groups: Sequence[str], order: Sequence[str],
@@ -30,9 +31,8 @@ def prefix_sums(df: DataFrame, groups: Sequence[str], order: Sequence[str],
     ws = [f"_pw{i}" for i in range(len(sums))]
     for w, (value, _, _) in zip(ws, sums):
         df = df.withColumn(w, F.col(value).cast("long") if value else F.lit(1).cast("long"))
-    ranged = (df.repartitionByRange(p, *groups, *order)
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = materialize(df.repartitionByRange(p, *groups, *order)
+                         .withColumn("_pid", F.spark_partition_id()), "ranged")
     chunks = ranged.groupBy("_pid", *groups).agg(*[F.sum(w).alias(f"_c{w}") for w in ws])
     by_group = Window.partitionBy(*groups).orderBy("_pid") if groups else Window.orderBy("_pid")
     before = by_group.rowsBetween(Window.unboundedPreceding, -1)

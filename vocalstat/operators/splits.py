@@ -75,7 +75,7 @@ def duration_stats(df: DataFrame, keys: Sequence[str] = KEYS, duration: str = "d
     (``has_durations`` false); groups with mapping but no matched clip keep the
     statistics null (Q8) and all-zero bins.
     """
-    vc = stats.value_counts(df, keys, duration, name="_v", count="_w")
+    vc = stats.value_counts(df, keys, duration, name="_v", count="_w", drop_nulls=False)
     summ = stats.summary_from_counts(vc, keys, "_v", "_w", "dur")
     summ = summ.withColumnRenamed("dur_sum", "dur_total").withColumn("dur_total", F.rint(F.col("dur_total") * 1000) / 1000)
     hist = stats.histogram_from_counts(vc, keys, "_v", "_w", bins.DURATION)

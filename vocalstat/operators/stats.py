@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vocalstat.functions.exprs import bin_index, rint3
+from vocalstat.session import materialize
 
 _G = "_grp"  # stand-in key when a statistic is global
 
@@ -35,11 +36,19 @@ def _drop_g(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str | Column,
-                 name: str = "value", count: str = "count") -> DataFrame:
-    """A4: (keys, value, count) with nulls excluded. Partial aggregation map-side."""
+                 name: str = "value", count: str = "count", drop_nulls: bool = True) -> DataFrame:
+    """A4: (keys, value, count), nulls excluded. Partial aggregation map-side.
+
+    ``drop_nulls=False`` keeps one null row per group instead of filtering
+    first: a filter on a computed value is pushed below the aggregate and
+    evaluates the expression twice per row; the summaries and histograms here
+    ignore the null row themselves.
+    """
     v = F.col(value) if isinstance(value, str) else value
-    return (df.select(*keys, v.alias(name)).where(F.col(name).isNotNull())
-            .groupBy(*keys, name).agg(F.count(F.lit(1)).alias(count)))
+    df = df.select(*keys, v.alias(name))
+    if drop_nulls:
+        df = df.where(F.col(name).isNotNull())
+    return df.groupBy(*keys, name).agg(F.count(F.lit(1)).alias(count))
 
 
 def item_frequency(df: DataFrame, keys: Sequence[str], items: str | Column,
@@ -84,10 +93,10 @@ def median_select(vc: DataFrame, keys: Sequence[str], value: str, weight: str,
     vc, keys = _keys(vc, keys)
     spark = vc.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (vc.select(*keys, F.col(value).alias("_v"), F.col(weight).cast("long").alias("_w"))
-              .repartitionByRange(p, *keys, "_v")
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
+    wt = F.when(F.col(value).isNotNull(), F.col(weight)).otherwise(F.lit(0)).cast("long")  # null rows weigh 0
+    ranged = materialize(vc.select(*keys, F.col(value).alias("_v"), wt.alias("_w"))
+                         .repartitionByRange(p, *keys, "_v")
+                         .withColumn("_pid", F.spark_partition_id()), "median")
     chunks = ranged.groupBy("_pid", *keys).agg(F.sum("_w").alias("_cw"))
     by_group = Window.partitionBy(*keys)
     ordered = by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -127,7 +136,7 @@ def summary_from_counts(vc: DataFrame, keys: Sequence[str], value: str, weight:
     """
     vc, keys = _keys(vc, keys)
     v, w = F.col(value), F.col(weight)
-    aggs = [F.sum(w).alias("_n"), F.sum(v * w).alias("_s")]
+    aggs = [F.sum(F.when(v.isNotNull(), w)).alias("_n"), F.sum(v * w).alias("_s")]
     if median == "map":
         aggs.append(F.percentile(v, F.lit(0.5), w).alias("_med"))
     base = vc.groupBy(*keys).agg(*aggs).withColumn("_mean", F.col("_s") / F.col("_n"))
@@ -154,7 +163,7 @@ def summary(df: DataFrame, keys: Sequence[str], value: str | Column, prefix: str
             decimals: int | None = 3, median: str = "map", with_sum: bool = True,
             with_count: bool = False) -> DataFrame:
     """A1: sum, mean, interpolated median, population std of a column, nulls dropped."""
-    vc = value_counts(df, keys, value, name="_val", count="_wt")
+    vc = value_counts(df, keys, value, name="_val", count="_wt", drop_nulls=False)
     return summary_from_counts(vc, keys, "_val", "_wt", prefix, decimals, median, with_sum, with_count)
 
 

@@ -42,7 +42,7 @@ def char_stats(df: DataFrame, keys: Sequence[str], char_cnt: str = "char_cnt") -
     threshold, else LONG (data-dependent bins: mean first, then bins, both from
     the same value-count table). Returns (summary, long histogram with ``bin, lo, cnt``).
     """
-    vc = stats.value_counts(df, keys, char_cnt, name="_v", count="_w")
+    vc = stats.value_counts(df, keys, char_cnt, name="_v", count="_w", drop_nulls=False)
     summ = stats.summary_from_counts(vc, keys, "_v", "_w", "c")
     choice = summ.select(*keys, (F.col("c_avg") < F.lit(bins.CHARS_THRESHOLD)).alias("use_low"))
     hist = stats.adaptive_histogram_from_counts(vc, keys, "_v", "_w", choice, bins.CHARS_SHORT, bins.CHARS_LONG)
@@ -51,7 +51,7 @@ def char_stats(df: DataFrame, keys: Sequence[str], char_cnt: str = "char_cnt") -
 
 def word_stats(df: DataFrame, keys: Sequence[str], word_cnt: str = "word_cnt") -> tuple[DataFrame, DataFrame]:
     """w_sum/avg/med/std and the words histogram (first bin dropped)."""
-    vc = stats.value_counts(df, keys, word_cnt, name="_v", count="_w")
+    vc = stats.value_counts(df, keys, word_cnt, name="_v", count="_w", drop_nulls=False)
     summ = stats.summary_from_counts(vc, keys, "_v", "_w", "w")
     hist = stats.histogram_from_counts(vc, keys, "_v", "_w", bins.WORDS, drop_first=True)
     return summ.withColumn("w_sum", F.col("w_sum").cast("long")), hist

@@ -19,6 +19,7 @@ from vocalstat.functions import bins, dims
 from vocalstat.functions.exprs import (char_count, gender_backmap, nodata, normalise, rint3, tokenise,
                                        word_count)
 from vocalstat.operators import audio, matrix, membership, reported, speed, splits, stats, textcorpus
+from vocalstat.session import materialize
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,7 +122,9 @@ def tc_record(spark, sf_dir):
     """Flagship: the whole text-corpus statistics record per (lang, source) split, as arrays."""
     d = documents(spark, sf_dir).withColumnRenamed("text", "sentence")
     lab = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("valid"))
-    d = d.join(lab, "doc_id", "left")
+    # the enriched corpus is a stored table in the pipeline; here it is written
+    # once to the checkpoint folder so the dozen statistics do not re-tokenise
+    d = materialize(d.join(lab, "doc_id", "left"), "corpus")
     return textcorpus.text_corpus_stats(d, ["lang", "source"], top=100)
 
 

@@ -17,6 +17,7 @@ from vocalstat.functions import dims
 from vocalstat.functions.exprs import unify_clips
 from vocalstat.operators import audio, matrix, membership, reported, speed, splits, textcorpus
 from vocalstat.sources import sinks
+from vocalstat.session import materialize as materialize_df
 
 KEYS = ["ver", "lc", "alg", "sp"]
 
@@ -48,20 +49,20 @@ def prepared_clips(inp: SplitInputs, materialize: bool = True) -> DataFrame:
         c = splits.attach_durations(c, inp.durations)
     else:
         c = c.withColumn("duration", F.lit(None).cast("double"))
-    return c.checkpoint(eager=True) if materialize else c
+    return materialize_df(c, "clips") if materialize else c
 
 
 def split_statistics(inp: SplitInputs) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(split stats, char speed, audio analysis) records per (ver, lc, alg, sp)."""
     c = prepared_clips(inp)
-    ss = splits.split_stats(c, KEYS, inp.variants, inp.accents).checkpoint(eager=True)
-    cs = speed.char_speed_stats(c, KEYS).checkpoint(eager=True)
+    ss = materialize_df(splits.split_stats(c, KEYS, inp.variants, inp.accents), "splits")
+    cs = materialize_df(speed.char_speed_stats(c, KEYS), "cs")
     if inp.specs is not None:
         datasets = c.select("ver", "lc").distinct()
         ds_specs = audio.specs_of_datasets(inp.specs, datasets)
         split_specs = audio.specs_of_splits(c.select(*KEYS, "path"), ds_specs)
-        aa = audio.audio_stats(split_specs.checkpoint(eager=True), KEYS, inp.errors,
-                               c.select(*KEYS, "path")).checkpoint(eager=True)
+        aa = materialize_df(audio.audio_stats(materialize_df(split_specs, "specs"), KEYS, inp.errors,
+                                              c.select(*KEYS, "path")), "aa")
     else:
         aa = None
     return ss, cs, aa

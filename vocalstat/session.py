@@ -54,3 +54,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="vocalstat-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df, name: str = "mat"):
+    """Cut lineage by writing ``df`` once as Parquet under the checkpoint folder and reading it back.
+
+    Unlike an eager ``checkpoint()`` (which runs the plan once to count and again
+    to write), this computes the plan a single time, stores it columnar and
+    compressed, and keeps column statistics for the readers. The folder is the
+    cluster's shared ``spark.checkpoint.dir`` (never a machine-local one there).
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/vocalstat-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vocalstat.operators.seq import prefix_sums
+from vocalstat.session import materialize
 
 SENTENCE_COLUMNS = ["sentence_id", "sentence", "sentence_domain", "source", "is_used", "clips_count"]
 REPORTED_COLUMNS = ["sentence_id", "sentence", "locale", "reason"]
@@ -34,10 +35,10 @@ REPORTED_COLUMNS = ["sentence_id", "sentence", "locale", "reason"]
 
 def number_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(file, ln, value) with ln = 0-based line number within each file."""
-    raw = (spark.read.text(paths)
-           .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_blk"),
-                   F.monotonically_increasing_id().alias("_mid"), "value")
-           .checkpoint(eager=True))
+    raw = materialize(spark.read.text(paths)
+                      .select(F.col("_metadata.file_path").alias("file"),
+                              F.col("_metadata.file_block_start").alias("_blk"),
+                              F.monotonically_increasing_id().alias("_mid"), "value"), "lines")
     blocks = raw.groupBy("file", "_blk").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
@@ -78,6 +79,69 @@ def _collapse(s: Column) -> Column:
     return F.regexp_replace(s, " {2,}", " ")
 
 
+def _partition_fold(ncols: int, digit_tail: int, id_len: int):
+    """Sequential fold over record groups, one pass per partition (``mapInPandas``).
+
+    Input rows are clustered by (file, group) and sorted by line within each
+    partition; the fold state (the growing record buffer) is carried across
+    Arrow batches and reset at every group boundary. A group is one record's
+    lines plus the junk after it, so the state is bounded by one record. A
+    sequential buffer is the one thing column expressions do badly (every
+    reference to the buffer inside a lambda would re-split it).
+    """
+    import re
+
+    import pandas as pd
+
+    id_re = re.compile(ID_PATTERN % id_len)
+    spaces = re.compile(" {2,}")
+    cols = ["file", "kind", "ln", "rec", "line"]
+
+    def has_id(fields, idc):
+        return len(fields) > idc and id_re.match(fields[idc]) is not None
+
+    def fold_fields(fields, txc):
+        extra = len(fields) - ncols
+        if extra <= 0:
+            return fields
+        return fields[:txc] + [" ".join(fields[txc:txc + extra + 1])] + fields[txc + extra + 1:]
+
+    def valid(fields, idc):
+        return (len(fields) == ncols and has_id(fields, idc)
+                and all(fields[-k].isdigit() and fields[-k].isascii() for k in range(1, digit_tail + 1)))
+
+    def run(batches):
+        key, buf, bl, file = None, None, [], None
+        for pdf in batches:
+            out = []
+            for f, grp, idc, txc, ln, value in zip(pdf["file"].tolist(), pdf["_grp"].tolist(), pdf["_idc"].tolist(),
+                                                   pdf["_txc"].tolist(), pdf["ln"].tolist(), pdf["value"].tolist()):
+                if (f, grp) != key:  # group boundary: what is left of the previous group is junk
+                    out.extend((file, "bad", b_ln, None, b_val) for b_ln, b_val in bl)
+                    key, buf, bl, file = (f, grp), None, [], f
+                value = "" if value is None else value
+                fields = value.split("\t")
+                line_has_id = has_id(fields, idc)
+                if idc == 0 and line_has_id and buf is not None:  # a new record starts
+                    out.extend((file, "bad", b_ln, None, b_val) for b_ln, b_val in bl)
+                    buf, bl = None, []
+                if buf is None and not (idc > 0 or line_has_id):  # a fragment with no record to join
+                    out.append((file, "bad", ln, None, value))
+                    continue
+                cand = value if buf is None else spaces.sub(" ", buf + " " + value)
+                cand_bl = bl + [(ln, value)]
+                folded = fold_fields(cand.split("\t"), txc)
+                if valid(folded, idc):
+                    out.append((file, "rec", cand_bl[0][0], folded, None))
+                    buf, bl = None, []
+                else:
+                    buf, bl = cand, cand_bl
+            yield pd.DataFrame(out, columns=cols)
+        yield pd.DataFrame([(file, "bad", b_ln, None, b_val) for b_ln, b_val in bl], columns=cols)
+
+    return run
+
+
 def repair_lines(lines: DataFrame, ncols: int, names: Sequence[str] | None = None, id_col: int | str = 0,
                  text_col: int | str = 1, digit_tail: int = 2, id_len: int = 64, header: bool = True,
                  dedup: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -118,43 +182,14 @@ def repair_lines(lines: DataFrame, ncols: int, names: Sequence[str] | None = Non
 
     good = df.where(F.col("_ok")).select("file", "ln", _fold(arr, ncols, txc).alias("_rec"))
 
-    bad_lines = df.where(~F.col("_ok"))
-    groups = (bad_lines.groupBy("file", "_grp", "_idc", "_txc")
-              .agg(F.array_sort(F.collect_list(F.struct("ln", "value"))).alias("_lines")))
-    ls_t = "array<struct<ln:bigint,value:string>>"
-    init = F.struct(F.lit(None).cast("string").alias("buf"), F.array().cast(ls_t).alias("bl"),
-                    F.array().cast("array<struct<ln:bigint,rec:array<string>>>").alias("recs"),
-                    F.array().cast(ls_t).alias("bad"))
-
-    def step(acc, x):
-        start_ok = (idc > 0) | _has_id(_fields(x["value"]), idc, id_len)
-        is_new = (idc == 0) & _has_id(_fields(x["value"]), idc, id_len)
-        # an unfinished buffer is quarantined when a new record starts
-        bad1 = F.when(is_new & acc["buf"].isNotNull(), F.concat(acc["bad"], acc["bl"])).otherwise(acc["bad"])
-        buf0 = F.when(is_new, F.lit(None).cast("string")).otherwise(acc["buf"])
-        bl0 = F.when(is_new, F.array().cast(ls_t)).otherwise(acc["bl"])
-        orphan = buf0.isNull() & ~start_ok
-        cand = F.when(buf0.isNull(), x["value"]).otherwise(_collapse(F.concat(buf0, F.lit(" "), x["value"])))
-        cand_bl = F.concat(bl0, F.array(x))
-        folded = _fold(_fields(cand), ncols, txc)
-        ok = _valid(folded, ncols, idc, id_len, digit_tail)
-        first_ln = F.element_at(cand_bl, 1)["ln"]
-        return F.struct(
-            F.when(orphan | ok, F.lit(None).cast("string")).otherwise(cand).alias("buf"),
-            F.when(orphan | ok, F.array().cast(ls_t)).otherwise(cand_bl).alias("bl"),
-            F.when(~orphan & ok, F.concat(acc["recs"], F.array(F.struct(first_ln.alias("ln"), folded.alias("rec")))))
-            .otherwise(acc["recs"]).alias("recs"),
-            F.when(orphan, F.concat(bad1, F.array(x))).otherwise(bad1).alias("bad"))
-
-    def finish(acc):
-        return F.struct(acc["recs"].alias("recs"), F.concat(acc["bad"], acc["bl"]).alias("bad"))
-
-    folded = groups.select("file", F.aggregate("_lines", init, step, finish).alias("_r"))
-    rebuilt = folded.select("file", F.explode("_r.recs").alias("_x")).select("file", F.col("_x.ln").alias("ln"),
-                                                                            F.col("_x.rec").alias("_rec"))
-    problems = (folded.select("file", F.explode("_r.bad").alias("_x"))
-                .select("file", F.col("_x.ln").alias("ln"), F.col("_x.value").alias("line"),
-                        F.lit("unrepairable").alias("reason")))
+    bad_lines = df.where(~F.col("_ok")).select("file", "_grp", "_idc", "_txc", "ln", "value")
+    fold = _partition_fold(ncols, digit_tail, id_len)
+    out_schema = "file string, kind string, ln long, rec array<string>, line string"
+    folded = (bad_lines.repartition("file", "_grp").sortWithinPartitions("file", "_grp", "ln")
+              .mapInPandas(fold, out_schema))
+    rebuilt = folded.where(F.col("kind") == "rec").select("file", "ln", F.col("rec").alias("_rec"))
+    problems = (folded.where(F.col("kind") == "bad")
+                .select("file", "ln", "line", F.lit("unrepairable").alias("reason")))
     recs = good.unionByName(rebuilt)
     rows = recs.select("file", "ln", *[F.element_at("_rec", i + 1).alias(n) for i, n in enumerate(names)])
     if dedup:
