@@ -59,7 +59,7 @@ def char_count(c: str | Column) -> Column:
     return F.coalesce(F.length(col(c)), F.lit(0))
 
 
-def normalise(c: str | Column, drop_pattern: str = r"[^\p{L}\p{N}]+") -> Column:
+def normalise(c: str | Column, drop_pattern: str = r"[^\p{L}\p{M}\p{N}]+") -> Column:
     """P9 (re-aimed): lower case, runs of non letters/digits to one space, trimmed."""
     return F.trim(F.regexp_replace(F.lower(col(c)), drop_pattern, " "))
 

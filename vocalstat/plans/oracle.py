@@ -5,7 +5,7 @@ from __future__ import annotations
 from vocalstat.functions import bins
 from vocalstat.plans.sqlgen import hist_sql, r3, summary_sql, values_list
 
-NORM = r"trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'))"
+NORM = r"trim(regexp_replace(lower(text), '[^\p{L}\p{M}\p{N}]+', ' ', 'g'))"
 TOKENS = f"list_filter(string_split({NORM}, ' '), lambda x: x <> '')"
 DOCS = f"""SELECT doc_id, text, lang, source, {NORM} AS normalized, {TOKENS} AS tokens,
   CAST(coalesce(length(text), 0) AS BIGINT) AS char_cnt, CAST(len({TOKENS}) AS BIGINT) AS word_cnt
