@@ -332,6 +332,51 @@ def snr_hist(spark, sf_dir):
     return h
 
 
+def vad_rows(spark, sf_dir):
+    """lineitem as audio specs: duration = l_extendedprice ms, speech = l_quantity * 100 ms."""
+    li = load(spark, sf_dir, "lineitem")
+    return li.select("l_returnflag", F.col("l_extendedprice").cast("long").alias("duration"),
+                     (F.col("l_quantity") * F.lit(100)).cast("long").alias("speech_duration"))
+
+
+def vad_stats(spark, sf_dir):
+    """A34 + A35: speech seconds (vad_sum truncated) and VAD percentage statistics."""
+    df = vad_rows(spark, sf_dir)
+    vad, _ = audio.measure_stats(df, ["l_returnflag"], "vad")
+    vadp, _ = audio.measure_stats(df, ["l_returnflag"], "vadp")
+    return vad.join(vadp, "l_returnflag")
+
+
+def vadp_hist(spark, sf_dir):
+    """A35 histogram: PERCENT bins over truncated percentages."""
+    _, h = audio.measure_stats(vad_rows(spark, sf_dir), ["l_returnflag"], "vadp")
+    return h
+
+
+def power_stats(spark, sf_dir):
+    """Speech power (x1e6) statistics with the distributed median, per event type."""
+    s, _ = audio.measure_stats(spec_rows(spark, sf_dir), ["event_type"], "sp_pwr")
+    return s
+
+
+def power_hist(spark, sf_dir):
+    """A36 histogram: POWER bins."""
+    _, h = audio.measure_stats(spec_rows(spark, sf_dir), ["event_type"], "sp_pwr")
+    return h
+
+
+def error_freq(spark, sf_dir):
+    """J6 + A32: errors of each split (return flag) = order rows whose key is among the
+    split's distinct line order keys, counted by source (order status)."""
+    li = load(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("sp"), F.col("l_orderkey").alias("path"))
+    errors = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("path"), F.col("o_orderstatus").alias("source"),
+                                                  F.lit("cv").alias("ds"), F.lit("x").alias("lc"), F.lit("1").alias("ver"))
+    rec = audio.errors_of_splits(li.withColumn("ver", F.lit("1")).withColumn("lc", F.lit("x")), errors,
+                                 keys=["ver", "lc", "sp"])
+    return rec.select("sp", "errors", F.explode(F.arrays_zip("err_r", "err_freq")).alias("e")) \
+        .select("sp", "errors", F.col("e.err_r").alias("source"), F.col("e.err_freq").alias("n"))
+
+
 def value_distributions(spark, sf_dir):
     """Labels (as text) and counts of three lineitem columns per return flag."""
     li = load(spark, sf_dir, "lineitem").select(
@@ -564,6 +609,11 @@ QUERIES = {
     "snr_stats": snr_stats,
     "snr_hist": snr_hist,
     "value_distributions": value_distributions,
+    "vad_stats": vad_stats,
+    "vadp_hist": vadp_hist,
+    "power_stats": power_stats,
+    "power_hist": power_hist,
+    "error_freq": error_freq,
     "reported_stats": reported_stats,
     "reported_hist": reported_hist,
     "reason_freq": reason_freq,

@@ -347,6 +347,30 @@ FROM grid LEFT JOIN n ON n.lc = grid.lc AND n.accent = grid.accent""",
     }
 
 
+def _audio_queries() -> dict[str, str]:
+    vad = """SELECT l_returnflag, CAST(trunc(l_extendedprice) AS BIGINT) AS duration,
+  CAST(trunc(l_quantity * 100) AS BIGINT) AS speech_duration FROM lineitem"""
+    v = f"SELECT l_returnflag, speech_duration / 1000.0 AS vad, 100.0 * (CAST(speech_duration AS DOUBLE) / CAST(duration AS DOUBLE)) AS vadp FROM ({vad})"
+    pw = "SELECT event_type, (value * 1e-6) * 1000000.0 AS p FROM events"
+    return {
+        "vad_stats": f"""
+SELECT l_returnflag, CAST(trunc(sum(vad)) AS BIGINT) AS vad_sum, {r3('avg(vad)')} AS vad_avg, {r3('median(vad)')} AS vad_med,
+  {r3('stddev_pop(vad)')} AS vad_std, {r3('avg(vadp)')} AS vadp_avg, {r3('median(vadp)')} AS vadp_med,
+  {r3('stddev_pop(vadp)')} AS vadp_std
+FROM ({v}) GROUP BY l_returnflag""",
+        "vadp_hist": hist_sql(f"SELECT l_returnflag, vadp FROM ({v})", ["l_returnflag"], "vadp", bins.PERCENT),
+        "power_stats": f"""
+SELECT event_type, {r3('avg(p)')} AS sp_pwr_avg, {r3('median(p)')} AS sp_pwr_med, {r3('stddev_pop(p)')} AS sp_pwr_std
+FROM ({pw}) WHERE p IS NOT NULL GROUP BY event_type""",
+        "power_hist": hist_sql(pw, ["event_type"], "p", bins.POWER),
+        "error_freq": """
+WITH s AS (SELECT DISTINCT l_returnflag AS sp, l_orderkey AS path FROM lineitem),
+e AS (SELECT s.sp, o.o_orderstatus AS source FROM s JOIN orders o ON o.o_orderkey = s.path),
+n AS (SELECT sp, source, count(*) AS n FROM e GROUP BY sp, source)
+SELECT sp, CAST(sum(n) OVER (PARTITION BY sp) AS BIGINT) AS errors, source, CAST(n AS BIGINT) AS n FROM n""",
+    }
+
+
 def _repair_queries() -> dict[str, str]:
     return {
         "repair_rows": """
@@ -367,4 +391,5 @@ def oracle_sql() -> dict[str, str]:  # noqa: F811
     out.update(_clip_queries())
     out.update(_join_queries())
     out.update(_repair_queries())
+    out.update(_audio_queries())
     return out
