@@ -66,8 +66,11 @@ def token_stats(freq: DataFrame, keys: Sequence[str], count: str = "count") -> t
     """t_sum = distinct tokens; t_avg/med/std and t_freq over the token counts."""
     vc = stats.value_counts(freq, keys, count, name="_v", count="_w")
     summ = stats.summary_from_counts(vc, keys, "_v", "_w", "t", with_sum=False)
-    distinct = freq.groupBy(*keys).agg(F.count(F.lit(1)).alias("t_sum")) if keys else \
-        freq.agg(F.count(F.lit(1)).alias("t_sum"))
+    # distinct tokens = total weight of the counts-of-counts table: reusing it
+    # keeps one scan of the token table (a separate count over ``freq`` is pruned
+    # to a different plan and would tokenise the text again)
+    distinct = (vc.groupBy(*keys).agg(F.sum("_w").cast("long").alias("t_sum")) if keys else
+                vc.agg(F.sum("_w").cast("long").alias("t_sum")))
     summ = summ.join(distinct, list(keys)) if keys else summ.crossJoin(distinct)
     hist = stats.histogram_from_counts(vc, keys, "_v", "_w", bins.TOKENS, drop_first=True)
     return summ, hist
