@@ -19,7 +19,7 @@ from vocalstat.functions import bins, dims
 from vocalstat.functions.exprs import (char_count, gender_backmap, nodata, normalise, rint3, tokenise,
                                        word_count)
 from vocalstat.operators import audio, matrix, membership, reported, speed, splits, stats, textcorpus
-from vocalstat.session import materialize
+from vocalstat.session import materialize, spread
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +28,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentence rows: the corpus stand-in, enriched with P7/P9-P11 columns."""
-    d = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    d = spread(load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     return (d.withColumn("normalized", normalise("text"))
             .withColumn("tokens", tokenise("normalized"))
             .withColumn("char_cnt", char_count("text"))
@@ -551,7 +551,7 @@ def rendered_lines(spark, sf_dir):
     """documents rendered as one TAB line each (64-char id, text, lang, source, 1, n_chars)
     and cut at the newlines their texts contain: (file, ln, value) with dense ln."""
     from vocalstat.operators.seq import prefix_sum
-    d = load(spark, sf_dir, "documents")
+    d = spread(load(spark, sf_dir, "documents"))
     line = F.concat_ws("\t", F.lpad(F.col("doc_id").cast("string"), 64, "0"), "text", "lang", "source", F.lit("1"),
                        F.col("n_chars").cast("string"))
     docs = d.select(F.lit("documents").alias("file"), "doc_id", F.split(line, "\n", -1).alias("_parts"))

@@ -71,3 +71,18 @@ def materialize(df, name: str = "mat"):
     path = f"{base.rstrip('/')}/vocalstat-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df, min_factor: float = 1.0):
+    """Round-robin repartition *only* when a scan is under-partitioned.
+
+    A small input stored as one Parquet row group is read by a single task, so
+    CPU-heavy per-row work (tokenising, exploding characters) would run on one
+    core. When the scan already has at least the cluster's default parallelism
+    (every large input), this is a no-op and adds no shuffle.
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target * min_factor:
+        return df.repartition(target)
+    return df
