@@ -91,3 +91,16 @@ def test_counters(spark):
                                 ("20.0", "de", "s1", "dev")], "ver string, lc string, alg string, sp string")
     r = matrix.combined_counts(ss).collect()[0]
     assert (r.total_splits, r.total_lc, r.total_algo) == (3, 2, 2)
+
+
+def test_specs_for_splits_equals_dataset_then_split(spark):
+    from tests import synthetic
+    from vocalstat.operators import audio
+    c = synthetic.clips(spark, 2000).select("ver", "lc", "alg", "sp", "path")
+    specs = synthetic.specs(spark, 2000)
+    direct = audio.specs_for_splits(c, specs)
+    staged = audio.specs_of_splits(c, audio.specs_of_datasets(specs, c.select("ver", "lc").distinct()))
+    key = ["ver", "lc", "alg", "sp", "clip_id"]
+    assert sorted(tuple(r) for r in direct.select(*key).collect()) == \
+        sorted(tuple(r) for r in staged.select(*key).collect())
+    assert direct.count() > 0

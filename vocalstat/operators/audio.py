@@ -41,6 +41,20 @@ def specs_of_datasets(specs: DataFrame, datasets: DataFrame, ds: str = "cv") ->
     return s.join(d, ["lc"]).where(F.col("_sord") <= F.col("_dord")).drop("_sord", "_dord")
 
 
+def specs_for_splits(split_paths: DataFrame, specs: DataFrame, keys: Sequence[str] = KEYS,
+                     path: str = "path", ds: str = "cv") -> DataFrame:
+    """J7 + J8 in the order that does not multiply: each split's **distinct** paths are
+    matched to spec rows on (lc, path) first (an equi-join, so a spec row meets only
+    the splits that hold its clip), then specs newer than the dataset's version are
+    dropped by ordinal (Q9). Version 1 gets none (F6)."""
+    paths = (split_paths.where(F.col("ver") != F.lit("1"))
+             .select(*keys, F.col(path).alias("orig_path")).distinct())
+    s = (specs.where(F.col("ds") == F.lit(ds)).withColumn("_sord", version_ordinal("ver"))
+         .drop("ver", "ds"))
+    j = paths.join(s, ["lc", "orig_path"])
+    return j.where(F.col("_sord") <= version_ordinal("ver")).drop("_sord")
+
+
 def specs_of_splits(split_paths: DataFrame, specs: DataFrame, keys: Sequence[str] = KEYS,
                     path: str = "path") -> DataFrame:
     """Spec rows of each split, by membership of (lc, orig_path) in the split's

@@ -58,9 +58,7 @@ def split_statistics(inp: SplitInputs) -> tuple[DataFrame, DataFrame, DataFrame]
     ss = materialize_df(splits.split_stats(c, KEYS, inp.variants, inp.accents), "splits")
     cs = materialize_df(speed.char_speed_stats(c, KEYS), "cs")
     if inp.specs is not None:
-        datasets = c.select("ver", "lc").distinct()
-        ds_specs = audio.specs_of_datasets(inp.specs, datasets)
-        split_specs = audio.specs_of_splits(c.select(*KEYS, "path"), ds_specs)
+        split_specs = audio.specs_for_splits(c.select(*KEYS, "path"), inp.specs)
         aa = materialize_df(audio.audio_stats(materialize_df(split_specs, "specs"), KEYS, inp.errors,
                                               c.select(*KEYS, "path")), "aa")
     else:

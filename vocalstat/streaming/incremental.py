@@ -29,14 +29,10 @@ def touched_datasets(batch: DataFrame) -> DataFrame:
 def recompute(spark: SparkSession, table: str, datasets: DataFrame, out: str,
               durations: DataFrame | None = None) -> None:
     """Recompute split statistics of ``datasets`` from the whole ingested table."""
-    keys = datasets.collect()  # one row per touched dataset: bounded by the datasets of one batch
-    if not keys:
-        return
-    cond = None
-    for r in keys:
-        c = (F.col("ver") == r["ver"]) & (F.col("lc") == r["lc"])
-        cond = c if cond is None else (cond | c)
-    clips = read_ingested(spark, table).where(cond)
+    # semi join on the partition columns with the (small, per-batch) dataset list:
+    # dynamic partition pruning reads only those datasets' folders
+    clips = read_ingested(spark, table).join(F.broadcast(datasets.select("ver", "lc").distinct()),
+                                             ["ver", "lc"], "left_semi")
     ss, cs, _ = pipeline.split_statistics(pipeline.SplitInputs(clips=clips, durations=durations))
     sinks.write_table(ss, f"{out}/splits")
     sinks.write_table(cs, f"{out}/cs")
