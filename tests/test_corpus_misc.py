@@ -104,3 +104,18 @@ def test_specs_for_splits_equals_dataset_then_split(spark):
     assert sorted(tuple(r) for r in direct.select(*key).collect()) == \
         sorted(tuple(r) for r in staged.select(*key).collect())
     assert direct.count() > 0
+
+
+def test_sinks_write_once_and_problems(spark):
+    d = tempfile.mkdtemp()
+    specs = spark.createDataFrame([("20.0", "tr", 1), ("20.0", "de", 2)], "ver string, lc string, clip_id long")
+    sinks.write_dataset_specs(specs.where(F.col("lc") == "tr"), f"{d}/specs")
+    written = tsv.read_results(spark, f"{d}/specs")
+    sinks.write_dataset_specs(specs, f"{d}/specs", existing=written)
+    assert sorted((r.lc, r.clip_id) for r in tsv.read_results(spark, f"{d}/specs").collect()) == [("de", 2), ("tr", 1)]
+    probs = spark.createDataFrame([("f", 3, "junk", "unrepairable")], "file string, ln long, line string, reason string")
+    sinks.write_problems(probs, f"{d}/problems", ver="20.0", lc="tr")
+    assert tsv.read_results(spark, f"{d}/problems").collect()[0].line == "junk"
+    rep = spark.createDataFrame([("20.0", "tr", 4), ("19.0", "tr", 2)], "ver string, lc string, rep_sum long")
+    sinks.write_reported(rep, f"{d}/reported")
+    assert [r.ver for r in sinks.combined(tsv.read_results(spark, f"{d}/reported")).collect()] == ["19.0", "20.0"]

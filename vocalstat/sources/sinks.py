@@ -93,3 +93,37 @@ def export_splits(df: DataFrame, path: str, compression: str = "gzip",
 def manifest(df: DataFrame, keys: Sequence[str] = ("ver", "lc", "alg")) -> DataFrame:
     """K13 manifest rows of what was exported (used by the J10 anti join)."""
     return df.select(*keys).distinct().withColumn("exported_at", F.current_timestamp())
+
+
+def write_reported(df: DataFrame, path: str) -> None:
+    """K4: reported statistics, one folder per locale holding all its versions."""
+    write_table(df, path, partition_by=("lc",))
+
+
+def combined(df: DataFrame, keys: Sequence[str] = ("lc", "ver", "alg", "sp")) -> DataFrame:
+    """The combined table over everything, ordered by (lc, ver[, alg, sp])."""
+    return df.orderBy(*[k for k in keys if k in df.columns])
+
+
+def write_problems(problems: DataFrame, path: str, ver: str | None = None, lc: str | None = None) -> None:
+    """K7: quarantined lines (file, ln, line, reason) with their dataset keys, appended."""
+    p = problems
+    if ver is not None:
+        p = p.withColumn("ver", F.lit(ver))
+    if lc is not None:
+        p = p.withColumn("lc", F.lit(lc))
+    parts = [c for c in ("lc", "ver") if c in p.columns]
+    w = p.write.mode("append")
+    if parts:
+        w = w.partitionBy(*parts)
+    w.parquet(path)
+
+
+def write_dataset_specs(specs_by_dataset: DataFrame, path: str, existing: DataFrame | None = None) -> DataFrame:
+    """Audio specs of each (ver, lc) dataset, written once: datasets already
+    present in ``existing`` are skipped (anti join on keys), the rest appended."""
+    todo = specs_by_dataset
+    if existing is not None:
+        todo = todo.join(existing.select("ver", "lc").distinct(), ["ver", "lc"], "left_anti")
+    todo.write.mode("append").partitionBy("lc", "ver").parquet(path)
+    return todo
