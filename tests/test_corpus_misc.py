@@ -119,3 +119,12 @@ def test_sinks_write_once_and_problems(spark):
     rep = spark.createDataFrame([("20.0", "tr", 4), ("19.0", "tr", 2)], "ver string, lc string, rep_sum long")
     sinks.write_reported(rep, f"{d}/reported")
     assert [r.ver for r in sinks.combined(tsv.read_results(spark, f"{d}/reported")).collect()] == ["19.0", "20.0"]
+
+
+def test_fillable_demographics(spark):
+    from vocalstat.operators import splits
+    df = spark.createDataFrame([("k", "c1", "male"), ("k", "c1", "nodata"), ("k", "c1", "nodata"),
+                                ("k", "c2", "male"), ("k", "c2", "female"), ("k", "c2", "nodata"),
+                                ("k", "c3", "nodata")], "sp string, client_id string, gender string")
+    r = splits.fillable_demographics(df, ["sp"]).collect()[0]
+    assert (r.fillable_recordings, r.fillable_voices) == (2, 1)

@@ -59,6 +59,12 @@ def _small(df: DataFrame, limit: int = 2_000_000) -> bool:
     return df.count() <= limit
 
 
+def broadcast_if_small(df: DataFrame, limit: int = 2_000_000) -> DataFrame:
+    """Broadcast a lookup table only after checking its row count; otherwise leave
+    the join to a shuffle (sort-merge or shuffled hash, AQE decides)."""
+    return F.broadcast(df) if _small(df, limit) else df
+
+
 def dense_rank_within(df: DataFrame, groups: Sequence[str], order: Sequence[str], out: str = "rank") -> DataFrame:
     """0-based position of each row within its group (``order`` unique per group)."""
     return prefix_sum(df, groups, order, None, out=out, inclusive=False)

@@ -95,7 +95,8 @@ def read_by_header(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     raw = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
     is_header = F.col("value").startswith(first_column + "\t") | (F.col("value") == first_column)
     headers = raw.where(is_header).select("file", F.split("value", "\t", -1).alias("_h")).dropDuplicates(["file"])
-    body = raw.where(~is_header & (F.col("value") != "")).join(F.broadcast(headers), "file")
+    from vocalstat.operators.seq import broadcast_if_small
+    body = raw.where(~is_header & (F.col("value") != "")).join(broadcast_if_small(headers), "file")
     fields = F.split("value", "\t", -1)
     ok = F.size(fields) == F.size("_h")
     bad = body.where(~ok).select("file", F.col("value").alias("line"))
