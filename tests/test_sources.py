@@ -113,3 +113,64 @@ def test_results_keep_version_text(spark):
     sinks.write_table(df, d)
     back = tsv.read_results(spark, d)
     assert sorted(r.ver for r in back.collect()) == ["1", "10.0", "16.1"]
+
+
+def _naive_fold(rows, ncols, digit_tail, id_len):
+    """Spec for the record fold: re-collapse and re-split the whole buffer after every line."""
+    import re
+    id_re, spaces = re.compile("^[0-9a-fA-F]{%d}$" % id_len), re.compile(" {2,}")
+
+    def fold(fields, txc):
+        extra = len(fields) - ncols
+        return fields if extra <= 0 else fields[:txc] + [" ".join(fields[txc:txc + extra + 1])] + fields[txc + extra + 1:]
+
+    def valid(fields, idc):
+        return (len(fields) == ncols and len(fields) > idc and id_re.match(fields[idc]) is not None
+                and all(fields[-k].isdigit() and fields[-k].isascii() for k in range(1, digit_tail + 1)))
+
+    out, key, buf, bl = [], None, None, []
+    for grp, idc, txc, ln, value in rows:
+        if grp != key:
+            out += [("bad", b, None, v) for b, v in bl]
+            key, buf, bl = grp, None, []
+        fields = value.split("\t")
+        hid = len(fields) > idc and id_re.match(fields[idc]) is not None
+        if idc == 0 and hid and buf is not None:
+            out += [("bad", b, None, v) for b, v in bl]
+            buf, bl = None, []
+        if buf is None and not (idc > 0 or hid):
+            out.append(("bad", ln, None, value))
+            continue
+        cand = value if buf is None else spaces.sub(" ", buf + " " + value)
+        cand_bl = bl + [(ln, value)]
+        f = fold(cand.split("\t"), txc)
+        if valid(f, idc):
+            out.append(("rec", cand_bl[0][0], f, None))
+            buf, bl = None, []
+        else:
+            buf, bl = cand, cand_bl
+    return out + [("bad", b, None, v) for b, v in bl]
+
+
+def test_incremental_fold_matches_naive():
+    import pandas as pd
+
+    from vocalstat.sources.repair import _partition_fold
+    rnd = random.Random(5)
+    pieces = ["a", "b c", "  ", " x  y ", "\t", "7", "12", "\t3\t4", "", "ab" * 4, "f" * 8]
+    for idc in (0, 2):
+        rows, grp = [], 0
+        for ln in range(3000):
+            if rnd.random() < 0.25:
+                grp += 1
+                value = "\t".join(["f" * 8 if i == idc else rnd.choice(pieces) for i in range(rnd.randint(1, 7))])
+            else:
+                value = "".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 4)))
+            rows.append((grp, idc, 1, ln, value))
+        want = _naive_fold(rows, 5, 2 if idc == 0 else 0, 8)
+        pdf = pd.DataFrame(rows, columns=["_grp", "_idc", "_txc", "ln", "value"]).assign(file="f")
+        batches = [pdf.iloc[i:i + 700] for i in range(0, len(pdf), 700)]
+        got = pd.concat(list(_partition_fold(5, 2 if idc == 0 else 0, 8)(iter(batches))))
+        got = [(k, ln, None if r is None else list(r), line) for k, ln, r, line in
+               zip(got["kind"], got["ln"], got["rec"], got["line"])]
+        assert got == want and sum(k == "rec" for k, *_ in want) > 50

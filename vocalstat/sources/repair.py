@@ -111,32 +111,45 @@ def _partition_fold(ncols: int, digit_tail: int, id_len: int):
         return (len(fields) == ncols and has_id(fields, idc)
                 and all(fields[-k].isdigit() and fields[-k].isascii() for k in range(1, digit_tail + 1)))
 
+    def tail_digits(fields):
+        return all(fields[-k].isdigit() and fields[-k].isascii() for k in range(1, digit_tail + 1))
+
     def run(batches):
-        key, buf, bl, file = None, None, [], None
+        # parts: the raw lines of the open record; nf: its field count (a join
+        # by one space adds no TAB, so nf grows by the line's fields minus one).
+        # The buffer is joined, collapsed and split only when it could be a
+        # record (enough fields, digit tail on this line), so a long record
+        # costs linear time instead of one re-split per line.
+        key, parts, nf, bl, file = None, None, 0, [], None
         for pdf in batches:
             out = []
             for f, grp, idc, txc, ln, value in zip(pdf["file"].tolist(), pdf["_grp"].tolist(), pdf["_idc"].tolist(),
                                                    pdf["_txc"].tolist(), pdf["ln"].tolist(), pdf["value"].tolist()):
                 if (f, grp) != key:  # group boundary: what is left of the previous group is junk
                     out.extend((file, "bad", b_ln, None, b_val) for b_ln, b_val in bl)
-                    key, buf, bl, file = (f, grp), None, [], f
+                    key, parts, nf, bl, file = (f, grp), None, 0, [], f
                 value = "" if value is None else value
                 fields = value.split("\t")
                 line_has_id = has_id(fields, idc)
-                if idc == 0 and line_has_id and buf is not None:  # a new record starts
+                if idc == 0 and line_has_id and parts is not None:  # a new record starts
                     out.extend((file, "bad", b_ln, None, b_val) for b_ln, b_val in bl)
-                    buf, bl = None, []
-                if buf is None and not (idc > 0 or line_has_id):  # a fragment with no record to join
+                    parts, nf, bl = None, 0, []
+                if parts is None and not (idc > 0 or line_has_id):  # a fragment with no record to join
                     out.append((file, "bad", ln, None, value))
                     continue
-                cand = value if buf is None else spaces.sub(" ", buf + " " + value)
-                cand_bl = bl + [(ln, value)]
-                folded = fold_fields(cand.split("\t"), txc)
-                if valid(folded, idc):
-                    out.append((file, "rec", cand_bl[0][0], folded, None))
-                    buf, bl = None, []
+                if parts is None:
+                    parts, nf = [value], len(fields)
                 else:
-                    buf, bl = cand, cand_bl
+                    parts.append(value)
+                    nf += len(fields) - 1
+                bl.append((ln, value))
+                folded = None
+                if nf >= ncols and (len(fields) <= digit_tail or tail_digits(fields)):
+                    cand = parts[0] if len(parts) == 1 else spaces.sub(" ", " ".join(parts))
+                    folded = fold_fields(cand.split("\t"), txc)
+                if folded is not None and valid(folded, idc):
+                    out.append((file, "rec", bl[0][0], folded, None))
+                    parts, nf, bl = None, 0, []
             yield pd.DataFrame(out, columns=cols)
         yield pd.DataFrame([(file, "bad", b_ln, None, b_val) for b_ln, b_val in bl], columns=cols)
 
