@@ -7,7 +7,7 @@ field joined by one space (Q16). A record broken over lines is rebuilt by
 joining the following lines with one space (runs of spaces collapsed) until it
 is valid. Everything else is quarantined line by line, never dropped (Q17).
 
-Plan, no Python UDF and no whole-file task:
+Plan, no row-at-a-time UDF and no whole-file task:
 1. ``number_lines``: dense line numbers per file from the scan's file/block
    metadata and ``monotonically_increasing_id`` (block offsets from a table of
    block counts), checkpointed.
@@ -15,8 +15,9 @@ Plan, no Python UDF and no whole-file task:
 3. Lines get a record-group number (distributed prefix count of record
    boundaries, see ``operators.seq``); only invalid lines are gathered, per
    (file, group): one record's lines plus the junk that follows it.
-4. A fold (``aggregate``) over each gathered group emits rebuilt records and
-   quarantined lines, which are exploded back to rows.
+4. One sequential fold per partition (``mapInPandas``) over the gathered
+   groups emits rebuilt records and quarantined lines.
+5. Optional dedup per file: a hash aggregate on the record fields.
 """
 
 from __future__ import annotations
@@ -207,7 +208,10 @@ def repair_lines(lines: DataFrame, ncols: int, names: Sequence[str] | None = Non
     recs = good.unionByName(rebuilt)
     rows = recs.select("file", "ln", *[F.element_at("_rec", i + 1).alias(n) for i, n in enumerate(names)])
     if dedup:
-        rows = rows.dropDuplicates(list(names))
+        # duplicates within a file (one file is one dataset) keep their first line;
+        # a long min buffer keeps this a hash aggregate (a string ``first`` buffer,
+        # as in dropDuplicates, would force a sort on the full text)
+        rows = rows.groupBy("file", *names).agg(F.min("ln").alias("ln")).select("file", "ln", *names)
     return rows, problems
 
 
