@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vocalstat.functions import bins, dims
 from vocalstat.functions.exprs import hours, version_column
+from vocalstat.operators import stats
 
 
 def support_cells(split_stats: DataFrame, versions: Sequence[str] | None = dims.VERSIONS,
@@ -45,7 +46,7 @@ def combined_counts(split_stats: DataFrame) -> DataFrame:
     algo_rows = (split_stats.where(F.col("alg").isNotNull() & (F.col("alg") != F.lit("")))
                  .select("ver", "lc", "alg").distinct().agg(F.count(F.lit(1)).alias("total_algo")))
     base = split_stats.agg(F.count(F.lit(1)).alias("total_splits"), F.count_distinct("lc").alias("total_lc"))
-    return base.crossJoin(algo_rows)
+    return stats.join_groups(base, algo_rows, [])  # two one-row totals
 
 
 def run_counters(work: DataFrame, phase: str = "phase", status: str = "status") -> DataFrame:

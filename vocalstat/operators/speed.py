@@ -31,7 +31,7 @@ def speed_choice(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per group: speed summary (C1) and the two bin choices."""
     summ = stats.summary(df, keys, "char_speed", "cs", with_sum=False)
     mean_len = df.groupBy(*keys).agg(F.avg("s_len").alias("_len_avg"))
-    ch = summ.join(mean_len, list(keys)) if keys else summ.crossJoin(mean_len)
+    ch = stats.join_groups(summ, mean_len, keys)
     return (ch.withColumn("use_low_cs", F.col("cs_avg") < F.lit(bins.CS_THRESHOLD))
             .withColumn("use_short_len", F.col("_len_avg") < F.lit(bins.CHARS_THRESHOLD)))
 

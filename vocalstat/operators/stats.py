@@ -27,6 +27,17 @@ def _keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
     return df.withColumn(_G, F.lit(0)), [_G]
 
 
+def join_groups(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join two per-group results on ``keys``.
+
+    Without keys both sides are global aggregates of exactly one row, so the
+    join puts one row beside one row (Spark broadcasts the one-row side); data
+    rows are never paired.
+    """
+    keys = list(keys)
+    return a.join(b, keys, how) if keys else a.join(b, how=how)
+
+
 def _drop_g(df: DataFrame) -> DataFrame:
     return df.drop(_G) if _G in df.columns else df
 

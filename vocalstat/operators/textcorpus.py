@@ -71,7 +71,7 @@ def token_stats(freq: DataFrame, keys: Sequence[str], count: str = "count") -> t
     # to a different plan and would tokenise the text again)
     distinct = (vc.groupBy(*keys).agg(F.sum("_w").cast("long").alias("t_sum")) if keys else
                 vc.agg(F.sum("_w").cast("long").alias("t_sum")))
-    summ = summ.join(distinct, list(keys)) if keys else summ.crossJoin(distinct)
+    summ = stats.join_groups(summ, distinct, keys)
     hist = stats.histogram_from_counts(vc, keys, "_v", "_w", bins.TOKENS, drop_first=True)
     return summ, hist
 
@@ -92,7 +92,7 @@ def top_items(freq: DataFrame, keys: Sequence[str], item: str, k: int = 100,
     arr = arr.select(*keys, F.transform("_t", lambda s: s["i"]).alias(f"{prefix}_items"),
                      F.transform("_t", lambda s: s["c"]).alias(f"{prefix}_freq"))
     cnt = freq.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{prefix}_cnt"))
-    return cnt.join(arr, list(keys)) if keys else cnt.crossJoin(arr)
+    return stats.join_groups(cnt, arr, keys)
 
 
 def domain_table(df: DataFrame, keys: Sequence[str], domain: str = "sentence_domain") -> DataFrame:

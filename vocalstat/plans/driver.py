@@ -399,7 +399,7 @@ def reported_stats(spark, sf_dir):
     """A20 + A21: rep_sum, rep_sen, avg/med/std of reports per sentence."""
     r = reports(spark, sf_dir)
     s, _ = reported.reports_per_sentence(r, [])
-    return reported.report_counts(r, []).crossJoin(s)
+    return stats.join_groups(reported.report_counts(r, []), s, [])
 
 
 def reported_hist(spark, sf_dir):
