@@ -3,8 +3,18 @@
 from __future__ import annotations
 
 from vocalstat.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from vocalstat.llm.fingerprint import op1_fingerprints
+from vocalstat.llm.langid import op6_language_id
+from vocalstat.llm.mixing import op5_mixing
+from vocalstat.llm.packing import op3_packing
+from vocalstat.llm.pii import op7_pii
+from vocalstat.llm.quality import op9_quality
+from vocalstat.llm.secret_scan import op4_secret_scan
 from vocalstat.llm.simhash import op2_simhash_pivots
+from vocalstat.llm.warc import op8_warc
 
-QUERIES = {f.__name__: f for f in (op2_simhash_pivots, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_fingerprints, op2_simhash_pivots, op3_packing, op4_secret_scan, op5_mixing,
+    op6_language_id, op7_pii, op8_warc, op9_quality, op10_exact_dedup)}
 
 ORACLE_SQL = {"op10_exact_dedup": OP10_SQL}
