@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.conf import SparkConf
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(
@@ -13,37 +15,49 @@ def get_session(
     app: str = "vocalstat",
     driver_memory: str = "8g",
 ) -> SparkSession:
-    """Create (or reuse) a session with UI off, AQE on and UTC time.
+    """Create (or reuse) a session; whatever the launcher has set is kept.
 
-    On a cluster the master, memory and checkpoint folder come from the
-    launcher; only what is unset is filled in here.
+    ``spark-submit`` hands its settings over through SparkConf's defaults. Only
+    keys that are unset get a value here, and the local addresses, memory and
+    partition count apply to a local master only.
     """
-    builder = (
-        SparkSession.builder.master(master)
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.host", "127.0.0.1")
-        .config("spark.driver.bindAddress", "127.0.0.1")
-        .config("spark.driver.memory", driver_memory)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    )
+    given = SparkConf()
+    wanted = {
+        "spark.app.name": app,
+        "spark.master": master,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
+    if _is_local(given.get("spark.master", master)):
+        wanted |= {
+            "spark.driver.host": "127.0.0.1",
+            "spark.driver.bindAddress": "127.0.0.1",
+            "spark.driver.memory": driver_memory,
+            "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        }
+    builder = SparkSession.builder
+    for key, value in wanted.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _is_local(master: str) -> bool:
+    """One JVM: ``local``, ``local[8]``, ``local[*]``, but not ``local-cluster``."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset.
+    """The folder of ``spark.checkpoint.dir``; a scratch one only on a local master.
 
-    A scratch folder is only right for local runs and tests: on a cluster the
-    launcher names a shared folder and that one is kept.
+    On a cluster every executor must see the folder, so a missing setting is an
+    error there rather than a folder on one machine's disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,38 +65,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not _is_local(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="vocalstat-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def materialize(df, name: str = "mat"):
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in this application's folder below the checkpoint folder."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/vocalstat-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str = "mat") -> DataFrame:
     """Cut lineage by writing ``df`` once as Parquet under the checkpoint folder and reading it back.
 
     Unlike an eager ``checkpoint()`` (which runs the plan once to count and again
     to write), this computes the plan a single time, stores it columnar and
-    compressed, and keeps column statistics for the readers. The folder is the
-    cluster's shared ``spark.checkpoint.dir`` (never a machine-local one there).
+    compressed, and keeps column statistics for the readers. ``clear_scratch``
+    removes what an application has written this way.
     """
-    import uuid
-
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/vocalstat-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
+    return spark.read.schema(df.schema).parquet(path)
 
-def spread(df, min_factor: float = 1.0):
-    """Round-robin repartition *only* when a scan is under-partitioned.
 
-    A small input stored as one Parquet row group is read by a single task, so
-    CPU-heavy per-row work (tokenising, exploding characters) would run on one
-    core. When the scan already has at least the cluster's default parallelism
-    (every large input), this is a no-op and adds no shuffle.
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target * min_factor:
-        return df.repartition(target)
-    return df
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what ``materialize`` wrote for this application; call it once its results are stored."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{base}/vocalstat-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
