@@ -63,7 +63,8 @@ def exact_groups(docs: DataFrame, batches: int = 2, buckets: int | None = None)
     for k in range(len(cuts), -1, -1):
         index.append(rows.where(step == k))
     sizes = rows.groupBy("digest").agg(F.sum("copies").alias("group_size"))
-    out = rows.join(sizes.join(index.rows(), "digest"), "digest")
+    # the groups are a table of their own, so that AQE can split a digest that many rows share
+    out = rows.join(materialize(sizes.join(index.rows(), "digest"), "groups"), "digest")
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(
         "doc_id", "digest", "keep_id", "group_size",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"))
