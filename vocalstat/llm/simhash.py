@@ -158,7 +158,8 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
     lowest = linked.groupBy("root").agg(F.min("low").alias("least"))
     named = linked.join(lowest, "root").select("fp", "least")
     of_fp = nodes.join(named, "fp", "left").select("fp", F.coalesce("least", "low").alias("component_id"))
-    return rows.join(of_fp, "fp").select("doc_id", "h", "fp", "component_id")
+    # the components are a table of their own, so that AQE can split a fingerprint that many rows share
+    return rows.join(materialize(of_fp, "components"), "fp").select("doc_id", "h", "fp", "component_id")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
