@@ -43,28 +43,33 @@ class DigestIndex:
 
 
 def text_digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, copies): one row per id and SHA-256 of the whole text."""
-    return (docs.select("doc_id", F.unhex(F.sha2(whole_text().cast("binary"), 256)).alias("digest"))
-            .groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("copies")))
+    """(doc_id, digest, h, copies): one row per id and SHA-256 of the whole text."""
+    return (docs.select("doc_id", F.unhex(F.sha2(whole_text().cast("binary"), 256)).alias("digest"), row_hash().alias("h"))
+            .groupBy("doc_id", "digest", "h").agg(F.count(F.lit(1)).alias("copies")))
 
 
-def exact_groups(docs: DataFrame, batches: int = 2, buckets: int | None = None) -> DataFrame:
-    """One row per document: doc_id, digest, keep_id, group_size, kept.
+def indexed_groups(rows: DataFrame, batches: int = 2, buckets: int | None = None) -> DataFrame:
+    """(digest, keep_id, group_size) of the digests of ``rows``.
 
     The rows arrive at a new index in ``batches`` ranges of doc_id, the largest ids first, so
     that the id which the index holds for a digest is the largest of all.
     """
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = materialize(text_digests(docs), "digests")
     cuts = rows.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)] or [0.5])).first()[0] or []
     step = sum((F.when(F.col("doc_id") >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
     index = DigestIndex(spark, scratch_path(spark, "digest-index"), buckets)
     for k in range(len(cuts), -1, -1):
         index.append(rows.where(step == k))
     sizes = rows.groupBy("digest").agg(F.sum("copies").alias("group_size"))
-    # the groups are a table of their own, so that AQE can split a digest that many rows share
-    out = rows.join(materialize(sizes.join(index.rows(), "digest"), "groups"), "digest")
+    # a table of its own, so that AQE can split a digest that many rows share where rows meet it
+    return materialize(sizes.join(index.rows(), "digest"), "groups")
+
+
+def exact_groups(docs: DataFrame, batches: int = 2, buckets: int | None = None) -> DataFrame:
+    """One row per document: doc_id, digest, keep_id, group_size, kept."""
+    rows = materialize(text_digests(docs), "digests")
+    out = rows.join(indexed_groups(rows, batches, buckets), "digest")
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(
         "doc_id", "digest", "keep_id", "group_size",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"))
@@ -72,14 +77,11 @@ def exact_groups(docs: DataFrame, batches: int = 2, buckets: int | None = None)
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one row of each text stays, that with the largest doc_id; columns as in ``docs``."""
-    g = exact_groups(docs).where("group_size > 1").groupBy("doc_id", "digest").agg(
-        F.max("kept").alias("won"), F.count(F.lit(1)).alias("n"))
-    g = materialize(g, "copies")
-    d = docs.select("doc_id", whole_text().alias("t")).select(
-        "doc_id", row_hash("t").alias(f"{TMP}h"), F.unhex(F.sha2(F.col("t").cast("binary"), 256)).alias("digest"))
-    named = g.join(d.distinct(), g["doc_id"].eqNullSafe(d["doc_id"]) & (g["digest"] == d["digest"])).select(
-        g["doc_id"].alias(f"{TMP}id"), f"{TMP}h", "won", "n")
-    return keep_rows(docs, named.where(~F.col("won")), named.where(F.col("won") & (F.col("n") > 1)))
+    rows = materialize(text_digests(docs), "digests")
+    shared = rows.join(indexed_groups(rows).where("group_size > 1"), "digest").select(
+        F.col("doc_id").alias(f"{TMP}id"), F.col("h").alias(f"{TMP}h"), "copies", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("won"))
+    shared = materialize(shared, "copies")
+    return keep_rows(docs, shared.where("NOT won"), shared.where("won AND copies > 1"))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
