@@ -142,15 +142,23 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
 
 def take_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every row as often as the mix takes it; columns as in ``docs``."""
-    cols = docs.columns
-    nth = lambda *by: F.row_number().over(Window.partitionBy(f"{TMP}id", f"{TMP}h").orderBy(*by or [F.lit(0)]))
-    m = materialize(mix(docs), "mix").select(F.col("doc_id").alias(f"{TMP}id"), F.col("h").alias(f"{TMP}h"), "copies")
-    m = m.withColumn(f"{TMP}n", nth("copies")).where("copies > 0").withColumnsRenamed(
-        {c: f"{TMP}m{c}" for c in (f"{TMP}id", f"{TMP}h", f"{TMP}n", "copies")})
-    d = docs.withColumns({f"{TMP}id": F.col("doc_id"), f"{TMP}h": row_hash()}).withColumn(f"{TMP}n", nth())
-    on = [d[c].eqNullSafe(m[f"{TMP}m{c}"]) if c == f"{TMP}id" else d[c] == m[f"{TMP}m{c}"] for c in (f"{TMP}id", f"{TMP}h", f"{TMP}n")]
-    taken = d.join(m, on[0] & on[1] & on[2])
-    return taken.withColumn(f"{TMP}k", F.explode(F.sequence(F.lit(1), F.col(f"{TMP}mcopies")))).select(*[f"`{c}`" for c in cols])
+    cols = [f"`{c}`" for c in docs.columns]
+    key = [f"{TMP}id", f"{TMP}h"]
+    m = materialize(mix(docs).select(F.col("doc_id").alias(key[0]), F.col("h").alias(key[1]), F.col("copies").alias(f"{TMP}copies")), "mix")
+    d = docs.withColumns({f"{TMP}did": F.col("doc_id"), f"{TMP}dh": row_hash()})
+    on = lambda t, a=f"{TMP}did", b=f"{TMP}dh": F.col(a).eqNullSafe(t[key[0]]) & (F.col(b) == t[key[1]])
+    # rows that are repeated as a whole, mostly none, are numbered on both sides; all others meet by their key
+    tied = materialize(m.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key), "tied")
+    numbered = m.join(tied.withColumnsRenamed({key[0]: "ti", key[1]: "th"}), m[key[0]].eqNullSafe(F.col("ti")) & (m[key[1]] == F.col("th")), "left_semi")
+    nth = lambda by, order: F.row_number().over(Window.partitionBy(*by).orderBy(order))
+    numbered = numbered.withColumn(f"{TMP}n", nth(key, f"{TMP}copies"))
+    again = d.join(tied, on(tied), "left_semi").withColumn(f"{TMP}dn", nth([f"{TMP}did", f"{TMP}dh"], F.lit(0)))
+    again = again.join(numbered, on(numbered) & (F.col(f"{TMP}dn") == numbered[f"{TMP}n"]))
+    single = m.groupBy(*key).agg(F.max(f"{TMP}copies").alias(f"{TMP}copies"), F.count(F.lit(1)).alias(f"{TMP}n")).where(f"{TMP}n = 1")
+    once = d.join(single, on(single))
+    repeat = lambda t: t.where(f"{TMP}copies > 0").withColumn(
+        f"{TMP}k", F.explode(F.sequence(F.lit(1), F.col(f"{TMP}copies")))).select(*cols)
+    return repeat(once).unionByName(repeat(again))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
