@@ -198,4 +198,4 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, over the whole ``documents``."""
     c = compare_with_next(load(spark, sf_dir, "documents"))
-    return c.withColumns({n: F.base64(n) for n in ("fingerprint", "edited_fingerprint")})
+    return c.withColumns({n: F.translate(F.base64(n), "\r\n", "") for n in ("fingerprint", "edited_fingerprint")})

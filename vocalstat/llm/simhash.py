@@ -150,29 +150,27 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, h, fp, component_id) per row; component_id is the smallest doc_id reachable."""
+    """(doc_id, h, fp, root, component_id) per row; root names the component, component_id is its smallest doc_id."""
     rows = materialize(fingerprints(docs, shingle), "fingerprints")
     nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
     linked = connected_components(links(nodes.select("fp"))).withColumnRenamed("node", "fp")
     linked = linked.join(nodes, "fp")
     lowest = linked.groupBy("root").agg(F.min("low").alias("least"))
-    named = linked.join(lowest, "root").select("fp", "least")
-    of_fp = nodes.join(named, "fp", "left").select("fp", F.coalesce("least", "low").alias("component_id"))
+    named = linked.join(lowest, "root").select("fp", "root", F.lit(True).alias("many"), "least")
+    of_fp = nodes.join(named, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("many"), F.col("least")).otherwise(F.col("low")).alias("component_id"))
     # the components are a table of their own, so that AQE can split a fingerprint that many rows share
-    return rows.join(materialize(of_fp, "components"), "fp").select("doc_id", "h", "fp", "component_id")
+    return rows.join(materialize(of_fp, "components"), "fp").select("doc_id", "h", "fp", "root", "component_id")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component the row with the smallest doc_id stays; columns as in ``docs``."""
-    g = materialize(near_groups(docs), "groups").select(
-        F.col("doc_id").alias(f"{TMP}id"), F.col("h").alias(f"{TMP}h"), "component_id")
-    g = g.groupBy(f"{TMP}id", f"{TMP}h").agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n"))
-    own = F.col(f"{TMP}id").eqNullSafe(F.col("c"))
-    # several texts may share the smallest id: the smallest hash of them stays
-    first = g.where(own).groupBy("c").agg(F.min(f"{TMP}h").alias("first_h")).withColumnRenamed("c", "fc")
-    g = g.join(first, F.col("c").eqNullSafe(F.col("fc")), "left")
-    won = own & (F.col(f"{TMP}h") == F.col("first_h"))
-    return keep_rows(docs, g.where(~won), g.where(won & (F.col("n") > 1)))
+    g = near_groups(docs).select(F.col("doc_id").alias(f"{TMP}id"), F.col("h").alias(f"{TMP}h"), "root")
+    g = materialize(g.groupBy(f"{TMP}id", f"{TMP}h", "root").agg(F.count(F.lit(1)).alias("n")), "groups")
+    row = F.struct(F.col(f"{TMP}id").isNull(), F.col(f"{TMP}id"), F.col(f"{TMP}h"))  # ids before null, then the text's hash
+    first = g.groupBy("root").agg(F.min(row).alias("first"), F.sum("n").alias("rows")).where("rows > 1").select("root", "first")
+    g = g.join(materialize(first, "first"), "root")
+    return keep_rows(docs, g.where(row != F.col("first")), g.where((row == F.col("first")) & (F.col("n") > 1)))
 
 
 def op2_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
