@@ -95,11 +95,15 @@ def test_counters(spark):
 
 def test_specs_for_splits_equals_dataset_then_split(spark):
     from tests import synthetic
+    from vocalstat.functions.exprs import version_ordinal
     from vocalstat.operators import audio
     c = synthetic.clips(spark, 2000).select("ver", "lc", "alg", "sp", "path")
     specs = synthetic.specs(spark, 2000)
     direct = audio.specs_for_splits(c, specs)
-    staged = audio.specs_of_splits(c, audio.specs_of_datasets(specs, c.select("ver", "lc").distinct()))
+    # the plain order: each dataset's specs first, then its splits'
+    s = specs.where("ds = 'cv'").withColumn("so", version_ordinal("ver")).drop("ver")
+    d = c.select("ver", "lc").distinct().withColumn("do", version_ordinal("ver"))
+    staged = audio.specs_of_splits(c, s.join(d, "lc").where("so <= do").drop("so", "do"))
     key = ["ver", "lc", "alg", "sp", "clip_id"]
     assert sorted(tuple(r) for r in direct.select(*key).collect()) == \
         sorted(tuple(r) for r in staged.select(*key).collect())

@@ -89,3 +89,10 @@ def release_dir(ver: str) -> str:
 def version_column(ver: str) -> str:
     """Column name of a version in the support matrix, e.g. ``v16_1``."""
     return "v" + ver.replace(".", "_")
+
+# Version labels of audio specs that were stored as numbers, and their real labels.
+SPEC_VERSION_FIX = {
+    "5.099999904632568": "5.1", "6.099999904632568": "6.1", "7": "7.0", "8": "8.0", "9": "9.0", "10": "10.0",
+    "11": "11.0", "12": "12.0", "13": "13.0", "14": "14.0", "15": "15.0", "16.100000381469727": "16.1",
+    "17": "17.0", "18": "18.0", "19": "19.0", "20": "20.0",
+}

@@ -101,8 +101,15 @@ def hours(seconds: str | Column) -> Column:
 
 
 def version_ordinal(c: str | Column) -> Column:
-    """P20: version label to its ordinal (never compared as a float, Q9)."""
-    return F.array_position(F.array(*[F.lit(v) for v in dims.VERSIONS]), col(c)).cast("int") - F.lit(1)
+    """P20: version label to its ordinal (never compared as a float, Q9); null for an unknown label,
+    which then meets no condition on versions (``unknown_versions`` lists such rows)."""
+    at = F.array_position(F.array(*[F.lit(v) for v in dims.VERSIONS]), col(c)).cast("int")
+    return F.when(at > 0, at - F.lit(1))
+
+
+def unknown_versions(df: DataFrame, ver: str = "ver") -> DataFrame:
+    """Rows whose version label isn't in the version list: the quarantine of P20."""
+    return df.where(version_ordinal(ver).isNull())
 
 
 def version_date(c: str | Column) -> Column:

@@ -23,24 +23,13 @@ KEYS = ["ver", "lc", "alg", "sp"]
 def dedup_specs(specs: DataFrame, version_fix: dict[str, str] | None = None) -> DataFrame:
     """Full-row dedup and version-label repair (float-looking labels to real ones)."""
     s = specs.dropDuplicates()
+    version_fix = dims.SPEC_VERSION_FIX if version_fix is None else version_fix
     if version_fix:
         m = F.create_map(*[F.lit(x) for kv in version_fix.items() for x in kv])
         s = s.withColumn("ver", F.coalesce(F.try_element_at(m, F.col("ver")), F.col("ver")))
     return s
 
 
-def specs_of_datasets(specs: DataFrame, datasets: DataFrame, ds: str = "cv") -> DataFrame:
-    """Specs usable by each dataset (ver, lc): same locale, ds = 'cv', spec
-    version ordinal <= dataset version ordinal (Q9: ordinals, never floats).
-
-    The range side is the version dimension: at most #versions datasets per
-    locale, so each spec row meets a bounded number of dataset rows.
-    """
-    s = specs.where(F.col("ds") == F.lit(ds)).withColumn("_sord", version_ordinal("ver")).drop("ver")
-    d = datasets.select("ver", "lc").distinct().withColumn("_dord", version_ordinal("ver"))
-    return s.join(d, ["lc"]).where(F.col("_sord") <= F.col("_dord")).drop("_sord", "_dord")
-
-
 def specs_for_splits(split_paths: DataFrame, specs: DataFrame, keys: Sequence[str] = KEYS,
                      path: str = "path", ds: str = "cv") -> DataFrame:
     """J7 + J8 in the order that does not multiply: each split's **distinct** paths are
@@ -96,7 +85,7 @@ def bad_clips(specs: DataFrame, keys: Sequence[str] = KEYS, low_snr: float = dim
                       | (F.col("speech_power") < F.lit(low_power)))
     if main_buckets_only and "alg" in keys:
         bad = bad.where((F.col("alg") == F.lit("")) & F.col("sp").isin(*dims.MAIN_BUCKETS))
-    return bad.dropDuplicates()
+    return bad.dropDuplicates([*keys, "clip_id"] if "clip_id" in specs.columns else None)
 
 
 MEASURES = {
@@ -112,12 +101,12 @@ MEASURES = {
 def measure_stats(specs: DataFrame, keys: Sequence[str], name: str) -> tuple[DataFrame, DataFrame]:
     """avg/med/std (3 decimals) and histogram (values truncated) of one measure."""
     expr, edges, drop_first, med = MEASURES[name]
+    if med == "select":  # nearly unique numbers: straight from the rows
+        summ = stats.summary(specs, keys, expr(), name, median=med, with_sum=False)
+        return summ, stats.histogram(specs, keys, expr(), edges, drop_first=drop_first)
     vc = stats.value_counts(specs, keys, expr(), name="_v", count="_w", drop_nulls=False)
     summ = stats.summary_from_counts(vc, keys, "_v", "_w", name, median=med)
-    if name == "vad":
-        summ = summ.withColumn("vad_sum", truncate_long("vad_sum"))
-    else:
-        summ = summ.drop(f"{name}_sum")
+    summ = summ.withColumn(f"{name}_sum", truncate_long(f"{name}_sum"))
     hist = stats.histogram_from_counts(vc, keys, "_v", "_w", edges, drop_first=drop_first)
     return summ, hist
 
@@ -137,9 +126,15 @@ def value_distributions(specs: DataFrame, keys: Sequence[str] = KEYS) -> DataFra
 
 def audio_stats(specs: DataFrame, keys: Sequence[str] = KEYS, errors: DataFrame | None = None,
                 split_paths: DataFrame | None = None) -> DataFrame:
-    """One audio-analysis record per split group (A31-A38), arrays for frequencies."""
+    """One audio-analysis record per split group (A31-A38), arrays for frequencies.
+
+    With ``split_paths`` every split has a record: one without specs keeps zeros and
+    empty arrays, as the published placeholder.
+    """
     keys = list(keys)
     rec = quality_counts(specs, keys)
+    if split_paths is not None:
+        rec = split_paths.select(*keys).distinct().join(rec, keys, "left")
     for name in MEASURES:
         s, h = measure_stats(specs, keys, name)
         rec = rec.join(s, keys, "left").join(stats.to_array(h, keys, "bin", "cnt", f"{name}_freq"), keys, "left")
@@ -157,4 +152,10 @@ def audio_stats(specs: DataFrame, keys: Sequence[str] = KEYS, errors: DataFrame
         rec = (rec.withColumn("errors", F.lit(0).cast("long"))
                .withColumn("err_r", F.array().cast("array<string>"))
                .withColumn("err_freq", F.array().cast("array<long>")))
+    if split_paths is not None:
+        blank = {"bigint": F.lit(0).cast("long"), "double": F.lit(0.0), "array<string>": F.array().cast("array<string>"),
+                 "array<bigint>": F.array().cast("array<long>")}
+        none = F.col("clips").isNull()
+        rec = rec.select(*[(F.when(none & F.col(c).isNull(), blank[t]).otherwise(F.col(c)).alias(c) if c not in keys and t in blank
+                            else F.col(c)) for c, t in rec.dtypes])
     return rec

@@ -23,11 +23,11 @@ CORPUS_COLUMNS = ["lc", "sentence_id", "sentence", "sentence_domain", "source",
 
 def enrich_new(new: DataFrame, rules: DataFrame | None = None, phonemes: DataFrame | None = None) -> DataFrame:
     """P7, P9-P12 for new sentences. ``rules`` = (lc, allowed) regex per locale
-    (a small table, broadcast); locales without a rule get valid = null.
+    (one row per locale); locales without a rule get valid = null.
     ``phonemes`` = (lc, sentence_id, phonemised) when available (P12 is an input)."""
     df = enrich_sentences(new, "sentence")
     if rules is not None:
-        df = df.join(F.broadcast(rules.select("lc", "allowed")), "lc", "left")
+        df = df.join(rules.select("lc", "allowed"), "lc", "left")
         df = df.withColumn("valid", is_valid_sentence("normalized", F.col("allowed"))).drop("allowed")
     else:
         df = df.withColumn("valid", F.lit(None).cast("int"))
@@ -72,9 +72,11 @@ def version_indexes(corpus: DataFrame, versions: DataFrame, old_sentences: DataF
         return idx_new.distinct(), disabled, usable.limit(0).withColumn("ver", F.lit(None).cast("string"))
     old_v = v.where(version_ordinal("ver") < cut)
     old = old_sentences.join(old_v, ["ver", "lc"], "left_semi").select("ver", "lc", "sentence").distinct()
-    # corpus rows of each old release, by text (J2 semi / anti)
-    cand = old_v.join(usable, "lc")
-    idx_old = membership.found(cand, old, ["ver", "lc", "sentence"]).select("ver", "lc", "sentence_id")
-    not_found = membership.not_found(cand, old, ["ver", "lc", "sentence"])
+    # corpus rows of each old release, by text: an equi-join, so the text is never copied per version
+    idx_old = old.join(usable.select("lc", "sentence", "sentence_id"), ["lc", "sentence"]).select("ver", "lc", "sentence_id")
+    # the rest of the corpus per old release: ids first, rows afterwards
+    ids = old_v.join(usable.select("lc", "sentence_id"), "lc")
+    missing = membership.not_found(ids, idx_old, ["ver", "lc", "sentence_id"])
+    not_found = missing.join(usable, ["lc", "sentence_id"]).select("ver", *usable.columns)
     index = idx_new.unionByName(idx_old).where(F.col("sentence_id").isNotNull()).distinct()
     return index, disabled, not_found

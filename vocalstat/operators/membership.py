@@ -42,15 +42,17 @@ def corpus_rows_of_splits(corpus: DataFrame, splits: DataFrame, split_keys: Sequ
     From ``id_from`` on, match by sentence id; before, by sentence text. The
     split side is made distinct on (keys, match key) first, so a sentence
     recorded many times yields one corpus row per split (inner join on a
-    distinct right side = semi join that keeps the split keys).
+    distinct right side = semi join that keeps the split keys). A corpus that
+    carries versions (from ``restrict_to_index``) is matched within the version.
     """
     ordv = version_ordinal(F.col(ver))
     cut = dims.VERSIONS.index(id_from)
     keys = [ver, lc, *split_keys]
+    on = [ver, lc] if ver in corpus.columns else [lc]
     by_id = (splits.where(ordv >= cut).select(*keys, sentence_id).where(F.col(sentence_id).isNotNull()).distinct()
-             .join(corpus.drop(ver) if ver in corpus.columns else corpus, [lc, sentence_id]))
+             .join(corpus, [*on, sentence_id]))
     by_text = (splits.where(ordv < cut).select(*keys, sentence).where(F.col(sentence).isNotNull()).distinct()
-               .join(corpus.drop(ver) if ver in corpus.columns else corpus, [lc, sentence]))
+               .join(corpus, [*on, sentence]))
     return by_id.unionByName(by_text)
 
 

@@ -38,7 +38,7 @@ def prefix_sums(df: DataFrame, groups: Sequence[str], order: Sequence[str],
     before = by_group.rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.select("_pid", *groups, *[F.coalesce(F.sum(f"_c{w}").over(before), F.lit(0)).alias(f"_o{w}")
                                               for w in ws])
-    j = ranged.join(F.broadcast(chunks) if _small(chunks) else chunks, ["_pid", *groups])
+    j = ranged.join(chunks, ["_pid", *groups])
     within = Window.partitionBy("_pid", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for w, (_, out, inclusive) in zip(ws, sums):
         j = j.withColumn(out, F.col(f"_o{w}") + F.sum(w).over(within) - (F.lit(0) if inclusive else F.col(w)))
@@ -52,19 +52,3 @@ def prefix_sum(df: DataFrame, groups: Sequence[str], order: Sequence[str], value
     ``inclusive`` includes the row itself; otherwise the sum of strictly earlier rows.
     """
     return prefix_sums(df, groups, order, [(value, out, inclusive)], partitions)
-
-
-def _small(df: DataFrame, limit: int = 2_000_000) -> bool:
-    """Size check before a broadcast: the chunk table has about partitions + groups rows."""
-    return df.count() <= limit
-
-
-def broadcast_if_small(df: DataFrame, limit: int = 2_000_000) -> DataFrame:
-    """Broadcast a lookup table only after checking its row count; otherwise leave
-    the join to a shuffle (sort-merge or shuffled hash, AQE decides)."""
-    return F.broadcast(df) if _small(df, limit) else df
-
-
-def dense_rank_within(df: DataFrame, groups: Sequence[str], order: Sequence[str], out: str = "rank") -> DataFrame:
-    """0-based position of each row within its group (``order`` unique per group)."""
-    return prefix_sum(df, groups, order, None, out=out, inclusive=False)

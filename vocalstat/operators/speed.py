@@ -28,11 +28,15 @@ def with_speed(df: DataFrame, duration: str = "duration", sentence: str = "sente
 
 
 def speed_choice(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per group: speed summary (C1) and the two bin choices."""
+    """Per group: speed summary (C1) and the two bin choices.
+
+    Both thresholds are tested on raw means; the mean length is taken over all
+    rows, with or without a duration.
+    """
     summ = stats.summary(df, keys, "char_speed", "cs", with_sum=False)
-    mean_len = df.groupBy(*keys).agg(F.avg("s_len").alias("_len_avg"))
-    ch = stats.join_groups(summ, mean_len, keys)
-    return (ch.withColumn("use_low_cs", F.col("cs_avg") < F.lit(bins.CS_THRESHOLD))
+    means = df.groupBy(*keys).agg(F.avg("s_len").alias("_len_avg"), F.avg("char_speed").alias("_cs_avg"))
+    ch = stats.join_groups(summ, means, keys)
+    return (ch.withColumn("use_low_cs", F.col("_cs_avg") < F.lit(bins.CS_THRESHOLD))
             .withColumn("use_short_len", F.col("_len_avg") < F.lit(bins.CHARS_THRESHOLD)))
 
 
@@ -72,12 +76,13 @@ def speed_vs(b: DataFrame, keys: Sequence[str], column: str, labels: Sequence[st
 def char_speed_stats(clips: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """One char-speed record per group (C1-C4), arrays as in the published record.
 
-    Groups without any duration get no statistics (the caller keeps the empty
-    record); ``clips`` must carry ``duration`` in seconds (null when unknown).
+    Every group has a record: one without any duration keeps zeros and empty
+    arrays. ``clips`` must carry ``duration`` in seconds (null when unknown).
     """
     keys = list(keys)
-    df = with_speed(clips.where(F.col("duration").isNotNull()))
-    ch = speed_choice(df, keys)
+    every = with_speed(clips)
+    ch = speed_choice(every, keys)
+    df = every.where(F.col("char_speed").isNotNull())
     hist = speed_histogram(df, keys, ch)
     b = binned(df, keys, ch)
     cs2s = speed_vs_length(b, keys)
@@ -101,10 +106,12 @@ def char_speed_stats(clips: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
     m2s = matrix(cs2s, "bin_slen", "cs2s")
     clips_cnt = cs2s.groupBy(*keys).agg(F.sum("n").cast("long").alias("clips"))
-    rec = (ch.select(*keys, "cs_avg", "cs_med", "cs_std")
+    rec = (every.select(*keys).distinct().join(ch.select(*keys, "cs_avg", "cs_med", "cs_std"), keys, "left")
            .join(clips_cnt, keys, "left")
            .join(stats.to_array(hist, keys, "bin", "cnt", "cs_freq"), keys, "left")
            .join(m2s.select(*keys, F.col("cs2s_rows").alias("cs_r"), F.col("cs2s_cols").alias("cs2s_c"), "cs2s"), keys, "left")
            .join(ordered(cs2g, "gender", dims.GENDERS, "cs2g"), keys, "left")
            .join(ordered(cs2a, "age", dims.AGES, "cs2a"), keys, "left"))
-    return rec
+    blank = {"bigint": F.lit(0).cast("long"), "double": F.lit(0.0)}
+    return rec.select(*[F.coalesce(F.col(c), blank.get(t, F.array().cast(t) if t.startswith("array") else None)).alias(c)
+                        if c not in keys and (t in blank or t.startswith("array")) else F.col(c) for c, t in rec.dtypes])

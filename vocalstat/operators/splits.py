@@ -120,22 +120,35 @@ def demographics(df: DataFrame, keys: Sequence[str] = KEYS, age: str = "age", ge
     return rec, uq
 
 
+def _named(presets: DataFrame, code: str, lc: str | None) -> DataFrame:
+    """(lc, _key, _code, _ord): what a preset is called by, its text or its code, once per locale.
+
+    A text that is also another preset's code means the preset with that text; of several
+    presets with one text the first in order counts.
+    """
+    by = [F.col(lc).alias("_plc")] if lc else []
+    own = lambda key, rank: presets.select(*by, F.col(key).alias("_key"), F.col(code).alias("_code"),
+                                           F.struct(F.lit(rank).alias("r"), F.col("ord").cast("long").alias("o")).alias("_at"))
+    both = own("text", 0).unionByName(own(code, 1)).where(F.col("_key").isNotNull())
+    return both.groupBy(*(["_plc"] if lc else []), "_key").agg(
+        F.min_by("_code", "_at").alias("_code"), F.min("_at")["o"].alias("_ord"))
+
+
+def _meet(rows: DataFrame, names: DataFrame, value: str, lc: str | None) -> DataFrame:
+    cond = F.col(value) == F.col("_key")
+    j = rows.join(names, cond & (F.col(lc) == F.col("_plc")) if lc else cond, "left")
+    return j.drop("_key", "_plc")
+
+
 def variant_counts(df: DataFrame, keys: Sequence[str], presets: DataFrame, variant: str = "variant",
-                   client: str = "client_id", lc: str = "lc") -> DataFrame:
+                   client: str = "client_id", lc: str | None = "lc") -> DataFrame:
     """V1: recordings and distinct (variant, voice) pairs per variant code.
 
     ``presets`` = (lc, code, text, ord): free text is turned into its code by an
     exact match (D for Q10), then counts are re-aggregated by code; output is
-    in preset order with ``nodata`` last. The preset table is one row per
-    (locale, variant), a few thousand at most, and is broadcast.
+    in preset order with ``nodata`` last and what is no preset (null ``ord``) after it.
     """
-    rows = df.select(*keys, F.col(variant).alias("_txt"), client)
-    pcols = [F.col("text").alias("_ptxt"), F.col("code").alias("_code"), F.col("ord").alias("_ord")]
-    p = F.broadcast(presets.select(*([F.col(lc).alias("_plc")] if lc else []), *pcols))
-    cond = F.col("_txt") == F.col("_ptxt")
-    if lc:
-        cond = cond & (F.col(lc) == F.col("_plc"))
-    m = rows.join(p, cond, "left")
+    m = _meet(df.select(*keys, F.col(variant).alias("_txt"), client), _named(presets, "code", lc), "_txt", lc)
     m = m.select(*keys, F.coalesce("_code", "_txt").alias("variant"), client,
                  F.when(F.col("_txt") == F.lit(dims.NODATA), F.lit(1 << 30)).otherwise(F.col("_ord")).alias("ord"))
     agg = m.groupBy(*keys, "variant").agg(
@@ -146,42 +159,37 @@ def variant_counts(df: DataFrame, keys: Sequence[str], presets: DataFrame, varia
 
 
 def accent_counts(df: DataFrame, keys: Sequence[str], presets: DataFrame, accents: str = "accents",
-                  client: str = "client_id", lc: str = "lc", sep: str = ",") -> DataFrame:
+                  client: str = "client_id", lc: str | None = "lc", sep: str = ",") -> DataFrame:
     """V2: accent counts per preset token, ``nodata`` and ``other``.
 
-    A value that is a preset (or nodata) as a whole counts once; otherwise it is
-    split on ``sep`` and each piece counts, unknown pieces as ``other``. Counted
-    per recording (rec) and per distinct (accent value, voice) pair (voices).
+    A value that is a preset (by text or token) or nodata as a whole counts once;
+    otherwise it is split on ``sep`` and each piece counts, unknown pieces as ``other``.
+    Counted per recording (rec) and per distinct (accent value, voice) pair (voices).
     Dense over the locale's presets + nodata + other. ``presets`` = (lc, token, text, ord).
     """
-    p = presets.select(*([F.col(lc).alias("_plc")] if lc else []), F.col("text").alias("_ptxt"),
-                       F.col("token").alias("_tok"), F.col("ord").alias("_ord"))
-
-    def match(value: str):
-        cond = F.col(value) == F.col("_ptxt")
-        return cond & (F.col(lc) == F.col("_plc")) if lc else cond
-
+    names = _named(presets, "token", lc)
+    label = lambda value: F.coalesce("_code", F.when(F.col(value) == F.lit(dims.NODATA), F.lit(dims.NODATA)))
     vals = df.groupBy(*keys, F.col(accents).alias("_val")).agg(
         F.count(F.lit(1)).alias("_rec"), F.count_distinct(client).alias("_uv"))
-    whole = vals.join(F.broadcast(p), match("_val"), "left")
-    whole = whole.withColumn("_pieces", F.when(F.col("_tok").isNotNull(), F.array(F.col("_tok")))
-                             .when(F.col("_val") == F.lit(dims.NODATA), F.array(F.lit(dims.NODATA)))
-                             .otherwise(F.split(F.col("_val"), sep)))
-    pieces = whole.select(*keys, F.explode("_pieces").alias("_piece"), "_rec", "_uv")
-    known = pieces.join(F.broadcast(p.drop("_ord")), match("_piece"), "left")
-    label = (F.when(F.col("_tok").isNotNull(), F.col("_tok"))
-             .when(F.col("_piece") == F.lit(dims.NODATA), F.lit(dims.NODATA))
-             .otherwise(F.lit(dims.OTHER)))
-    counted = known.groupBy(*keys, label.alias("accent")).agg(F.sum("_rec").alias("rec"), F.sum("_uv").alias("voices"))
+    vals = _meet(vals, names, "_val", lc).withColumn("accent", label("_val")).drop("_code", "_ord")
+    whole = vals.where(F.col("accent").isNotNull()).drop("_val")
+    pieces = vals.where(F.col("accent").isNull()).select(*keys, "_rec", "_uv", F.explode(F.split("_val", sep)).alias("_piece"))
+    pieces = _meet(pieces, names, "_piece", lc).select(
+        *keys, "_rec", "_uv", F.coalesce(label("_piece"), F.lit(dims.OTHER)).alias("accent"))
+    counted = whole.unionByName(pieces).groupBy(*keys, "accent").agg(F.sum("_rec").alias("rec"), F.sum("_uv").alias("voices"))
     groups = df.select(*keys).distinct()
-    grid_presets = groups.join(F.broadcast(p), F.col(lc) == F.col("_plc")) if lc else groups.limit(0).select(
-        *keys, F.lit(None).cast("string").alias("_tok"), F.lit(None).cast("long").alias("_ord"))
-    grid_presets = grid_presets.select(*keys, F.col("_tok").alias("accent"), F.col("_ord").alias("ord"))
-    grid_fixed = groups.select(*keys, F.inline(F.array(
-        F.struct(F.lit(dims.NODATA).alias("accent"), F.lit(1 << 30).alias("ord")),
-        F.struct(F.lit(dims.OTHER).alias("accent"), F.lit((1 << 30) + 1).alias("ord")))))
-    grid = grid_presets.unionByName(grid_fixed)
-    out = grid.join(counted, [*keys, "accent"], "left")
+    by = [F.col(lc).alias("_plc")] if lc else []
+    tokens = presets.select(*by, F.col("token").alias("accent"), F.col("ord").cast("long").alias("ord"))
+    tokens = tokens.groupBy(*(["_plc"] if lc else []), "accent").agg(F.min("ord").alias("ord"))
+    if lc:
+        grid = groups.join(tokens, F.col(lc) == F.col("_plc")).select(*keys, "accent", "ord")
+    else:  # one row that holds the presets, beside each group
+        listed = tokens.agg(F.collect_list(F.struct("accent", "ord")).alias("_all"))
+        grid = groups.join(listed, how="inner").select(*keys, F.inline("_all"))
+    fixed = groups.select(*keys, F.inline(F.array(
+        F.struct(F.lit(dims.NODATA).alias("accent"), F.lit(1 << 30).cast("long").alias("ord")),
+        F.struct(F.lit(dims.OTHER).alias("accent"), F.lit((1 << 30) + 1).cast("long").alias("ord")))))
+    out = grid.unionByName(fixed).join(counted, [*keys, "accent"], "left")
     return out.select(*keys, "accent", F.col("ord").cast("long").alias("ord"),
                       F.coalesce("rec", F.lit(0)).cast("long").alias("rec"),
                       F.coalesce("voices", F.lit(0)).cast("long").alias("voices"))
@@ -197,7 +205,10 @@ def split_stats(clips: DataFrame, keys: Sequence[str] = KEYS, variants: DataFram
     keys = list(keys)
     rec = basic_counts(clips, keys)
     dur, dur_h = duration_stats(clips, keys)
-    has_dur = clips.groupBy(*keys).agg(F.max(F.when(~F.col("ver").isin(*dims.NO_DURATION_VERSIONS), 1).otherwise(0)).alias("_hd"))
+    timed = ~F.col("ver").isin(*dims.NO_DURATION_VERSIONS)
+    if "has_durations" in clips.columns:  # a locale without any duration is as version 1
+        timed = timed & F.col("has_durations")
+    has_dur = clips.groupBy(*keys).agg(F.max(F.when(timed, 1).otherwise(0)).alias("_hd"))
     rec = (rec.join(has_dur, keys).join(dur, keys, "left")
            .join(stats.to_array(dur_h, keys, "bin", "cnt", "dur_freq"), keys, "left"))
     for d in ("dur_total", "dur_avg", "dur_med", "dur_std"):
@@ -217,6 +228,7 @@ def split_stats(clips: DataFrame, keys: Sequence[str] = KEYS, variants: DataFram
            .withColumn("dem_fix_v", F.array().cast("array<long>")))
     if variants is not None:
         v = variant_counts(clips, keys, variants)
+        v = v.withColumn("ord", F.coalesce("ord", F.lit((1 << 30) + 1)))
         rec = rec.join(v.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("ord", "variant", "rec", "voices"))).alias("_v"))
                        .select(*keys, F.transform("_v", lambda s: s["variant"]).alias("var_rows"),
                                F.transform("_v", lambda s: s["rec"]).alias("var_freq"),

@@ -142,7 +142,8 @@ def summary_from_counts(vc: DataFrame, keys: Sequence[str], value: str, weight:
     state per group is one entry per *distinct value*, which is bounded for
     integer measures (lengths, counts, truncated seconds). ``median='select'``
     is the range-partitioned selection for high-cardinality floats.
-    The population deviation is a second pass over the value counts with the
+    The population deviation of whole numbers comes from exact decimal sums in the
+    same pass; that of other numbers is a second pass over the value counts with the
     group mean joined in (numerically stable, no sum-of-squares cancellation).
     """
     vc, keys = _keys(vc, keys)
@@ -150,10 +151,19 @@ def summary_from_counts(vc: DataFrame, keys: Sequence[str], value: str, weight:
     aggs = [F.sum(F.when(v.isNotNull(), w)).alias("_n"), F.sum(v * w).alias("_s")]
     if median == "map":
         aggs.append(F.percentile(v, F.lit(0.5), w).alias("_med"))
+    exact = dict(vc.dtypes)[value] in ("tinyint", "smallint", "int", "bigint")
+    if exact:
+        d = lambda c: c.cast("decimal(15,0)")
+        aggs.append(F.sum(d(w) * d(v) * d(v)).cast("decimal(38,0)").alias("_q"))
     base = vc.groupBy(*keys).agg(*aggs).withColumn("_mean", F.col("_s") / F.col("_n"))
-    m2 = (vc.join(base.select(*keys, "_mean"), keys)
-          .groupBy(*keys).agg(F.sum(w * (v - F.col("_mean")) * (v - F.col("_mean"))).alias("_m2")))
-    res = base.join(m2, keys)
+    if exact:  # n * sum(v^2) - sum(v)^2 is the squared deviation times n, without rounding
+        whole = lambda c: F.col(c).cast("decimal(19,0)")
+        res = base.withColumn("_m2", ((whole("_n") * F.col("_q")).cast("decimal(38,0)") - (whole("_s") * whole("_s")).cast("decimal(38,0)"))
+                              .cast("double") / F.col("_n"))
+    else:
+        m2 = (vc.join(base.select(*keys, "_mean"), keys)
+              .groupBy(*keys).agg(F.sum(w * (v - F.col("_mean")) * (v - F.col("_mean"))).alias("_m2")))
+        res = base.join(m2, keys)
     if median == "select":
         res = res.join(median_select(vc, keys, value, weight), keys).withColumnRenamed("median", "_med")
     rnd = (lambda c: rint3(c) if decimals == 3 else F.round(c, decimals)) if decimals is not None else (lambda c: c)
@@ -173,18 +183,26 @@ def summary_from_counts(vc: DataFrame, keys: Sequence[str], value: str, weight:
 def summary(df: DataFrame, keys: Sequence[str], value: str | Column, prefix: str,
             decimals: int | None = 3, median: str = "map", with_sum: bool = True,
             with_count: bool = False) -> DataFrame:
-    """A1: sum, mean, interpolated median, population std of a column, nulls dropped."""
+    """A1: sum, mean, interpolated median, population std of a column, nulls dropped.
+
+    ``median='select'`` is for columns of nearly unique numbers, where value counts
+    would compress nothing: sums and moments come straight from the rows in one pass
+    with map-side combine, and only the median orders them.
+    """
+    if median == "select":
+        d, own = _keys(df.select(*keys, (F.col(value) if isinstance(value, str) else value).cast("double").alias("_val")), keys)
+        moments = d.groupBy(*own).agg(F.count("_val").alias("_n"), F.sum("_val").alias("_s"), F.avg("_val").alias("_mean"),
+                                      F.stddev_pop("_val").alias("_std"))
+        res = moments.join(median_select(d.withColumn("_wt", F.lit(1)), own, "_val", "_wt"), own)
+        rnd = (lambda c: rint3(c) if decimals == 3 else F.round(c, decimals)) if decimals is not None else (lambda c: c)
+        cols = [*own, *([F.col("_n").cast("long").alias(f"{prefix}_cnt")] if with_count else []),
+                *([F.col("_s").alias(f"{prefix}_sum")] if with_sum else []), rnd(F.col("_mean")).alias(f"{prefix}_avg"),
+                rnd(F.col("median")).alias(f"{prefix}_med"), rnd(F.col("_std")).alias(f"{prefix}_std")]
+        return _drop_g(res.select(*cols))
     vc = value_counts(df, keys, value, name="_val", count="_wt", drop_nulls=False)
     return summary_from_counts(vc, keys, "_val", "_wt", prefix, decimals, median, with_sum, with_count)
 
 
-def counts_summary(df: DataFrame, keys: Sequence[str], item: str | Column, prefix: str,
-                   decimals: int | None = 3) -> DataFrame:
-    """Two-level statistic (A21, A26, A27, A28): summary over per-item counts."""
-    per_item = value_counts(df, keys, item, name="_item", count="_c")
-    return summary(per_item, keys, "_c", prefix, decimals, median="map", with_sum=False)
-
-
 # --------------------------------------------------------------------------
 # A2 / A3 histograms over fixed edges
 # --------------------------------------------------------------------------
@@ -371,7 +389,7 @@ def crosstab(df: DataFrame, keys: Sequence[str], row: str, column: str,
 # --------------------------------------------------------------------------
 
 def top_k(freq: DataFrame, keys: Sequence[str], item: str, count: str, k: int,
-          shards: int = 32, rank: str = "rnk") -> DataFrame:
+          shards: int | None = None, rank: str = "rnk") -> DataFrame:
     """The k most frequent items per group, ties broken by item.
 
     Two rounds: top k within (group, hash(item) mod shards), then top k of
@@ -380,6 +398,7 @@ def top_k(freq: DataFrame, keys: Sequence[str], item: str, count: str, k: int,
     and no window ever holds more than a shard of a hot group.
     """
     freq, keys = _keys(freq, keys)
+    shards = shards or int(freq.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(count).desc(), F.col(item).asc()]
     salted = freq.withColumn("_shard", F.pmod(F.xxhash64(F.col(item)), F.lit(shards)))
     cand = (salted.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_shard").orderBy(*order)))

@@ -150,7 +150,7 @@ def text_corpus_stats(df: DataFrame, keys: Sequence[str], capabilities: DataFram
                        F.transform("_d", lambda s: s["count"]).alias("dom_freq")))
     rec = rec.join(dom_arr, keys, "left")
     if capabilities is not None and lc in keys:
-        rec = rec.join(F.broadcast(capabilities.select(lc, "has_val", "has_phon")), lc, "left")
+        rec = rec.join(capabilities.select(lc, "has_val", "has_phon"), lc, "left")
         has_val = F.coalesce(F.col("has_val"), F.lit(False))
         has_phon = F.coalesce(F.col("has_phon"), F.lit(False))
     else:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vocalstat.functions import bins, dims
-from vocalstat.functions.exprs import (char_count, gender_backmap, nodata, normalise, rint3, tokenise,
+from vocalstat.functions.exprs import (char_count, gender_backmap, list_to_text, nodata, normalise, rint3, tokenise,
                                        word_count)
 from vocalstat.operators import audio, matrix, membership, reported, speed, splits, stats, textcorpus
 from vocalstat.session import materialize
@@ -122,10 +122,21 @@ def tc_record(spark, sf_dir):
     """Flagship: the whole text-corpus statistics record per (lang, source) split, as arrays."""
     d = documents(spark, sf_dir).withColumnRenamed("text", "sentence")
     lab = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("valid"))
+    # stand-ins: domains by doc_id (old, current and unknown labels, single and listed),
+    # the reversed normalised text as the phonemised one
+    domain = F.when(F.col("doc_id") % 5 == 0, F.concat_ws(",", _pick(DOMAIN_LABELS, F.pmod("doc_id", F.lit(14))), F.lit("general"))) \
+        .otherwise(_pick(DOMAIN_LABELS, F.pmod("doc_id", F.lit(14))))
+    d = d.withColumns({"sentence_domain": domain, "phonemised": F.reverse("normalized")})
     # the enriched corpus is a stored table in the pipeline; here it is written
     # once to the checkpoint folder so the dozen statistics do not re-tokenise
     d = materialize(d.join(lab, "doc_id", "left"), "corpus")
-    return textcorpus.text_corpus_stats(d, ["lang", "source"], top=100)
+    rec = textcorpus.text_corpus_stats(d, ["lang", "source"], top=100)
+    # Arrays as text, the form of the published table
+    return rec.select(*[list_to_text(c).alias(c) if t.startswith("array") else F.col(c) for c, t in rec.dtypes])
+
+
+#: Domain stand-ins: every current label, an old one and an unknown one.
+DOMAIN_LABELS = dims.DOMAINS + ["agriculture", "no_such_domain"]
 
 
 # ---------------------------------------------------------------- clips (events)

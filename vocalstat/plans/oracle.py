@@ -60,8 +60,53 @@ FROM ({DOCS}) d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang""",
     }
 
 
+def _tc_record_sql() -> str:
+    """The whole text-corpus record, each statistic by itself, arrays as text."""
+    from vocalstat.functions import dims
+    from vocalstat.plans.driver import DOMAIN_LABELS
+    labels = "[" + ", ".join(f"'{x}'" for x in DOMAIN_LABELS) + "]"
+    k = ["lang", "source"]
+    adaptive = _adaptive_char_hist()
+
+    def joined(hist: str, name: str) -> str:
+        return f"SELECT lang, source, string_agg(CAST(cnt AS VARCHAR), '#' ORDER BY bin) AS {name} FROM ({hist}) GROUP BY lang, source"
+
+    def top(items: str, prefix: str) -> str:
+        return f"""SELECT lang, source, CAST(any_value(total) AS BIGINT) AS {prefix}_cnt, string_agg(item, '#' ORDER BY rnk) AS {prefix}_items,
+  string_agg(CAST(n AS VARCHAR), '#' ORDER BY rnk) AS {prefix}_freq
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY n DESC, item) AS rnk, count(*) OVER (PARTITION BY lang, source) AS total
+      FROM (SELECT lang, source, item, count(*) AS n FROM ({items}) GROUP BY ALL)) WHERE rnk <= 100 GROUP BY lang, source"""
+
+    tokens = "SELECT lang, source, token, count(*) AS cnt FROM (SELECT lang, source, unnest(tokens) AS token FROM d) GROUP BY ALL"
+    old = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in dims.DOMAIN_MAP.items())
+    order = "[" + ", ".join(f"'{x}'" for x in dims.DOMAINS) + "]"
+    return f"""
+WITH d AS ({DOCS}),
+a AS (SELECT d.lang, d.source, count(*) AS s_cnt, count(DISTINCT text) AS uq_s, count(DISTINCT normalized) AS uq_n,
+        CAST(coalesce(sum(l.quality), 0) AS BIGINT) AS val, CAST(sum(char_cnt) AS BIGINT) AS c_sum, {r3('avg(char_cnt)')} AS c_avg,
+        {r3('median(char_cnt)')} AS c_med, {r3('stddev_pop(char_cnt)')} AS c_std, CAST(sum(word_cnt) AS BIGINT) AS w_sum, {r3('avg(word_cnt)')} AS w_avg,
+        {r3('median(word_cnt)')} AS w_med, {r3('stddev_pop(word_cnt)')} AS w_std
+      FROM d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY d.lang, d.source),
+t AS (SELECT lang, source, CAST(count(*) AS BIGINT) AS t_sum, {r3('avg(cnt)')} AS t_avg, {r3('median(cnt)')} AS t_med, {r3('stddev_pop(cnt)')} AS t_std
+      FROM ({tokens}) GROUP BY lang, source),
+ch AS ({joined(adaptive, 'c_freq')}),
+wh AS ({joined(hist_sql('SELECT lang, source, word_cnt FROM d', k, 'word_cnt', bins.WORDS, drop_first=True), 'w_freq')}),
+th AS ({joined(hist_sql(tokens, k, 'cnt', bins.TOKENS, drop_first=True), 't_freq')}),
+g AS ({top("SELECT lang, source, unnest(string_split(text, '')) AS item FROM d", 'g')}),
+p AS ({top("SELECT lang, source, unnest(string_split(normalized, '')) AS item FROM d", 'p')}),
+dl AS (SELECT lang, source, unnest(string_split(({labels})[doc_id % 14 + 1] || CASE WHEN doc_id % 5 = 0 THEN ',general' ELSE '' END, ',')) AS label FROM d),
+dn AS (SELECT lang, source, CASE label {old} END AS domain, count(*) AS n FROM dl GROUP BY ALL),
+dm AS (SELECT lang, source, CAST(count(*) AS INTEGER) AS dom_cnt, string_agg(domain, '#' ORDER BY list_position({order}, domain)) AS dom_items,
+         string_agg(CAST(n AS VARCHAR), '#' ORDER BY list_position({order}, domain)) AS dom_freq
+       FROM dn WHERE domain IS NOT NULL GROUP BY lang, source)
+SELECT a.lang, a.source, TRUE AS has_val, TRUE AS has_phon, s_cnt, uq_s, uq_n, val, c_sum, c_avg, c_med, c_std, c_freq, w_sum, w_avg, w_med, w_std, w_freq,
+  t_sum, t_avg, t_med, t_std, t_freq, g_cnt, g_items, g_freq, p_cnt, p_items, p_freq, coalesce(dom_cnt, 0) AS dom_cnt, dom_items, dom_freq
+FROM a LEFT JOIN t USING (lang, source) LEFT JOIN ch USING (lang, source) LEFT JOIN wh USING (lang, source) LEFT JOIN th USING (lang, source)
+  LEFT JOIN g USING (lang, source) LEFT JOIN p USING (lang, source) LEFT JOIN dm USING (lang, source)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    out: dict[str, str] = {}
+    out: dict[str, str] = {"tc_record": _tc_record_sql()}
     out.update(_text_sql())
     return out
 
@@ -321,24 +366,26 @@ SELECT DISTINCT strftime(o.o_orderdate, '%Y-%m-%d') AS ver, o.o_orderpriority AS
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l JOIN orders o2 ON l.l_orderkey = o2.o_orderkey
                   WHERE l.l_returnflag = 'R' AND strftime(l.l_shipdate, '%Y-%m-%d') = strftime(o.o_orderdate, '%Y-%m-%d')
                     AND o2.o_orderpriority = o.o_orderpriority)""",
+        # a value is a preset by its text or, if no preset has that text, by its code
         "variant_freq": f"""
 WITH p AS (SELECT * FROM (VALUES {vp}) AS t(code, text, ord)),
-m AS (SELECT part.p_brand AS lc, coalesce(p.code, part.p_type) AS variant, CAST(part.p_size AS VARCHAR) AS client_id,
-        CASE WHEN part.p_type = 'nodata' THEN {big} ELSE p.ord END AS ord
-      FROM part LEFT JOIN p ON part.p_type = p.text)
-SELECT lc, variant, CAST(min(ord) AS BIGINT) AS ord, CAST(count(*) AS BIGINT) AS rec,
-  CAST(count(DISTINCT client_id) AS BIGINT) AS voices FROM m GROUP BY lc, variant""",
+m AS (SELECT part.p_brand AS lc, CAST(part.p_size AS VARCHAR) AS client_id, part.p_type AS raw,
+        coalesce((SELECT t.code FROM p t WHERE t.text = part.p_type), (SELECT t.code FROM p t WHERE t.code = part.p_type)) AS code
+      FROM part)
+SELECT m.lc, coalesce(m.code, m.raw) AS variant,
+  CAST(min(CASE WHEN m.raw = 'nodata' THEN {big} ELSE p.ord END) AS BIGINT) AS ord, CAST(count(*) AS BIGINT) AS rec,
+  CAST(count(DISTINCT m.client_id) AS BIGINT) AS voices
+FROM m LEFT JOIN p ON p.code = m.code GROUP BY m.lc, coalesce(m.code, m.raw)""",
         "accent_freq": f"""
 WITH p AS (SELECT * FROM (VALUES {ap}) AS t(token, text, ord)),
+known AS (SELECT text AS name, token FROM p UNION ALL SELECT token, token FROM p WHERE token NOT IN (SELECT text FROM p)
+          UNION ALL SELECT 'nodata', 'nodata'),
 v AS (SELECT p_brand AS lc, p_name AS val, count(*) AS rec, count(DISTINCT CAST(p_size AS VARCHAR)) AS uv
       FROM part GROUP BY p_brand, p_name),
-w AS (SELECT v.lc, CASE WHEN p.token IS NOT NULL THEN [p.token] WHEN v.val = 'nodata' THEN ['nodata']
-                        ELSE string_split(v.val, ' ') END AS pieces, v.rec, v.uv
-      FROM v LEFT JOIN p ON v.val = p.text),
-x AS (SELECT lc, unnest(pieces) AS piece, rec, uv FROM w),
-y AS (SELECT x.lc, CASE WHEN p.token IS NOT NULL THEN p.token WHEN x.piece = 'nodata' THEN 'nodata' ELSE 'other' END AS accent,
-        x.rec, x.uv FROM x LEFT JOIN p ON x.piece = p.text),
-n AS (SELECT lc, accent, sum(rec) AS rec, sum(uv) AS voices FROM y GROUP BY lc, accent),
+single AS (SELECT v.lc, known.token AS accent, v.rec, v.uv FROM v JOIN known ON known.name = v.val),
+split AS (SELECT lc, unnest(string_split(val, ' ')) AS piece, rec, uv FROM v WHERE val NOT IN (SELECT name FROM known)),
+several AS (SELECT s.lc, coalesce(known.token, 'other') AS accent, s.rec, s.uv FROM split s LEFT JOIN known ON known.name = s.piece),
+n AS (SELECT lc, accent, sum(rec) AS rec, sum(uv) AS voices FROM (SELECT * FROM single UNION ALL SELECT * FROM several) GROUP BY lc, accent),
 grid AS (SELECT g.lc, l.accent, l.ord FROM (SELECT DISTINCT p_brand AS lc FROM part) g
          CROSS JOIN (SELECT token AS accent, ord FROM p UNION ALL SELECT 'nodata', {big} UNION ALL SELECT 'other', {big + 1}) l)
 SELECT grid.lc, grid.accent, CAST(grid.ord AS BIGINT) AS ord, CAST(coalesce(n.rec, 0) AS BIGINT) AS rec,

@@ -42,13 +42,15 @@ def prepared_clips(inp: SplitInputs, materialize: bool = True) -> DataFrame:
     """
     c = unify_clips(inp.clips)
     c = splits.with_all_clips(c)
-    validated = c.where((F.col("alg") == "") & (F.col("sp") == "validated")).select("ver", "lc").distinct()
-    algo = c.where(F.col("alg") != "").join(validated, ["ver", "lc"], "left_semi")
-    c = c.where(F.col("alg") == "").unionByName(algo)
+    bucket = F.col("alg") == ""
+    flags = inp.clips.groupBy("ver", "lc").agg(F.max(bucket & (F.col("sp") == "validated")).alias("_validated"))
+    c = c.join(flags, ["ver", "lc"]).where(bucket | F.col("_validated")).drop("_validated")
     if inp.durations is not None:
         c = splits.attach_durations(c, inp.durations)
+        there = inp.durations.select("lc").distinct().withColumn("has_durations", F.lit(True))
+        c = c.join(there, "lc", "left").withColumn("has_durations", F.coalesce("has_durations", F.lit(False)))
     else:
-        c = c.withColumn("duration", F.lit(None).cast("double"))
+        c = c.withColumns({"duration": F.lit(None).cast("double"), "has_durations": F.lit(False)})
     return materialize_df(c, "clips") if materialize else c
 
 
@@ -58,7 +60,7 @@ def split_statistics(inp: SplitInputs) -> tuple[DataFrame, DataFrame, DataFrame]
     ss = materialize_df(splits.split_stats(c, KEYS, inp.variants, inp.accents), "splits")
     cs = materialize_df(speed.char_speed_stats(c, KEYS), "cs")
     if inp.specs is not None:
-        split_specs = audio.specs_for_splits(c.select(*KEYS, "path"), inp.specs)
+        split_specs = audio.specs_for_splits(c.select(*KEYS, "path"), audio.dedup_specs(inp.specs))
         aa = materialize_df(audio.audio_stats(materialize_df(split_specs, "specs"), KEYS, inp.errors,
                                               c.select(*KEYS, "path")), "aa")
     else:
@@ -73,7 +75,7 @@ def text_corpus_statistics(corpus: DataFrame, index: DataFrame, split_rows: Data
     and its algorithm splits (J3 + J4)."""
     base = membership.restrict_to_index(corpus, index)  # has ver
     glob = base.withColumn("alg", F.lit("")).withColumn("sp", F.lit(""))
-    used = membership.corpus_rows_of_splits(base.drop("ver"), split_rows, split_keys=("alg", "sp"))
+    used = membership.corpus_rows_of_splits(base, split_rows, split_keys=("alg", "sp"))
     used = used.withColumn("alg", F.when(F.col("alg") == "", F.lit(dims.ALGORITHMS[0])).otherwise(F.col("alg")))
     rows = glob.unionByName(used.select(*glob.columns))
     return textcorpus.text_corpus_stats(rows, KEYS, capabilities)
@@ -100,11 +102,7 @@ def write_results(spark: SparkSession, out: str, ss: DataFrame, cs: DataFrame, a
 def missing_datasets(possible: DataFrame, results_path: str | None, spark: SparkSession,
                      force: bool = False) -> DataFrame:
     """Datasets still to compute (anti join with the result table's keys)."""
-    from vocalstat.sources.tsv import read_results
-    if results_path is None or force:
+    from vocalstat.sources.tsv import path_exists, read_results
+    if results_path is None or force or not path_exists(spark, results_path):
         return possible.select("ver", "lc").distinct()
-    try:
-        done = read_results(spark, results_path).select("ver", "lc").distinct()
-    except Exception:  # no result table yet
-        return possible.select("ver", "lc").distinct()
-    return membership.work_left(possible, done)
+    return membership.work_left(possible, read_results(spark, results_path).select("ver", "lc").distinct())

@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vocalstat.operators.seq import broadcast_if_small, prefix_sums
+from vocalstat.operators.seq import prefix_sums
 from vocalstat.session import materialize
 
 SENTENCE_COLUMNS = ["sentence_id", "sentence", "sentence_domain", "source", "is_used", "clips_count"]
@@ -43,8 +43,8 @@ def number_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     blocks = raw.groupBy("file", "_blk").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    # one row per file block: broadcast after a size check (shuffled join beyond it)
-    j = raw.join(broadcast_if_small(blocks.select("file", "_blk", "_m0", "_off")), ["file", "_blk"])
+    # one row per file block; AQE broadcasts it when it turns out small
+    j = raw.join(blocks.select("file", "_blk", "_m0", "_off"), ["file", "_blk"])
     return j.select("file", (F.col("_off") + F.col("_mid") - F.col("_m0")).alias("ln"), "value")
 
 
@@ -177,7 +177,7 @@ def repair_lines(lines: DataFrame, ncols: int, names: Sequence[str] | None = Non
             for key, c in (("_idc", id_col), ("_txc", text_col)):
                 pos[key] = (F.array_position("_h", F.lit(c)).cast("int") - 1) if isinstance(c, str) else F.lit(c)
             hdr = hdr.select("file", pos["_idc"].alias("_idc"), pos["_txc"].alias("_txc"))
-            df = df.join(broadcast_if_small(hdr), "file")
+            df = df.join(hdr, "file")
         else:
             df = df.withColumn("_idc", F.lit(id_col)).withColumn("_txc", F.lit(text_col))
     else:
@@ -187,7 +187,7 @@ def repair_lines(lines: DataFrame, ncols: int, names: Sequence[str] | None = Non
     idc, txc = F.col("_idc"), F.col("_txc")
     arr = _fields(F.col("value"))
     df = (df.withColumn("_ok", _valid(_fold(arr, ncols, txc), ncols, idc, id_len, digit_tail))
-          .withColumn("_id", _has_id(arr, idc, id_len)))
+          .withColumn("_id", _has_id(_fold(arr, ncols, txc), idc, id_len)))
     # record boundaries: with the id first a record starts at an id line; with
     # the id later (older reported files) a record ends at an id line.
     bound = F.when(idc == 0, F.col("_id")).otherwise(F.lit(False))
@@ -230,7 +230,7 @@ def read_reported(spark: SparkSession, paths: str | Sequence[str]) -> tuple[Data
     hdr = lines.where(F.col("ln") == 0).select("file", F.split("value", "\t").alias("_h"))
     rows, problems = repair_lines(lines, 4, ["f0", "f1", "f2", "f3"], id_col="sentence_id", text_col="sentence",
                                   digit_tail=0, dedup=False)
-    j = rows.join(broadcast_if_small(hdr), "file")
+    j = rows.join(hdr, "file")
     named = j.select("file", "ln", *[
         F.element_at(F.array("f0", "f1", "f2", "f3"), F.array_position("_h", F.lit(c)).cast("int")).alias(c)
         for c in REPORTED_COLUMNS])

@@ -7,7 +7,6 @@ through ``_metadata.file_path``, so one scan covers every dataset.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,19 +87,20 @@ def read_by_header(spark: SparkSession, paths: str | Sequence[str], schema: T.St
 
     Each file's header (the line starting with ``first_column``) maps its
     fields by name; columns of ``schema`` absent from a file come back null.
-    Rows whose field count differs from their header are quarantined (S1).
+    Rows shorter than their header are padded with nulls, longer ones are
+    quarantined (S1).
     Only the empty field is null (Q20); numbers are parsed with ``try_cast``.
     Returns (rows with ``file`` + schema columns, quarantine (file, line)).
     """
     raw = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
     is_header = F.col("value").startswith(first_column + "\t") | (F.col("value") == first_column)
     headers = raw.where(is_header).select("file", F.split("value", "\t", -1).alias("_h")).dropDuplicates(["file"])
-    from vocalstat.operators.seq import broadcast_if_small
-    body = raw.where(~is_header & (F.col("value") != "")).join(broadcast_if_small(headers), "file")
+    body = raw.where(~is_header & (F.col("value") != "")).join(headers, "file")
     fields = F.split("value", "\t", -1)
-    ok = F.size(fields) == F.size("_h")
+    ok = F.size(fields) <= F.size("_h")
     bad = body.where(~ok).select("file", F.col("value").alias("line"))
-    m = F.map_from_arrays(F.col("_h"), fields)
+    pad = F.array_repeat(F.lit(None).cast("string"), F.greatest(F.size("_h") - F.size(fields), F.lit(0)))
+    m = F.map_from_arrays(F.col("_h"), F.concat(fields, pad))
     cols = []
     for f in schema.fields:
         v = F.try_element_at(m, F.lit(f.name))
@@ -111,16 +111,22 @@ def read_by_header(spark: SparkSession, paths: str | Sequence[str], schema: T.St
 
 
 def read_clips(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """S4 scan: the rows of ``read_clips_checked``."""
+    return read_clips_checked(spark, paths)[0]
+
+
+def read_clips_checked(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """S4 scan: bucket and split files of all datasets in one read, keys from paths.
 
     Files of older releases lack columns or call ``accents`` ``accent``; fields
     are mapped by each file's header, so layouts may be mixed in one read.
+    Returns (rows, quarantine (file, line) of rows with too many fields).
     """
     schema = T.StructType(list(CLIP_SCHEMA.fields) + [T.StructField("accent", T.StringType())])
-    rows, _ = read_by_header(spark, paths, schema, "client_id")
+    rows, bad = read_by_header(spark, paths, schema, "client_id")
     present = F.array_contains("_h", "accents")
     rows = rows.withColumn("accents", F.when(present, F.col("accents")).otherwise(F.col("accent"))).drop("accent", "_h")
-    return keys_from_path(rows, path_col="file")
+    return keys_from_path(rows, path_col="file"), bad
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -137,12 +143,13 @@ def locales_from_json(spark: SparkSession, path: str) -> DataFrame:
 
 def locales_from_tables(languages: DataFrame, datasets: DataFrame, release_dir: str,
                         fallback: DataFrame | None = None) -> DataFrame:
-    """Locales of a release from (languages, datasets); union with a fallback list
-    (e.g. S6) when given, so a locale missing in one source still appears."""
+    """Locales of a release from (languages, datasets); the fallback list (e.g. S6)
+    counts only when the tables name no locale of the release."""
     from vocalstat.operators.membership import locales_of_release
     found = locales_of_release(datasets, languages, release_dir)
     if fallback is not None:
-        found = found.unionByName(fallback.select("lc")).distinct()
+        none = found.agg((F.count(F.lit(1)) == 0).alias("_none"))  # one row
+        found = found.unionByName(fallback.select("lc").distinct().join(none, how="inner").where("_none").select("lc"))
     return found.orderBy("lc")
 
 
@@ -169,9 +176,18 @@ def read_durations(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
 def read_optional(spark: SparkSession, path: str | None, schema: T.StructType) -> DataFrame:
     """An optional input; absent path gives an empty frame of the right schema."""
-    if path and (path.startswith(("s3", "gs", "abfs", "hdfs")) or os.path.exists(path)):
-        return read_tsv(spark, path, schema)
-    return spark.createDataFrame([], schema)
+    if not path or not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    df = read_tsv(spark, path)  # by header: the file may have further columns, in any order
+    have = set(df.columns)
+    return df.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+                       for f in schema.fields])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's own file systems have the path; other failures are raised."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
@@ -189,11 +205,13 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 BUCKET_TOKEN = "_bucket"  # an empty partition value would come back as null
 
 
-def write_ingested(df: DataFrame, path: str, mode: str = "append") -> None:
+def write_ingested(df: DataFrame, path: str) -> None:
     """S4 sink: the ingested clip table, Parquet partitioned by (ver, lc, alg, sp);
-    bucket rows (alg '') are stored under a non-empty token."""
+    bucket rows (alg '') are stored under a non-empty token. A dataset written
+    again replaces its own partitions, so a repeated run changes nothing."""
     out = df.withColumn("alg", F.when(F.col("alg") == "", F.lit(BUCKET_TOKEN)).otherwise(F.col("alg")))
-    out.write.mode(mode).partitionBy("ver", "lc", "alg", "sp").parquet(path)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("ver", "lc", "alg", "sp").parquet(path))
 
 
 def from_ingested(df: DataFrame) -> DataFrame:
@@ -205,14 +223,19 @@ def read_ingested(spark: SparkSession, path: str) -> DataFrame:
     return from_ingested(read_results(spark, path))
 
 
-def ingest(spark: SparkSession, paths: str | Sequence[str], out: str, existing: str | None = None) -> DataFrame:
-    """Scan release folders, skip datasets already ingested (anti join on keys), append the rest."""
-    clips = read_clips(spark, paths).drop("file")
-    if existing:
-        try:
-            done = read_ingested(spark, existing).select("ver", "lc").distinct()
-            clips = clips.join(done, ["ver", "lc"], "left_anti")
-        except Exception:  # nothing ingested yet
-            pass
+def ingest(spark: SparkSession, paths: str | Sequence[str], out: str, existing: str | None = None,
+           problems: str | None = None) -> DataFrame:
+    """Scan release folders, skip datasets already ingested (anti join on keys), write the rest.
+
+    Lines with too many fields go to ``problems`` (K7) when it is given. A failed
+    lookup of ``existing`` is an error; only a missing path means nothing is there.
+    """
+    clips, bad = read_clips_checked(spark, paths)
+    clips = clips.drop("file")
+    if existing and path_exists(spark, existing):
+        done = read_ingested(spark, existing).select("ver", "lc").distinct()
+        clips = clips.join(done, ["ver", "lc"], "left_anti")
     write_ingested(clips, out)
+    if problems:
+        bad.write.mode("overwrite").option("sep", "\t").csv(problems)
     return clips

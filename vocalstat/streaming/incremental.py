@@ -12,13 +12,12 @@ only files not seen before; a lost executor replays the batch.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vocalstat.plans import pipeline
-from vocalstat.sources import sinks
 from vocalstat.sources.tsv import from_ingested, read_ingested
 
 
@@ -27,19 +26,21 @@ def touched_datasets(batch: DataFrame) -> DataFrame:
 
 
 def recompute(spark: SparkSession, table: str, datasets: DataFrame, out: str,
-              durations: DataFrame | None = None) -> None:
-    """Recompute split statistics of ``datasets`` from the whole ingested table."""
-    # semi join on the partition columns with the (small, per-batch) dataset list:
-    # dynamic partition pruning reads only those datasets' folders
-    clips = read_ingested(spark, table).join(F.broadcast(datasets.select("ver", "lc").distinct()),
-                                             ["ver", "lc"], "left_semi")
-    ss, cs, _ = pipeline.split_statistics(pipeline.SplitInputs(clips=clips, durations=durations))
-    sinks.write_table(ss, f"{out}/splits")
-    sinks.write_table(cs, f"{out}/cs")
+              inputs: pipeline.SplitInputs | None = None) -> None:
+    """Recompute all records of ``datasets`` from the whole ingested table.
+
+    ``inputs`` gives the tables beside the clips (durations, specs, errors, presets),
+    so that a recomputed dataset has the same columns as in the batch job.
+    """
+    # semi join on the partition columns with the batch's dataset list: dynamic
+    # partition pruning reads only those datasets' folders
+    clips = read_ingested(spark, table).join(datasets.select("ver", "lc").distinct(), ["ver", "lc"], "left_semi")
+    inputs = replace(inputs, clips=clips) if inputs else pipeline.SplitInputs(clips=clips)
+    pipeline.write_results(spark, out, *pipeline.split_statistics(inputs))
 
 
 def start(spark: SparkSession, table: str, out: str, checkpoint: str,
-          durations: DataFrame | None = None,
+          inputs: pipeline.SplitInputs | None = None,
           on_batch: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Start the AvailableNow job over new files of the ingested table."""
     schema = read_ingested(spark, table).schema  # partition values typed as text
@@ -47,7 +48,7 @@ def start(spark: SparkSession, table: str, out: str, checkpoint: str,
 
     def batch(df: DataFrame, epoch: int) -> None:
         df = from_ingested(df)
-        recompute(spark, table, touched_datasets(df), out, durations)
+        recompute(spark, table, touched_datasets(df), out, inputs)
         if on_batch is not None:
             on_batch(df, epoch)
 
