@@ -146,3 +146,9 @@ def test_recompute_has_all_columns(spark, tmp_path):
     for table in ("splits", "cs", "aa"):
         a, b = (tsv.read_results(spark, f"{tmp_path}/{x}/{table}") for x in "ab")
         assert sorted(a.columns) == sorted(b.columns) and a.count() == b.count() > 0
+
+
+def test_tsv_values_stay_in_their_field(spark, tmp_path):
+    from vocalstat.sources import sinks
+    sinks.write_tsv(spark.createDataFrame([("a\tb", "c\nd", "e")], "x string, y string, z string"), f"{tmp_path}/t")
+    assert {r.value for r in spark.read.text(f"{tmp_path}/t").collect()} == {"x\ty\tz", "a\\tb\tc\\nd\te"}

@@ -320,9 +320,10 @@ def spec_rows(spark, sf_dir):
 
 
 def bad_counts(spark, sf_dir):
-    """Clips, no speech, low SNR, low power per event type."""
-    q = audio.quality_counts(spec_rows(spark, sf_dir).withColumn("duration", F.lit(None).cast("long")), ["event_type"])
-    return q.drop("dur")
+    """A31 + A33: clips, seconds, no speech (each 20th user), low SNR, low power per event type."""
+    s = spec_rows(spark, sf_dir).withColumns({
+        "duration": (F.col("value") * 100).cast("long"), "est_snr": F.when(F.col("user_id") % 20 > 0, F.col("est_snr"))})
+    return audio.quality_counts(s, ["event_type"])
 
 
 def bad_rows(spark, sf_dir):
@@ -389,11 +390,11 @@ def error_freq(spark, sf_dir):
 
 
 def value_distributions(spark, sf_dir):
-    """Labels (as text) and counts of three lineitem columns per return flag."""
+    """Labels (as text) and counts of four lineitem columns per return flag."""
     li = load(spark, sf_dir, "lineitem").select(
         "l_returnflag", F.col("l_linenumber").alias("orig_encoding"), F.col("l_linestatus").alias("orig_num_channels"),
-        F.col("l_quantity").cast("long").alias("orig_sample_rate"), F.col("l_tax").cast("string").alias("orig_bitrate_kbps"))
-    return audio.value_distributions(li.withColumn("orig_bitrate_kbps", F.lit(None).cast("string")), ["l_returnflag"])
+        F.col("l_quantity").cast("long").alias("orig_sample_rate"), F.round(F.col("l_tax") * 100).cast("long").alias("orig_bitrate_kbps"))
+    return audio.value_distributions(li, ["l_returnflag"])
 
 
 # ---------------------------------------------------------------- reported (conversations)

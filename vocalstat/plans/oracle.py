@@ -271,8 +271,9 @@ FROM ({timed}) WHERE duration IS NOT NULL GROUP BY l_returnflag""",
         "duration_hist": hist_sql(timed, ["l_returnflag"], "duration", bins.DURATION),
         **_speed_sql(),
         "bad_counts": f"""
-SELECT event_type, CAST(count(*) AS BIGINT) AS clips, CAST(count(*) FILTER (WHERE est_snr IS NULL) AS BIGINT) AS no_vad,
-  CAST(count(*) FILTER (WHERE est_snr < {dims.LOW_SNR_THRESHOLD}) AS BIGINT) AS low_snr,
+SELECT event_type, CAST(count(*) AS BIGINT) AS clips, CAST(count(*) FILTER (WHERE user_id % 20 = 0) AS BIGINT) AS no_vad,
+  CAST(round_even(sum(CAST(trunc(value * 100) AS BIGINT)) / 1000.0, 0) AS BIGINT) AS dur,
+  CAST(count(*) FILTER (WHERE user_id % 20 > 0 AND est_snr < {dims.LOW_SNR_THRESHOLD}) AS BIGINT) AS low_snr,
   CAST(count(*) FILTER (WHERE speech_power < {dims.LOW_POWER_THRESHOLD}) AS BIGINT) AS low_power
 FROM ({specs}) GROUP BY event_type""",
         "bad_rows": f"""
@@ -286,7 +287,8 @@ FROM ({snr}) WHERE snr IS NOT NULL GROUP BY event_type""",
 SELECT l_returnflag, measure, label, CAST(count(*) AS BIGINT) AS cnt FROM (
   SELECT l_returnflag, 'enc' AS measure, CAST(l_linenumber AS VARCHAR) AS label FROM lineitem
   UNION ALL SELECT l_returnflag, 'chan', l_linestatus FROM lineitem
-  UNION ALL SELECT l_returnflag, 'srate', CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) FROM lineitem)
+  UNION ALL SELECT l_returnflag, 'srate', CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) FROM lineitem
+  UNION ALL SELECT l_returnflag, 'brate', CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR) FROM lineitem)
 WHERE label IS NOT NULL GROUP BY ALL""",
         "reported_stats": f"""
 SELECT (SELECT CAST(count(*) AS BIGINT) FROM ({reports})) AS rep_sum,

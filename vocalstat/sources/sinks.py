@@ -31,8 +31,17 @@ def arrays_as_text(df: DataFrame) -> DataFrame:
 
 def write_tsv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
               header: bool = True, compression: str | None = None) -> None:
-    """K1: TAB-separated, no quoting, backslash escape, values written as they are."""
-    w = (arrays_as_text(df).write.mode(mode).option("partitionOverwriteMode", "dynamic").option("sep", "\t").option("header", header)
+    """K1: TAB-separated, no quoting, backslash escape, values written as they are.
+
+    A TAB or line end inside a value is written as ``\\t``, ``\\n`` or ``\\r``: the
+    writer would otherwise wrap the value in its quote character.
+    """
+    df = arrays_as_text(df)
+    for c, t in df.dtypes:
+        if t == "string" and c not in partition_by:
+            for raw, mark in (("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+                df = df.withColumn(c, F.replace(F.col(f"`{c}`"), F.lit(raw), F.lit(mark)))
+    w = (df.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("sep", "\t").option("header", header)
          .option("quote", "\u0000").option("escape", "\\").option("emptyValue", "")
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if compression:
