@@ -182,6 +182,11 @@ def test_archives_give_back_payloads(spark, tmp_path):
     back = {(r["page_id"], r["url"]): bytes(r["payload"]).decode() for r in W.read_archives(spark, at).collect()}
     assert back == {(r["page_id"], r["url"]): r["html"] for r in pages.collect()}
     assert W.read_archives(spark, at).where("error IS NOT NULL").count() == 0
+    whole = sorted((tmp_path / "warc" / "archives").glob("*.warc.zst"))[0]
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut" / "cut.warc.zst").write_bytes(whole.read_bytes()[:-40])
+    errors = [r["error"] for r in W.read_archives(spark, f"file://{tmp_path}/cut").collect()]
+    assert len(errors) > 1 and [e for e in errors if e] == [errors[-1]] and errors[-1].startswith("damaged archive")
 
 
 def test_records_are_checked():

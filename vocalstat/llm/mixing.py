@@ -10,10 +10,10 @@ as it is, and so does each document's expectation.
 The pairing is a reduction tree: rows are dealt by hash into leaves of about ``LEAF`` rows of one
 source, a leaf leaves one unfinished row at most, and ``FAN`` leaves are combined on the next
 level, until one row of a source is left. A hot source has more leaves, not larger ones. All
-random numbers come from hashes of doc_id, so that reruns and lost tasks give the same mix.
+random numbers come from hashes of doc_id and text, so that reruns and lost tasks give the same mix.
 
 Defined cases: null text has size 0; documents of size 0 take part with a fraction of their own
-and no words; the null source is one source, last in order; equal doc_ids are told apart by size,
+and no words; the null source is one source, last in order; equal doc_ids are told apart by text,
 and rows that are equal in both are interchangeable; null ids are ids like others; empty tables
 give empty results; further columns are not read.
 """
@@ -112,9 +112,9 @@ def round_copies(rows: DataFrame, targets: DataFrame) -> DataFrame:
     per = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     same = rows["source"].eqNullSafe(targets["source"])
     r = rows.join(targets, same).drop(targets["source"]).withColumns({
-        "whole": F.floor(per), "p": per - F.floor(per), "r": F.xxhash64(F.lit(SEED), "doc_id"),
+        "whole": F.floor(per), "p": per - F.floor(per), "r": F.xxhash64(F.lit(SEED), "doc_id", "h"),
         "leaves": F.greatest(F.lit(1), F.ceil(F.col("n") / LEAF))})
-    r = r.withColumn("leaf", F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), "leaves")).drop("n")
+    r = r.withColumn("leaf", F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id", "h"), "leaves")).drop("n")
     most = targets.agg(F.max("n")).first()[0] or 0
     level, leaves, done = 0, -(-most // LEAF), None
     schema = r.schema
@@ -128,7 +128,7 @@ def round_copies(rows: DataFrame, targets: DataFrame) -> DataFrame:
         r = r.withColumn("leaf", F.floor(F.col("leaf") / FAN))
         level, leaves = level + 1, -(-leaves // FAN)
     # one row of a source is left: its fraction is the chance of one more copy
-    chance = F.pmod(F.xxhash64(F.lit(SEED + 2), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    chance = F.pmod(F.xxhash64(F.lit(SEED + 2), "doc_id", "h"), F.lit(1 << 40)) / float(1 << 40)
     last = r.withColumn("p", F.when(chance < F.col("p"), 1.0).otherwise(0.0))
     return done.unionByName(last).select("doc_id", "source", "h", "size", "source_size", "target",
                                          (F.col("whole") + F.col("p")).cast("int").alias("copies"))

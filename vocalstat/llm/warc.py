@@ -184,19 +184,23 @@ READ = "page_id long, url string, payload binary, payload_bytes long, payload_di
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """One row per record of the archives at ``path``; a record that fails its checks has an ``error`` only."""
+    """One row per record of the archives at ``path``; a record that fails its checks has an ``error`` only,
+    and so has, once, what follows a damaged frame of an archive."""
     names = [c.split()[0] for c in READ.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for archive in batch.column("content"):
                 rows = []
-                for data in frames(archive.as_py()):
-                    try:
-                        row = parse(data)
-                    except ValueError as e:
-                        row = {"error": str(e)}
-                    rows.append(row if payloads else row | {"payload": None})
+                try:
+                    for data in frames(archive.as_py()):
+                        try:
+                            row = parse(data)
+                        except ValueError as e:
+                            row = {"error": str(e)}
+                        rows.append(row if payloads else row | {"payload": None})
+                except (ValueError, zstandard.ZstdError) as e:
+                    rows.append({"error": f"damaged archive: {e}"})
                 yield pa.RecordBatch.from_pydict({n: [r.get(n) for r in rows] for n in names}, schema=schema)
 
     from pyspark.sql.pandas.types import to_arrow_schema
