@@ -36,7 +36,8 @@ class DigestIndex:
 
     def append(self, digests: DataFrame) -> None:
         """Add the digests of (doc_id, digest) rows that the index lacks, each with its largest doc_id."""
-        batch = digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id"))
+        # written first: the optimizer would else push the anti-join below the grouping, onto every copy
+        batch = materialize(digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id")), "batch")
         new = batch.join(self.rows().hint("merge"), "digest", "left_anti")
         (new.repartition(self.buckets, "digest").sortWithinPartitions("digest")
             .select("digest", "keep_id").write.mode("append").insertInto(self.table))
