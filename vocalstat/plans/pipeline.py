@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from vocalstat.functions import dims
 from vocalstat.functions.exprs import unify_clips
-from vocalstat.operators import audio, matrix, membership, reported, speed, splits, textcorpus
+from vocalstat.operators import audio, corpus, matrix, membership, reported, speed, splits, textcorpus
 from vocalstat.sources import sinks
 from vocalstat.session import materialize as materialize_df
 
@@ -68,17 +68,21 @@ def split_statistics(inp: SplitInputs) -> tuple[DataFrame, DataFrame, DataFrame]
     return ss, cs, aa
 
 
-def text_corpus_statistics(corpus: DataFrame, index: DataFrame, split_rows: DataFrame,
+def text_corpus_statistics(base: DataFrame, index: DataFrame, split_rows: DataFrame,
                            capabilities: DataFrame | None = None) -> DataFrame:
     """Text-corpus records per (ver, lc, algo, sp): the version's corpus as a
     whole (algo = sp = ''), its buckets (labelled with the first algorithm, Q14)
     and its algorithm splits (J3 + J4)."""
-    base = membership.restrict_to_index(corpus, index)  # has ver
+    return textcorpus.text_corpus_stats(text_corpus_rows(base, index, split_rows), KEYS, capabilities)
+
+
+def text_corpus_rows(base: DataFrame, index: DataFrame, split_rows: DataFrame) -> DataFrame:
+    """The corpus rows behind E2: of each version as a whole, and of its buckets and splits."""
+    base = membership.restrict_to_index(base, index)  # has ver
     glob = base.withColumn("alg", F.lit("")).withColumn("sp", F.lit(""))
     used = membership.corpus_rows_of_splits(base, split_rows, split_keys=("alg", "sp"))
     used = used.withColumn("alg", F.when(F.col("alg") == "", F.lit(dims.ALGORITHMS[0])).otherwise(F.col("alg")))
-    rows = glob.unionByName(used.select(*glob.columns))
-    return textcorpus.text_corpus_stats(rows, KEYS, capabilities)
+    return glob.unionByName(used.select(*glob.columns))
 
 
 def reported_statistics(reports: DataFrame, work: DataFrame | None = None) -> DataFrame:
@@ -106,3 +110,77 @@ def missing_datasets(possible: DataFrame, results_path: str | None, spark: Spark
     if results_path is None or force or not path_exists(spark, results_path):
         return possible.select("ver", "lc").distinct()
     return membership.work_left(possible, read_results(spark, results_path).select("ver", "lc").distinct())
+
+
+def corpus_job(spark: SparkSession, out: str, validated: DataFrame, versions: DataFrame, old_sentences: DataFrame | None = None,
+               rules: DataFrame | None = None, phonemes: DataFrame | None = None) -> None:
+    """A18 / A19 with K8-K10: extend the stored corpus and write the version indexes, disabled and not found sentences.
+
+    The corpus is written to a new folder and the old one is only read, so a failed
+    run leaves the last corpus as it was; the newest complete folder counts.
+    """
+    from vocalstat.sources.tsv import finished_folders
+    runs = finished_folders(spark, f"{out}/corpus")
+    before = spark.read.parquet(f"{out}/corpus/{runs[-1]}") if runs else None
+    grown, _ = corpus.extend_corpus(before, validated, rules, phonemes)
+    now = f"{out}/corpus/run-{len(runs):06d}"
+    grown.write.mode("overwrite").parquet(now)
+    index, disabled, missing = corpus.version_indexes(spark.read.parquet(now), versions, old_sentences)
+    sinks.write_table(sinks.version_index(index), f"{out}/index")
+    sinks.write_table(sinks.disabled_sentences(disabled), f"{out}/disabled")
+    sinks.write_table(missing, f"{out}/not_found")
+
+
+def text_job(out: str, base: DataFrame, index: DataFrame, split_rows: DataFrame, capabilities: DataFrame | None = None,
+             level: int = sinks.SAVE_DEFAULT) -> None:
+    """Text records of versions and splits, and the frequency tables that the save level keeps (K6)."""
+    rows = materialize_df(text_corpus_rows(base, index, split_rows), "texts")
+    sinks.write_table(textcorpus.text_corpus_stats(rows, KEYS, capabilities), f"{out}/tc")
+    if "sentence_domain" not in rows.columns:
+        rows = rows.withColumn("sentence_domain", F.lit(None).cast("string"))
+    tables = {"tokens": textcorpus.token_table(rows, KEYS), "graphemes": textcorpus.grapheme_table(rows, KEYS, "sentence"),
+              "domains": textcorpus.domain_table(rows, KEYS)}
+    if "phonemised" in rows.columns:
+        tables["phonemes"] = textcorpus.grapheme_table(rows, KEYS, "phonemised", "phoneme")
+    for name, freq in tables.items():
+        sinks.write_table(sinks.frequency_tables_to_save(freq, level), f"{out}/freq_{name}")
+    _, unknown = textcorpus.domain_counts(tables["domains"], KEYS)  # labels outside the map (Q12)
+    sinks.write_table(unknown, f"{out}/unknown_domains")
+
+
+def reported_job(out: str, reports: DataFrame, work: DataFrame | None = None) -> None:
+    """E2 (reported): records per locale folder (K4)."""
+    sinks.write_reported(reported_statistics(reports, work), f"{out}/reported")
+
+
+def summary_job(spark: SparkSession, out: str, locales: DataFrame, date: str) -> None:
+    """The combined table (K5), the support matrix with its totals, and the configuration row."""
+    from vocalstat.sources.tsv import read_results
+    ss = read_results(spark, f"{out}/splits")
+    sinks.write_table(sinks.combined(ss), f"{out}/combined", partition_by=())
+    sinks.write_table(support_matrix(ss, locales), f"{out}/support", partition_by=())
+    sinks.write_table(matrix.combined_counts(ss), f"{out}/totals", partition_by=())
+    names = [r["lc"] for r in locales.select("lc").distinct().orderBy("lc").collect()]  # a row per locale
+    sinks.write_table(matrix.config_row(spark, names, date), f"{out}/config", partition_by=())
+
+
+def bad_clip_job(out: str, clips: DataFrame, specs: DataFrame) -> None:
+    """Bad clips of the main buckets, one row a clip, ordered by clip_id within each dataset's files."""
+    bad = audio.bad_clips(audio.specs_for_splits(clips.select(*KEYS, "path"), audio.dedup_specs(specs)), KEYS)
+    sinks.write_table(bad.repartition("lc", "ver").sortWithinPartitions("lc", "ver", "clip_id"), f"{out}/bad_clips")
+
+
+def export_job(spark: SparkSession, out: str, clips: DataFrame) -> DataFrame:
+    """J10 + K13: export the training splits that the manifest lacks, then add them to it.
+
+    Files are written before their manifest rows, and exporting again overwrites the
+    same folders, so a run that broke off is simply repeated. Returns what was exported.
+    """
+    from vocalstat.sources.tsv import path_exists, read_results
+    training = clips.where((F.col("alg") != "") & F.col("sp").isin(*dims.TRAINING_SPLITS))
+    at = f"{out}/manifest"
+    made = read_results(spark, at) if path_exists(spark, at) else sinks.manifest(training).limit(0)
+    todo = materialize_df(membership.exports_left(training, made), "exports")
+    sinks.export_splits(training.join(todo, ["ver", "lc", "alg"], "left_semi"), f"{out}/exports")
+    sinks.manifest(todo).write.mode("append").parquet(at)
+    return todo

@@ -190,6 +190,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path`` that a writer finished, in order: one per run."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/*/_SUCCESS")
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+    return sorted(f.getPath().getParent().getName() for f in found or [])
+
+
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """Read back our own result table (Parquet, partitioned); ver stays a string (Q15)."""
     key = "spark.sql.sources.partitionColumnTypeInference.enabled"
