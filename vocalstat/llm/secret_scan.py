@@ -20,7 +20,6 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -64,13 +63,11 @@ def _codes(s: str) -> np.ndarray:
     return _CODE[np.frombuffer(s.encode("latin-1", "replace"), np.uint8)]
 
 
-def transitions(strings: list[str]) -> Counter:
-    """How often each state follows another; a string starts in the state of no character."""
-    out: Counter = Counter()
-    for s in strings:
-        c = np.concatenate([[_OTHER], _codes(s)])
-        out.update((c[:-1] * STATES + c[1:]).tolist())
-    return out
+def transitions(strings: list[str]) -> np.ndarray:
+    """How often each state is followed by each character; a string starts in the state of no character."""
+    c = _codes("\n" + "\n".join(strings))  # the line end has that state
+    steps = (c[:-1] * STATES + c[1:])[c[1:] != _OTHER]
+    return np.bincount(steps, minlength=STATES * STATES)
 
 
 def drawn_strings(n: int = DRAWN, seed: int = SEED) -> list[str]:
@@ -89,16 +86,17 @@ def identifiers(words: list[str]) -> list[str]:
 
 
 def _labelled(ids: list, texts: list) -> dict:
-    rows: Counter = Counter()
+    n = np.zeros((2, STATES * STATES), np.int64)
     for text in texts:
         spans = base_spans(text)
         found = [text[a:b].rpartition("=")[2] if kind == "assign" else text[a:b] for kind, a, b in spans]
         for a, b in sorted(((a, b) for _, a, b in spans), reverse=True):
             text = text[:a] + " " + text[b:]
         words = re.findall(r"[A-Za-z]+", text)
-        for label, strings in ((1, found), (0, identifiers(words))):
-            rows.update({(label, k): n for k, n in transitions(strings).items()})
-    return {"label": [k[0] for k in rows], "step": [k[1] for k in rows], "n": list(rows.values())}
+        n[1] += transitions(found)
+        n[0] += transitions(identifiers(words))
+    label, step = np.nonzero(n)
+    return {"label": label.tolist(), "step": step.tolist(), "n": n[label, step].tolist()}
 
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> np.ndarray:
@@ -109,8 +107,7 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> np.ndarray:
     n = np.zeros((2, STATES * STATES))
     for label, step, k in counts.groupBy("label", "step").agg(F.sum("n")).collect():  # 2 x STATES^2 rows at most
         n[label, step] += k
-    for step, k in transitions(drawn_strings()).items():
-        n[1, step] += k
+    n[1] += transitions(drawn_strings())
     n = n.reshape(2, STATES, STATES) + 0.5
     p = n / n.sum(axis=2, keepdims=True)
     return np.log(p[1]) - np.log(p[0])
