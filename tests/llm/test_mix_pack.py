@@ -123,7 +123,7 @@ def test_packs_hold_every_piece_once(counts):
         for length in lengths:
             held[length] = held.get(length, 0) + n
     assert held == counts
-    best = sum(n for _, n in K._best_fit([], counts, 64))
+    best = sum(n for _, n in K._best_fit([], dict(counts), 64))
     assert sum(n for _, n in packs) <= best + max(2, 0.05 * best)
 
 

@@ -8,7 +8,10 @@
    less weight on short lengths, which fit anywhere. Counts are rounded down, and each repeat
    takes exact lengths that fill its sequence to the last token, as far as there are such.
 3. Residual pieces go through best fit by decreasing length, on the histogram: all pieces of one
-   length and all sequences of one room at once.
+   length and all sequences of one room at once. Residual pieces of over half a sequence are
+   placed, and their room filled, before the patterns of shorter pieces are taken. On sparse
+   histograms the fit may take pieces that others need; so smaller shares of the repeats are
+   tried too, and the plan with clearly fewer sequences counts.
 4. The plan says for each length which ranks go where. It is a few thousand rows for any corpus.
    Ranks are the place in the task plus an offset per (task, length); the pieces are placed by a
    binary search in the plan.
@@ -47,6 +50,8 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Units below this share of a sequence count ``LIGHT`` in the fit.
 SHORT, LIGHT = 1 / 8, 0.1
+#: Shares of the fitted repeats that are tried; a smaller one counts if it saves more than ``SLACK``.
+SHARES, SLACK = (1.0, 0.75, 0.5, 0.25), 0.001
 
 
 @lru_cache(1)
@@ -179,21 +184,43 @@ def fit_packs(counts: dict[int, int], most: int = MAX, grid: int = GRID) -> list
     hist = np.zeros(grid + 1)
     for length, n in counts.items():
         hist[-(-length // unit)] += n
-    left, packs = dict(counts), []
-    if ways := patterns(grid, hist):
-        a = np.zeros((grid + 1, len(ways)))
-        for j, way in enumerate(ways):
-            np.add.at(a[:, j], list(way), 1.0)
-        weight = np.where(np.arange(grid + 1) < SHORT * grid, LIGHT, 1.0)
-        x = nnls(a * weight[:, None], hist * weight)
-        for j in np.argsort(-x, kind="stable"):
-            if (n := int(x[j] + 1e-9)) > 0:
-                packs += _fill(ways[j], n, left, unit, most)
-    return _best_fit(packs, {length: n for length, n in left.items() if n}, most)
-
-
-def _best_fit(packs: list[tuple[tuple[int, ...], int]], rest: dict[int, int], most: int) -> list[tuple[tuple[int, ...], int]]:
-    """Put the rest, longest first, where the least room remains; equal pieces and equal packs at once."""
+    if not (ways := patterns(grid, hist)):
+        return _best_fit([], dict(counts), most)
+    a = np.zeros((grid + 1, len(ways)))
+    for j, way in enumerate(ways):
+        np.add.at(a[:, j], list(way), 1.0)
+    weight = np.where(np.arange(grid + 1) < SHORT * grid, LIGHT, 1.0)
+    x = nnls(a * weight[:, None], hist * weight)
+    fitted = [(ways[j], float(x[j]) + 1e-9) for j in np.argsort(-x, kind="stable") if x[j] > 1e-9]
+    best = None
+    for share in SHARES:
+        packs = _take(fitted, share, dict(counts), unit, most)
+        n = sum(k for _, k in packs)
+        if best is None or n < best[0] * (1 - SLACK):
+            best = n, packs
+    return best[1]
+
+
+def _take(fitted: list[tuple[tuple[int, ...], float]], share: float, left: dict[int, int], unit: int, most: int) -> list[tuple[tuple[int, ...], int]]:
+    """Packs from a share of the fitted repeats, and best fit for what they leave."""
+    half, packs = most // 2 // unit, []
+    # Patterns around a piece over half a sequence come first. Such pieces that no pattern holds
+    # need a sequence each, so their room is filled before the other patterns are taken.
+    for way, x in fitted:
+        if max(way) > half and (n := int(share * x)):
+            packs += _fill(way, n, left, unit, most)
+    packs = _best_fit(packs, left, most, most // 2)
+    for way, x in fitted:
+        if max(way) <= half and (n := int(share * x)):
+            packs += _fill(way, n, left, unit, most)
+    return _best_fit(packs, left, most)
+
+
+def _best_fit(packs: list[tuple[tuple[int, ...], int]], rest: dict[int, int], most: int, opens: int = 0) -> list[tuple[tuple[int, ...], int]]:
+    """Put the rest, longest first, where the least room remains; equal pieces and equal packs at once.
+
+    Only pieces of over ``opens`` tokens open sequences; what finds no room stays in ``rest``.
+    """
     rooms: dict[int, list[list]] = defaultdict(list)
     open_ = np.zeros(most + 1, np.int64)
 
@@ -208,12 +235,15 @@ def _best_fit(packs: list[tuple[tuple[int, ...], int]], rest: dict[int, int], mo
         n = rest[length]
         while n:
             fits = np.nonzero(open_[length:])[0]
+            if not len(fits) and length <= opens:
+                break
             if not len(fits):
                 each = most // length
                 if n >= each:
                     add((length,) * each, n // each)
                 if n % each:
                     add((length,) * (n % each), 1)
+                n = 0
                 break
             room = length + int(fits[0])
             pack = rooms[room][-1]
@@ -224,6 +254,7 @@ def _best_fit(packs: list[tuple[tuple[int, ...], int]], rest: dict[int, int], mo
                 rooms[room].pop()
             add((*pack[0], length), m)
             n -= m
+        rest[length] = n
     return [(lengths, n) for room in sorted(rooms) for lengths, n in rooms[room]]
 
 
