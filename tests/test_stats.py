@@ -78,6 +78,15 @@ def test_distinct_with_null(spark):
     assert (r["a"], r["b"]) == (3, 2)
 
 
+def test_sentence_counts_count_whole_texts(spark):
+    from vocalstat.operators.textcorpus import sentence_counts
+    long = "word " * 30000
+    rows = [("tr", t, n, 1) for t, n in ((long, "w"), (long + "x", "w"), (long, "w"), ("", ""), (" ", ""), (None, None), ("é", "é"), ("e\u0301", "é"))]
+    df = spark.createDataFrame([*rows, ("de", None, None, 0)], "lc string, sentence string, normalized string, valid int")
+    r = {x.lc: (x.s_cnt, x.val, x.uq_s, x.uq_n) for x in sentence_counts(df, ["lc"]).collect()}
+    assert r == {"tr": (8, 8, 6, 3), "de": (1, 0, 0, 0)}
+
+
 def test_margin_matrix_matches_pandas(spark):
     rng = np.random.default_rng(3)
     n = 500

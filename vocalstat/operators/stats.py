@@ -74,6 +74,17 @@ def item_frequency(df: DataFrame, keys: Sequence[str], items: str | Column,
 # A6 / A7 distinct counts
 # --------------------------------------------------------------------------
 
+def text_key(c: str | Column) -> Column:
+    """32 bytes that stand for a whole text (its SHA-256; null stays null).
+
+    A distinct count shuffles its column once per distinct aggregate. Counted by
+    this key, equal texts still count once, and a shuffled row has the same size
+    however long the text is. It pays for long texts; short items go as they are.
+    """
+    x = F.col(c) if isinstance(c, str) else c
+    return F.unhex(F.sha2(x.cast("binary"), 256))
+
+
 def distinct_with_null(c: str | Column) -> Column:
     """Distinct values with null counted once (``unique().shape[0]``)."""
     x = F.col(c) if isinstance(c, str) else c

@@ -30,8 +30,8 @@ def sentence_counts(df: DataFrame, keys: Sequence[str], sentence: str = "sentenc
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("s_cnt"),
         F.coalesce(F.sum(F.col(valid).cast("long")), F.lit(0)).cast("long").alias("val"),
-        stats.distinct_non_null(sentence).alias("uq_s"),
-        stats.distinct_non_null(normalized).alias("uq_n"),
+        stats.distinct_non_null(stats.text_key(sentence)).alias("uq_s"),
+        stats.distinct_non_null(stats.text_key(normalized)).alias("uq_n"),
     )
 
 
