@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -145,6 +146,19 @@ def test_op6(spark):
     assert len(got) == len(urls) and np.mean([f"/{r['lang']}/" in urls[r["page_id"]] for r in got]) > 0.97
 
 
+def test_open_markup_of_long_pages():
+    assert L.visible_text("a<script>x</script >b<!-- y -->c<p class='z'>d").split() == ["a", "b", "c", "d"]
+    assert L.visible_text("1 < 2 &amp; 3 <3 <b>4").split() == ["1", "<", "2", "&", "3", "<3", "4"]
+    assert L.visible_text("seen <style>.a{}").split() == L.visible_text("seen <!-- no").split() == L.visible_text("seen <b class").split() == ["seen"]
+    assert L.declared_language("<!doctype html><html class=a xml:lang='de-AT'>") == "de"
+    began = time.monotonic()
+    for part in ("<script ", "<!-- ", "<", "<b ", "<html x ", "</", "<html  lang ", "<template></"):
+        page = part * (1_000_000 // len(part))
+        L.visible_text(page)
+        assert L.declared_language(page) is None
+    assert time.monotonic() - began < 30  # hours, if each part were searched to the end
+
+
 def test_evidence_is_fused(spark):
     rng = random.Random(2)
     word = {"en": "the and of with this that from have been".split(), "fr": "les des une avec pour dans est que".split()}

@@ -11,7 +11,8 @@ product of prior and likelihoods.
 The trigram models are trained on ``TRAIN_ROWS`` labelled documents at most, those with the
 smallest hashes of doc_id; counts (languages x ``BUCKETS``) are what reaches the driver.
 
-Defined cases: null html is the empty page, which the other evidence decides; a null or odd url
+Defined cases: comments, scripts and tags that a page leaves open reach to its end; a "<" that no
+tag follows is text; null html is the empty page, which the other evidence decides; a null or odd url
 has the empty host; a declaration other than of the known languages counts as none; ties go to
 the language first in code point order; without labelled documents the language is null; repeated
 rows count each; null ids stay null; empty tables give empty results; further columns are not read.
@@ -39,9 +40,10 @@ PSEUDO = 1.0
 #: Counts that a domain's prior weighs in its hosts', and the prior of all pages in a domain's.
 HOST_WEIGHT, DOMAIN_WEIGHT = 10.0, 20.0
 
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>", re.S | re.I)
-_TAG = re.compile(r"<[^>]*>")
-_DECLARED = re.compile(r"<html\b[^>]*?\s(?:xml:)?lang\s*=\s*[\"']?\s*([A-Za-z]{2,3})\b", re.I)
+# What a page leaves open ends with the page, as in browsers; so no pattern reads the same text twice.
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_TAG = re.compile(r"<[/!?A-Za-z][^>]*(?:>|\Z)")
+_DECLARED = re.compile(r"<html\b[^<>]*?\s(?:xml:)?lang\s*=\s*[\"']?\s*([A-Za-z]{2,3})\b", re.I)
 
 
 def visible_text(page: str) -> str:
