@@ -34,6 +34,16 @@ def test_fingerprint_blocks_and_likeness(monkeypatch):
     assert fp == P.fingerprint(edited) and 0.5 < P.likeness(whole, fp) < 0.95 and P.likeness(whole, P.fingerprint(other)) < 0.35
 
 
+def test_soft_lanes_of_long_texts_do_not_wrap():
+    text = "the same phrase again\n" * 40_000
+    fp = P.fingerprint(text)
+    edited, efp = P.replace_end(text, fp, "other words that were not there before " * 100)
+    assert efp == P.fingerprint(edited) and P.likeness(fp, efp) > 0.95
+    assert abs(P.unpack(fp)[1]).max() >= 40_000
+    ends = P.np.array([2**30, -2**30, -1, 0] * (P.SOFT // 4))
+    assert (P.unpack(P.pack(P.np.zeros(P.WIDE, P.np.uint64), ends))[1] == ends).all()
+
+
 def test_op1(spark, tmp_path):
     sf = T.written(spark, tmp_path)
     got = P.op1_fingerprints(spark, sf).collect()

@@ -6,9 +6,13 @@ of paragraphs doesn't matter, and inserting or deleting a paragraph adds or subt
 
 The vector has two parts. ``WIDE`` lanes modulo 2^64 come from a 512-bit digest of the paragraph:
 equal multisets of paragraphs have equal sums, others differ but by chance of about 2^-512.
-``SOFT`` lanes modulo 2^16 sum signed hashes of the paragraph's word pairs, so that the cosine
-of two fingerprints' soft lanes estimates the share of word pairs in common. Likeness is 1 for
-equal fingerprints and otherwise that cosine, cut to 0..1.
+``SOFT`` lanes modulo 2^32 sum signed hashes of the paragraph's word pairs, so that the cosine
+of two fingerprints' soft lanes estimates the share of word pairs in common. A text of Spark's
+2^31 bytes has at most 2^30 pairs, so no lane wraps. Likeness is 1 for equal fingerprints and
+otherwise that cosine, cut to 0..1.
+
+In the stored bytes the soft lanes have their sign in the lowest bit and stand by bytes, all
+lowest ones first: the higher bytes of short texts are runs of zeros, which take no room.
 
 Defined cases: null counts as empty; a text without paragraphs has the zero fingerprint, which
 is like itself (1) and like no other (0); words of over 16 bytes, so also text without spaces,
@@ -101,11 +105,14 @@ def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pack(wide: np.ndarray, soft: np.ndarray) -> bytes:
-    return wide.astype("<u8").tobytes() + (soft & 0xFFFF).astype("<u2").tobytes()
+    lanes = soft.astype("<i4")
+    lanes = (lanes << 1) ^ (lanes >> 31)
+    return wide.astype("<u8").tobytes() + lanes.view(np.uint8).reshape(SOFT, 4).T.tobytes()
 
 
 def unpack(fp: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(fp, "<u8", WIDE), np.frombuffer(fp, "<i2", SOFT, 8 * WIDE).astype(np.int64)
+    lanes = np.frombuffer(fp, np.uint8, 4 * SOFT, 8 * WIDE).reshape(4, SOFT).T.copy().view("<u4").ravel().astype(np.int64)
+    return np.frombuffer(fp, "<u8", WIDE), (lanes >> 1) ^ -(lanes & 1)
 
 
 def fingerprint(text: str) -> bytes:
