@@ -100,6 +100,17 @@ def test_models_tell_random_strings(spark):
     assert {r["doc_id"]: [(s["kind"], s["value"]) for s in r["spans"]] for r in spans} == {1: [("random", drawn[0])], 2: []}
 
 
+def test_random_strings_of_letters_only(spark):
+    model = S.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    found = lambda w: any(s[0] == "random" for s in S.all_spans(f"x {w} y", model))
+    for k in (20, 32):
+        assert np.mean([found("".join(rng.choices(letters, k=k))) for _ in range(300)]) > 0.95
+    for w in ("-" * 40, "=" * 40, "_" * 25, "a" * 30, "X" * 30, "internationalizationMethods", "Donaudampfschifffahrtsgesellschaft"):
+        assert not found(w), w
+
+
 def test_trees_walk_as_plain_code():
     rng = np.random.default_rng(5)
     x = rng.normal(size=(600, 4))

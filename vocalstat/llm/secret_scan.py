@@ -2,7 +2,9 @@
 
 Three patterns give the base spans. Besides, every run of 20 or more characters of the secret
 alphabet that no base span touches is scored by two first-order character Markov models; runs
-whose log-likelihood ratio a character is above ``LEAST`` become spans of kind ``random``.
+whose log-likelihood ratio a character is above ``LEAST`` become spans of kind ``random``, be
+they of letters only or not. A character that repeats the one before it never speaks for a
+random string, so that rules of dashes and drawn-out letters are not reported.
 
 The models are trained from labelled samples: strings that the base patterns found and strings
 drawn evenly from usual alphabets (random), and words of the corpus, alone and joined to
@@ -110,7 +112,9 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> np.ndarray:
     n[1] += transitions(drawn_strings())
     n = n.reshape(2, STATES, STATES) + 0.5
     p = n / n.sum(axis=2, keepdims=True)
-    return np.log(p[1]) - np.log(p[0])
+    model = np.log(p[1]) - np.log(p[0])
+    np.fill_diagonal(model, np.minimum(model.diagonal(), 0.0))
+    return model
 
 
 def ratio(s: str, model: np.ndarray) -> float:
@@ -125,7 +129,7 @@ def all_spans(text: str, model: np.ndarray, least: float = LEAST) -> list[tuple[
     taken = [(a, b) for _, a, b in out]
     for m in RUN.finditer(text):
         a, b = m.span()
-        if any(c.isdigit() for c in m[0]) and not any(x < b and a < y for x, y in taken) and ratio(m[0], model) > least:
+        if not any(x < b and a < y for x, y in taken) and ratio(m[0], model) > least:
             out.append(("random", a, b))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
