@@ -111,6 +111,21 @@ def test_random_strings_of_letters_only(spark):
         assert not found(w), w
 
 
+def test_ordinary_runs_with_digits_of_all_documents(spark):
+    rng = random.Random(13)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = S.train(docs)
+    ratios = [S.ratio(w, model) for w in ("2024-05-17-10-32-45-00123", "2023/10/12/news/20231012", "4155552671-4155552672")]
+    assert max(ratios) < S.LEAST, ratios
+    # what only documents beyond a sample of 5,000 hold is counted too, and keys don't make keys ordinary
+    key = lambda: "".join(rng.choices(S.ALPHABET[:62], k=32))
+    many = spark.range(12_000).selectExpr("id doc_id", "if(id = 11999, repeat('qx7zk9-qx7zk9 ', 3000), 'some plain words stand here') text")
+    assert S.ratio("qx7zk9-qx7zk9-qx7zk9-qx7zk9", S.train(many)) < S.LEAST
+    keys = spark.createDataFrame([(i, f"the key {key()} is here") for i in range(200)], "doc_id long, text string")
+    model = S.train(docs.select("doc_id", "text").unionByName(keys))
+    assert np.mean([S.ratio(key(), model) > S.LEAST for _ in range(300)]) > 0.95
+
+
 def test_trees_walk_as_plain_code():
     rng = np.random.default_rng(5)
     x = rng.normal(size=(600, 4))

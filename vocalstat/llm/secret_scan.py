@@ -6,13 +6,14 @@ whose log-likelihood ratio a character is above ``LEAST`` become spans of kind `
 they of letters only or not. A character that repeats the one before it never speaks for a
 random string, so that rules of dashes and drawn-out letters are not reported.
 
-The models are trained from labelled samples: strings that the base patterns found and strings
-drawn evenly from usual alphabets (random), and words of the corpus, alone and joined to
-identifiers (ordinary). Words come from a sample of ``TRAIN_ROWS`` documents at most, those with
-the smallest hashes of doc_id. Only transition counts, a fixed number, reach the driver.
+The models are counted over all documents: strings that the base patterns found and strings
+drawn evenly from usual alphabets are random; words, alone and joined to identifiers, and runs of
+the secret alphabet outside base spans, digits included, are ordinary. A run with a piece of
+letters and digits as long as a reported run's may be a secret itself and isn't counted as
+ordinary, apart from its words. Only transition counts, a fixed number, reach the driver.
 
 Defined cases: null and empty texts have no spans; whole texts are scanned, however long;
-repeated rows are scanned each; null ids stay null; without training rows the models know the
+repeated rows are scanned each; null ids stay null; without documents the models know the
 drawn strings only and no run is above the limit by letters alone; empty tables give empty
 results; further columns are not read.
 """
@@ -29,7 +30,6 @@ from pyspark.sql import functions as F
 
 from vocalstat.llm.common import load, map_rows, whole_text
 
-TRAIN_ROWS = 5_000
 DRAWN = 2_000
 LEAST = 1.2
 SEED = 4
@@ -39,6 +39,8 @@ ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-]+")
+PIECE = re.compile(r"[A-Za-z0-9]{20,}")
 KINDS = ("assign", "access", "hex", "random")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
@@ -87,7 +89,7 @@ def identifiers(words: list[str]) -> list[str]:
     return out
 
 
-def _labelled(ids: list, texts: list) -> dict:
+def _labelled(texts: list) -> dict:
     n = np.zeros((2, STATES * STATES), np.int64)
     for text in texts:
         spans = base_spans(text)
@@ -96,16 +98,14 @@ def _labelled(ids: list, texts: list) -> dict:
             text = text[:a] + " " + text[b:]
         words = re.findall(r"[A-Za-z]+", text)
         n[1] += transitions(found)
-        n[0] += transitions(identifiers(words))
+        n[0] += transitions(identifiers(words) + [run for run in TOKEN.findall(text) if not PIECE.search(run)])
     label, step = np.nonzero(n)
     return {"label": label.tolist(), "step": step.tolist(), "n": n[label, step].tolist()}
 
 
-def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> np.ndarray:
+def train(docs: DataFrame) -> np.ndarray:
     """Log-likelihood ratio of each transition, random over ordinary, as (STATES, STATES)."""
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    sample = docs.join(F.broadcast(ids), "doc_id").select("doc_id", whole_text().alias("text"))  # `rows` ids at most
-    counts = map_rows(sample, _labelled, "label int, step int, n long", "doc_id", "text")
+    counts = map_rows(docs.select(whole_text().alias("text")), _labelled, "label int, step int, n long", "text")
     n = np.zeros((2, STATES * STATES))
     for label, step, k in counts.groupBy("label", "step").agg(F.sum("n")).collect():  # 2 x STATES^2 rows at most
         n[label, step] += k
