@@ -71,6 +71,18 @@ def test_pii_scores_and_checksums(spark):
                    None: [("card", "4111 1111 1111 1111", 0.7)], 5: [], 6: []}
 
 
+def test_ibans_before_other_groups(spark):
+    at, es, gb = "AT61 1904 3002 3457 3201", "ES9121000418450200051332", "GB82 WEST 1234 5698 7654 32"
+    texts = {f"{at} 2024": [at], f"x {es} 12 May": [es], f"{es} MAIL": [es], f"{at} {at} {gb}": [at, at, gb], f"{gb} 2024 {es}": [gb, es], f"é😀 {gb} A": [gb],
+             "AT62 1904 3002 3457 3201 2024": [], f"{es}1 12": [], f"{es}x": [], f"{at}.": [at], f"{at} PLEASE": [at], f"AB12 {at}": [at],
+             "PL61 1090 1014 0000 0712 1981 2874 2024 ABCD": ["PL61 1090 1014 0000 0712 1981 2874"], (at + " ") * 200: [at] * 200}
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in I.find_pii(d).collect():
+        text = list(texts)[r["doc_id"]]
+        got = [s for s in r["spans"] if s["kind"] == "iban"]
+        assert [s["value"] for s in got] == texts[text] and all(text[s["start"]:s["end"]] == s["value"] for s in got), text
+
+
 def test_pii_plan_is_native(spark, tmp_path):
     plan = I.op7_pii(spark, T.written(spark, tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

@@ -1,7 +1,9 @@
 """Personal data by patterns, checksums and context, in DataFrame functions only.
 
 Regular expressions propose spans: email, ip, card and phone (the base kinds) and iban. Luhn's
-sum confirms cards and mod-97 confirms ibans; wrong ones are dropped. A span's score starts from
+sum confirms cards and mod-97 confirms ibans; wrong ones are dropped. An iban is searched from
+each place where one can start: of the groups that follow, up to each space, the longest that
+mod-97 confirms is taken, and one that starts inside another is dropped. A span's score starts from
 its kind, rises if a checksum confirmed it, and rises if a context word of its kind stands within
 ``NEAR`` characters before or after it. Base spans stay whatever their score; ibans need
 ``LEAST``.
@@ -33,8 +35,12 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9]){12,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]{4}){2})",
 }
+#: All groups that an iban's first four characters (its match above) may have after them.
+GROUPS = r"^[A-Z0-9]{4}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Characters and groups that the longest has at most, and characters that the shortest has at least.
+LONGEST, MOST, SHORTEST = 43, 9, 12
 BASE = ("email", "ip", "card", "phone")
 #: Score of a kind by its form, what a checksum adds, and words that speak for it.
 FORM = {"email": 0.8, "ip": 0.6, "card": 0.3, "phone": 0.6, "iban": 0.3}
@@ -76,6 +82,22 @@ def mod97(iban: Column) -> Column:
     return F.aggregate(chars, F.lit(0).cast("long"), step) == 1
 
 
+def _longest_iban(text: Column, start: Column) -> Column:
+    """The longest valid iban from a place on that ends at the end of its groups or at a space, or null."""
+    groups = F.split(F.regexp_extract(F.substring(text, (start + 1).cast("int"), F.lit(LONGEST + 1)), GROUPS, 0), " ")
+    cuts = F.transform(F.sequence(F.size(groups), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(groups, F.lit(1), n), " "))
+    return F.get(F.filter(cuts, lambda c: (F.length(F.regexp_replace(c, " ", "")) >= SHORTEST) & mod97(c)), 0)
+
+
+def _apart(spans: Column) -> Column:
+    """Spans in order without those that start inside one before; ``MOST`` start within the longest."""
+    def free(s: Column, i: Column) -> Column:
+        before = F.slice(spans, F.greatest(F.lit(1), i + 1 - MOST), F.least(i, F.lit(MOST)))
+        return ~F.exists(before, lambda p: p["end"] > s["start"])
+
+    return F.filter(spans, free)
+
+
 def _valid(kind: str, value: Column) -> Column:
     n = F.length(_digits(value))
     if kind == "ip":
@@ -86,7 +108,7 @@ def _valid(kind: str, value: Column) -> Column:
     if kind == "phone":
         return n.between(9, 15)
     if kind == "iban":
-        return mod97(value)
+        return value.isNotNull()
     return F.lit(True)
 
 
@@ -100,9 +122,18 @@ def _starts(gaps: Column, found: Column) -> Column:
 
 
 def _spans(kind: str, text: Column, sums: Column, found: Column) -> Column:
-    def span(value: Column, i: Column) -> Column:
+    def place(i: Column) -> Column:
         block = F.floor(i / BLOCK).cast("int")
-        start = F.get(sums["before"], block) + _sum(F.slice(sums["steps"], block * BLOCK + 1, i - block * BLOCK + 1))
+        return F.get(sums["before"], block) + _sum(F.slice(sums["steps"], block * BLOCK + 1, i - block * BLOCK + 1))
+
+    def at(value: Column, i: Column) -> Column:
+        return F.struct(place(i).alias("start"), value.alias("value"))
+
+    def whole(m: Column) -> Column:
+        return F.struct(m["start"].alias("start"), _longest_iban(text, m["start"]).alias("value"))
+
+    def span(m: Column) -> Column:
+        start, value = m["start"], m["value"]
         around = F.substring(text, F.greatest(F.lit(1), start + 1 - NEAR).cast("int"),
                              (F.least(start, F.lit(NEAR)) + F.length(value) + NEAR).cast("int"))
         near = around.rlike(rf"(?i)(?<![\p{{L}}])(?:{WORDS[kind]})(?![\p{{L}}])")
@@ -110,7 +141,10 @@ def _spans(kind: str, text: Column, sums: Column, found: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"),
                         value.alias("value"), F.least(score, F.lit(1.0)).alias("score"))
 
-    return F.filter(F.transform(found, span), lambda s: _valid(kind, s["value"]) & (F.lit(kind in BASE) | (s["score"] >= LEAST)))
+    matches = F.transform(found, at)
+    if kind == "iban":
+        matches = F.filter(F.transform(matches, whole), lambda m: m["value"].isNotNull())
+    return F.filter(F.transform(matches, span), lambda s: _valid(kind, s["value"]) & (F.lit(kind in BASE) | (s["score"] >= LEAST)))
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
@@ -122,6 +156,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     d = d.withColumns({f"s_{k}": some(k, _starts(F.col(f"g_{k}"), F.col(f"m_{k}"))) for k in PATTERNS})
     none = F.expr("cast(array() as array<struct<kind:string,start:bigint,end:bigint,value:string,score:double>>)")
     d = d.withColumns({f"x_{k}": F.coalesce(some(k, _spans(k, F.col("text"), F.col(f"s_{k}"), F.col(f"m_{k}"))), none) for k in PATTERNS})
+    d = d.withColumn("x_iban", _apart(F.col("x_iban")))
     return d.select("doc_id", F.concat(*[f"x_{k}" for k in PATTERNS]).alias("spans"))
 
 
