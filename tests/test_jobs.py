@@ -1,8 +1,10 @@
 """Whole jobs: what they write can be read back, and a repeated run changes nothing."""
 
 
+import duckdb
+
 from tests import synthetic
-from vocalstat.plans import pipeline
+from vocalstat.plans import jobs, pipeline
 from vocalstat.sources import tsv
 
 
@@ -52,3 +54,23 @@ def test_summary_export_and_bad_clip_jobs(spark, tmp_path):
     pipeline.reported_job(out, spark.createDataFrame([("20.0", "xx", "s1", "user")], "ver string, lc string, sentence_id string, reason string"),
                           spark.createDataFrame([("20.0", "xx"), ("20.0", "yy")], "ver string, lc string"))
     assert {r.lc: r.rep_sum for r in tsv.read_results(spark, f"{out}/reported").collect()} == {"xx": 1, "yy": 0}
+
+
+def same_as_sql(df, sql, table):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{table}.parquet')")
+    cur = con.execute(sql)
+    names = [d[0] for d in cur.description]
+    expected = sorted((tuple(r[names.index(c)] for c in sorted(names)) for r in cur.fetchall()), key=repr)
+    assert sorted((tuple(r[c] for c in sorted(names)) for r in df.collect()), key=repr) == expected and expected
+
+
+def test_files_hold_all_versions_locales_and_buckets(spark):
+    sf = "/root/testdata/sf0.001"
+    same_as_sql(jobs.tsv_round_trip(spark, sf), f"""
+SELECT ver, lc, alg, sp, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS paths,
+  count(*) FILTER (WHERE ver = '20.0' AND accents <> 'nodata' AND CAST(client_id AS BIGINT) % 2 = 0) AS accents,
+  count(*) FILTER (WHERE ver = '20.0' AND age <> 'nodata') AS ages, max(sentence) AS last
+FROM ({jobs._release_sql()}) GROUP BY ALL""", "events")
+    same_as_sql(jobs.plain_files(spark, sf).where("source NOT IN ('lines', 'specs', 'absent')"),
+                "SELECT count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS total, lang AS source FROM documents GROUP BY lang", "documents")

@@ -347,16 +347,14 @@ FROM e LEFT JOIN {table} ON v.ver = e.ver GROUP BY ALL"""
 def tsv_round_trip(spark, sf_dir):
     """Clips exported as compressed TSV below release folders, read back by header, ingested twice."""
     base = scratch_path(spark, "release")
-    c = release_clips(spark, sf_dir)
-    for ver in VERSIONS[1:]:
-        part = c.where((F.col("ver") == ver) & (F.col("alg") == "")).drop("ver", "alg", *(["accent"] if ver == "20.0" else ["accents", "age"]))
-        for lc in ("l0", "l1"):
-            folder = f"{base}/{dims.release_dir(ver)}/{lc}/validated.tsv"
-            sinks.write_tsv(part.where((F.col("lc") == lc) & (F.col("sp") == "validated")).drop("lc", "sp"), folder, compression="gzip")
-    rows, bad = tsv.read_by_header(spark, f"{base}/*/*/*/*", tsv.CLIP_SCHEMA, "client_id")
-    parts = F.split("file", "/")
-    rows = rows.select(F.regexp_extract("file", tsv.RELEASE_RE, 1).alias("ver"), F.element_at(parts, -3).alias("lc"), F.lit("").alias("alg"),
-                       F.lit("validated").alias("sp"), "client_id", "path", "sentence", "accents", "age")
+    c = release_clips(spark, sf_dir).withColumns({"release": release_dir("ver"), "alg": F.when(F.col("alg") == "", tsv.BUCKET_TOKEN).otherwise(F.col("alg"))})
+    new = F.col("ver") == "20.0"
+    for layout, part in (("old", c.where(~new).drop("accents", "age")), ("new", c.where(new).drop("accent"))):
+        sinks.write_tsv(part.drop("ver"), f"{base}/layout={layout}", partition_by=("release", "lc", "alg", "sp"), compression="gzip")
+    rows, bad = tsv.read_by_header(spark, base, tsv.CLIP_SCHEMA, "client_id")
+    key = lambda name: F.regexp_extract("file", f"/{name}=([^/]*)/", 1).alias(name)
+    rows = tsv.from_ingested(rows.select(F.regexp_extract("file", tsv.RELEASE_RE, 1).alias("ver"), key("lc"), key("alg"), key("sp"),
+                                         "client_id", "path", "sentence", "accents", "age"))
     table = scratch_path(spark, "ingested")
     for _ in range(2):
         tsv.write_ingested(rows, table)
@@ -420,10 +418,11 @@ def plain_files(spark, sf_dir):
     d = load(spark, sf_dir, "documents")
     d.select(F.col("text").alias("value")).write.text(f"{base}/lines")
     lines = tsv.read_lines(spark, f"{base}/lines").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("sentence")).alias("total")).withColumn("source", F.lit("lines"))
-    for lc in ("en", "de"):
-        sinks.write_tsv(d.where(F.col("lang") == lc).select(F.col("doc_id").cast("string").alias("clip"), F.col("n_chars").alias("duration[ms]")), f"{base}/dur/{lc}/part")
-    dur = tsv.read_by_header(spark, f"{base}/dur/*/*", tsv.DURATION_SCHEMA, "clip")[0]
-    dur = dur.groupBy(F.element_at(F.split("file", "/"), -3).alias("source")).agg(F.count(F.lit(1)).alias("n"), F.sum("duration[ms]").alias("total"))
+    clips = d.select(F.col("doc_id").cast("string").alias("clip"), F.col("n_chars").alias("duration[ms]"), F.col("lang").alias("lc"))
+    sinks.write_tsv(clips, f"{base}/dur", partition_by=("lc",))
+    dur = tsv.read_by_header(spark, f"{base}/dur", tsv.DURATION_SCHEMA, "clip")[0]
+    lc = F.regexp_extract("file", "/lc=([^/]*)/", 1)
+    dur = dur.groupBy(F.when(lc != "__HIVE_DEFAULT_PARTITION__", lc).alias("source")).agg(F.count(F.lit(1)).alias("n"), F.sum("duration[ms]").alias("total"))
     specs = d.select(F.lit("x").alias("surplus"), F.col("n_chars").alias("duration"), F.col("doc_id").alias("clip_id"), F.lit("cv").alias("ds"))
     sinks.write_tsv(specs, f"{base}/specs")
     s = tsv.read_optional(spark, f"{base}/specs", tsv.SPEC_SCHEMA).agg(F.count("clip_id").alias("n"), F.sum("duration").alias("total")).withColumn("source", F.lit("specs"))
