@@ -397,10 +397,11 @@ def repair_junk(spark, sf_dir):
 
 
 def reported_files(spark, sf_dir):
-    """S3: reported files of both layouts, columns by header; a TAB inside the sentence of the newer layout."""
+    """S3: reported files of both layouts, columns by header; whole texts, with a TAB and their newlines in the newer layout."""
+    text = F.when(F.col("conv_id") % 2 == 1, F.col("text")).otherwise(F.regexp_replace("text", r"[\s\\]+", " "))
     c = load(spark, sf_dir, "conversations").select(
         F.lpad((F.col("conv_id") * 100 + F.col("turn")).cast("string"), 64, "0").alias("sentence_id"),
-        F.concat(F.lit("s "), F.regexp_replace(F.substring("text", 1, 40), r"[\s\\]+", " ")).alias("sentence"), F.concat(F.lit("l"), (F.col("conv_id") % 3).cast("string")).alias("locale"),
+        F.concat(F.lit("s "), text).alias("sentence"), F.concat(F.lit("l"), (F.col("conv_id") % 3).cast("string")).alias("locale"),
         F.col("role").alias("reason"), (F.col("conv_id") % 2).alias("new"))
     base = scratch_path(spark, "reported")
     line = F.concat_ws("\t", "sentence_id", F.regexp_replace("sentence", "^s ", "s\t"), "locale", "reason")
