@@ -214,6 +214,20 @@ def test_evidence_is_fused(spark):
     assert L.identify(spark.createDataFrame([], "page_id long, url string, html string"), docs).count() == 0
 
 
+def test_rare_languages_are_known(spark):
+    rows = [(i, "the and of with this that", "en", "a", 0) for i in range(300)] + [(1000, "agus bhfuil seo", "ga", "a", 0), (None, "ond mae hyn", "CY", "a", 0)]
+    docs = T.docs(spark, rows)
+    for most in (5, 5000):
+        langs, model = L.train(docs, most)
+        assert langs == ["cy", "en", "ga"] and model.shape == (3, L.BUCKETS)
+        for lang, text in (("ga", "agus seo bhfuil"), ("cy", "mae hyn ond"), ("en", "with that and this")):
+            at, n = L.trigrams(text)
+            assert langs[int((model[:, at] @ n).argmax())] == lang
+    pages = spark.createDataFrame([(1, "http://a.b/", "<html lang='ga'><p>agus seo bhfuil agus")], "page_id long, url string, html string")
+    r = L.identify(pages, docs, 5).first()
+    assert (r["lang"], r["text_lang"], r["declared"]) == ("ga", "ga", "ga")
+
+
 def test_op8(spark, tmp_path):
     pages = [(1, "http://a/1", "<p>one"), (2, "http://a/2", "<p>one"), (3, None, "<p>one"), (4, "http://a\r\n/4", None), (5, "u", ""), (None, "x", "<p>one"),
              (6, "ü", "é😀" * 70_000), (7, "http://a/7", "twice"), (7, "http://a/7", "twice"), (8, "http://a/8", "alone\r\n\r\n")]

@@ -8,8 +8,9 @@ text alone suggests. A host's prior is smoothed towards its domain's, that towar
 all pages; a page's own count is left out of its host's and domain's. The posterior is the normed
 product of prior and likelihoods.
 
-The trigram models are trained on ``TRAIN_ROWS`` labelled documents at most, those with the
-smallest hashes of doc_id; counts (languages x ``BUCKETS``) are what reaches the driver.
+The known languages are those of all labelled documents, however rare. The trigram models are
+trained on about ``TRAIN_ROWS`` doc_ids of each language, those with its smallest hashes and one at
+least; languages and counts (languages x ``BUCKETS``) are what reaches the driver.
 
 Defined cases: comments, scripts and tags that a page leaves open reach to its end; a "<" that no
 tag follows is text; null html is the empty page, which the other evidence decides; a null or odd url
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocalstat.llm.common import load, map_rows, whole_text
+from vocalstat.llm.common import TMP, load, map_rows, whole_text
 from vocalstat.session import materialize
 
 TRAIN_ROWS = 5_000
@@ -75,15 +76,19 @@ def _counts(langs: list, texts: list) -> dict:
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages in code point order, and log-probabilities (languages, BUCKETS) of their trigrams."""
-    own = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL")
-    ids = own.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    sample = own.join(F.broadcast(ids), "doc_id").select(F.lower("lang").alias("lang"), whole_text().alias("text"))  # `rows` ids at most
+    own = docs.where("lang IS NOT NULL").select(F.lower("lang").alias("lang"), F.xxhash64("doc_id").alias(f"{TMP}h"), whole_text().alias("text"))
+    per = own.select("lang", f"{TMP}h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(f"{TMP}h").alias("low")).collect()
+    langs = sorted(r["lang"] for r in per)
+    # hashes are even over 2^64: the share of a language's ids that lies below its limit is rows / n
+    limit = [(r["lang"], max(r["low"], min((rows << 64) // r["n"], (1 << 64) - 1) - (1 << 63))) for r in per]
+    limits = docs.sparkSession.createDataFrame(limit, f"lang string, {TMP}limit long")
+    sample = own.join(F.broadcast(limits), "lang").where(F.col(f"{TMP}h") <= F.col(f"{TMP}limit"))  # a row a language
     counts = map_rows(sample, _counts, "lang string, bucket int, n long", "lang", "text")
     found = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
-    langs = sorted({r["lang"] for r in found})
     n = np.full((len(langs), BUCKETS), PSEUDO / 4)
+    at = {lang: i for i, lang in enumerate(langs)}
     for r in found:
-        n[langs.index(r["lang"]), r["bucket"]] += r["n"]
+        n[at[r["lang"]], r["bucket"]] += r["n"]
     return langs, np.log(n / n.sum(axis=1, keepdims=True))
 
 
