@@ -6,7 +6,8 @@ inequality two fingerprints within r bits differ by at most r in every coordinat
 coordinates come in six groups of references, two within 2 bits have equal coordinates (relative
 to the anchor's) in at least four groups. So the coordinates of each four groups are a key, and
 candidates are the fingerprints that share a key: 15 keys, of 42 bits or more, for each distinct
-fingerprint. Candidates are discarded by the largest coordinate difference over a second table
+fingerprint. A coordinate relative to the anchor's is one bit of the fingerprint, so the neighbour
+references reduce to bit blocks, four of six, as in block banding. Candidates are discarded by the largest coordinate difference over a second table
 of scattered references, and survivors are verified by their exact distance.
 
 Exact copies of a fingerprint are one node. A key shared by two fingerprints gives its one pair
