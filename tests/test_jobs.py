@@ -67,21 +67,13 @@ def same_as_sql(df, sql, table):
 
 def test_files_hold_all_versions_locales_and_buckets(spark):
     sf = "/root/testdata/sf0.001"
-    same_as_sql(jobs.tsv_round_trip(spark, sf), f"""
-SELECT ver, lc, alg, sp, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS paths,
-  count(*) FILTER (WHERE ver = '20.0' AND accents <> 'nodata' AND CAST(client_id AS BIGINT) % 2 = 0) AS accents,
-  count(*) FILTER (WHERE ver = '20.0' AND age <> 'nodata') AS ages, max(sentence) AS last
-FROM ({jobs._release_sql()}) GROUP BY ALL""", "events")
-    same_as_sql(jobs.plain_files(spark, sf).where("source NOT IN ('lines', 'specs', 'absent')"),
-                "SELECT count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS total, lang AS source FROM documents GROUP BY lang", "documents")
+    sql = jobs.oracle_sql()
+    same_as_sql(jobs.tsv_round_trip(spark, sf), sql["tsv_round_trip"], "events")
+    same_as_sql(jobs.plain_files(spark, sf), sql["plain_files"], "documents")
 
 
 def test_reported_files_hold_whole_texts(spark, tmp_path):
-    sql = r"""
-SELECT lpad(CAST(conv_id * 100 + turn AS VARCHAR), 64, '0') AS sentence_id,
-  trim(CASE WHEN conv_id % 2 = 0 THEN regexp_replace('s ' || text, '[\s\\]+', ' ', 'g')
-            WHEN regexp_matches(text, '[\n\r]') THEN regexp_replace(regexp_replace('s ' || text, '[\n\r]', ' ', 'g'), ' {2,}', ' ', 'g') ELSE 's ' || text END) AS sentence,
-  'l' || CAST(conv_id % 3 AS VARCHAR) AS locale, role AS reason FROM conversations"""
+    sql = jobs.REPORTED_FILES_SQL
     same_as_sql(jobs.reported_files(spark, "/root/testdata/sf0.001"), sql, "conversations")
     texts = ["one line", "two\nlines " + "and many words " * 30, "a\n\nb  c\nd", "back\\slash"]
     spark.createDataFrame([(i, 1, "user", t) for i, t in enumerate(texts * 2)], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")

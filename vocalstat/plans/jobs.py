@@ -368,7 +368,7 @@ def _round_trip_sql() -> str:
 SELECT ver, lc, alg, sp, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS paths,
   count(*) FILTER (WHERE ver = '20.0' AND accents <> 'nodata' AND CAST(client_id AS BIGINT) % 2 = 0) AS accents,
   count(*) FILTER (WHERE ver = '20.0' AND age <> 'nodata') AS ages, max(sentence) AS last
-FROM ({_release_sql()}) WHERE ver <> '1' AND lc IN ('l0', 'l1') AND alg = '' AND sp = 'validated' GROUP BY ALL"""
+FROM ({_release_sql()}) GROUP BY ALL"""
 
 
 def _broken_files(spark, sf_dir) -> DataFrame:
@@ -434,10 +434,16 @@ def plain_files(spark, sf_dir):
 PLAIN_FILES_SQL = """
 WITH l AS (SELECT DISTINCT s FROM (SELECT unnest(string_split(text, chr(10))) AS s FROM documents) WHERE s <> '')
 SELECT count(*) AS n, CAST(sum(length(s)) AS BIGINT) AS total, 'lines' AS source FROM l
-UNION ALL SELECT count(*), CAST(sum(n_chars) AS BIGINT), lang FROM documents WHERE lang IN ('en', 'de') GROUP BY lang
+UNION ALL SELECT count(*), CAST(sum(n_chars) AS BIGINT), lang FROM documents GROUP BY lang
 UNION ALL SELECT count(*), CAST(sum(n_chars) AS BIGINT), 'specs' FROM documents
 UNION ALL SELECT 0, NULL, 'absent'"""
 
+REPORTED_FILES_SQL = r"""
+SELECT lpad(CAST(conv_id * 100 + turn AS VARCHAR), 64, '0') AS sentence_id,
+  trim(CASE WHEN conv_id % 2 = 0 THEN regexp_replace('s ' || text, '[\s\\]+', ' ', 'g')
+            WHEN regexp_matches(text, '[\n\r]') THEN regexp_replace(regexp_replace('s ' || text, '[\n\r]', ' ', 'g'), ' {2,}', ' ', 'g') ELSE 's ' || text END) AS sentence,
+  'l' || CAST(conv_id % 3 AS VARCHAR) AS locale, role AS reason FROM conversations"""
+
 QUERIES = {f.__name__: f for f in (
     clips_unified, clips_prepared, split_durations, speed_placeholders, speed_by_age, silence_power, fillable, split_specs, split_texts,
     corpus_versions, corpus_growth, saved_frequencies, reported_record, run_status, release_locales, support_wide, version_dimension,
@@ -500,8 +506,6 @@ SELECT lpad(CAST(doc_id AS VARCHAR), 64, '0') AS sentence_id,
   CASE WHEN strpos(text, chr(10)) > 0 THEN regexp_replace(replace(text, chr(10), ' '), ' {2,}', ' ', 'g') ELSE text END AS sentence,
   lang AS sentence_domain, source, '1' AS is_used, CAST(n_chars AS VARCHAR) AS clips_count FROM documents""",
         "repair_junk": "SELECT '20.0' AS ver, 'xx' AS lc, 'junk ' || CAST(doc_id AS VARCHAR) AS line, 'unrepairable' AS reason FROM documents WHERE doc_id % 10 = 0",
-        "reported_files": r"""
-SELECT lpad(CAST(conv_id * 100 + turn AS VARCHAR), 64, '0') AS sentence_id, trim('s ' || regexp_replace(substr(text, 1, 40), '[\s\\]+', ' ', 'g')) AS sentence,
-  'l' || CAST(conv_id % 3 AS VARCHAR) AS locale, role AS reason FROM conversations""",
+        "reported_files": REPORTED_FILES_SQL,
         "plain_files": PLAIN_FILES_SQL,
     }
