@@ -284,3 +284,39 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = folded(F.coalesce("tampered", "leaf"), F.col("turns"), F.col("others"))
     return found.select("doc_id", "leaf", "subroot", "root", F.sha2(F.col("others").cast("binary"), 256).alias("proof_sha256"),
                         again.alias("folded_root"), (again == F.col("root")).alias("verified"))
+
+
+def _sql_leaf(text: str) -> str:
+    part = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+    return f"sha256({' || '.join(part(text if c == 'text' else c) for c in COLUMNS)})"
+
+
+_HALF = "xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END)"
+OP12_SQL = f"""
+WITH RECURSIVE
+d AS MATERIALIZED (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, leaf) AS r, * FROM (
+  SELECT doc_id, coalesce('1' || source, '0') AS tree, {_sql_leaf('text')} AS leaf,
+    CASE WHEN xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda a, bit: {_HALF})), 4294967295) % 2 = 0
+      THEN {_sql_leaf("replace(text, chr(10), '')")} END AS tampered FROM documents)),
+p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY r) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d),
+up AS (SELECT tree, 0 AS lvl, pos, leaf AS digest, n FROM p
+  UNION ALL SELECT tree, lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 2) // 3 FROM up WHERE n > 1 GROUP BY tree, lvl, pos // 3),
+t AS MATERIALIZED (SELECT tree, digest AS subroot, lvl AS height, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+over_up AS (SELECT 0 AS lvl, pos, subroot AS digest, n FROM t
+  UNION ALL SELECT lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 2) // 3 FROM over_up WHERE n > 1 GROUP BY lvl, pos // 3),
+others AS (
+  SELECT p.r, u.lvl, u.pos, u.pos < p.pos // CAST(pow(3, u.lvl) AS BIGINT) AS before, u.digest FROM p JOIN up u
+    ON u.tree = p.tree AND u.n > 1 AND u.pos // 3 = p.pos // CAST(pow(3, u.lvl + 1) AS BIGINT) AND u.pos <> p.pos // CAST(pow(3, u.lvl) AS BIGINT)
+  UNION ALL SELECT p.r, t.height + u.lvl, u.pos, u.pos < t.pos // CAST(pow(3, u.lvl) AS BIGINT), u.digest FROM p JOIN t ON t.tree = p.tree JOIN over_up u
+    ON u.n > 1 AND u.pos // 3 = t.pos // CAST(pow(3, u.lvl + 1) AS BIGINT) AND u.pos <> t.pos // CAST(pow(3, u.lvl) AS BIGINT)),
+steps AS MATERIALIZED (SELECT p.r, l.lvl, coalesce(string_agg(digest, '' ORDER BY o.pos) FILTER (WHERE before), '') AS l, coalesce(string_agg(digest, '' ORDER BY o.pos) FILTER (WHERE NOT before), '') AS g
+  FROM p JOIN t ON t.tree = p.tree, LATERAL (SELECT unnest(range(t.height + (SELECT max(lvl) FROM over_up))) AS lvl) l LEFT JOIN others o ON o.r = p.r AND o.lvl = l.lvl GROUP BY p.r, l.lvl),
+proof AS (SELECT r, sha256(string_agg(l || g, '' ORDER BY lvl)) AS h FROM steps GROUP BY r),
+fold AS (SELECT r, 0 AS lvl, coalesce(tampered, leaf) AS digest FROM p
+  UNION ALL SELECT f.r, f.lvl + 1, sha256(s.l || f.digest || s.g) FROM fold f JOIN steps s ON s.r = f.r AND s.lvl = f.lvl),
+last AS (SELECT r, arg_max(digest, lvl) AS folded_root FROM fold GROUP BY r)
+SELECT doc_id, leaf, subroot, (SELECT digest FROM over_up WHERE n = 1) AS root, coalesce(h, sha256('')) AS proof_sha256, folded_root,
+  folded_root = (SELECT digest FROM over_up WHERE n = 1) AS verified
+FROM p JOIN t USING (tree) LEFT JOIN proof ON proof.r = p.r JOIN last ON last.r = p.r
+"""
