@@ -296,7 +296,7 @@ OP12_SQL = f"""
 WITH RECURSIVE
 d AS MATERIALIZED (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, leaf) AS r, * FROM (
   SELECT doc_id, coalesce('1' || source, '0') AS tree, {_sql_leaf('text')} AS leaf,
-    CASE WHEN xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    CASE WHEN doc_id IS NOT NULL AND xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
       lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda a, bit: {_HALF})), 4294967295) % 2 = 0
       THEN {_sql_leaf("replace(text, chr(10), '')")} END AS tampered FROM documents)),
 p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY r) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d),
