@@ -83,10 +83,10 @@ def test_reported_old_and_new_layout(spark):
                                               f"hi\t{'c' * 64}\ttr\trude", "split", f"line\t{'d' * 64}\ttr\tx"])
     rows, problems = repair.read_reported(spark, [new, old])
     got = {r.sentence_id: (r.sentence, r.reason) for r in rows.collect()}
-    # a line that is valid on its own keeps its row; a fragment before it is quarantined
+    # a fragment before a line whose id comes last is the start of its text
     assert got == {ID: ("hello", "rude"), "b" * 64: ("bro ken", "other"), "c" * 64: ("hi", "rude"),
-                   "d" * 64: ("line", "x")}
-    assert [r.line for r in problems.collect()] == ["split"]
+                   "d" * 64: ("split line", "x")}
+    assert problems.count() == 0
 
 
 def test_tsv_round_trip_and_keys(spark):
@@ -115,62 +115,96 @@ def test_results_keep_version_text(spark):
     assert sorted(r.ver for r in back.collect()) == ["1", "10.0", "16.1"]
 
 
-def _naive_fold(rows, ncols, digit_tail, id_len):
-    """Spec for the record fold: re-collapse and re-split the whole buffer after every line."""
+def _plain_repair(lines, ncols, digit_tail, id_len, idc, txc):
+    """Spec: one pass over a file's lines, the open record joined, collapsed and split anew after every line."""
     import re
     id_re, spaces = re.compile("^[0-9a-fA-F]{%d}$" % id_len), re.compile(" {2,}")
 
-    def fold(fields, txc):
+    def fold(fields):
         extra = len(fields) - ncols
         return fields if extra <= 0 else fields[:txc] + [" ".join(fields[txc:txc + extra + 1])] + fields[txc + extra + 1:]
 
-    def valid(fields, idc):
-        return (len(fields) == ncols and len(fields) > idc and id_re.match(fields[idc]) is not None
-                and all(fields[-k].isdigit() and fields[-k].isascii() for k in range(1, digit_tail + 1)))
-
-    out, key, buf, bl = [], None, None, []
-    for grp, idc, txc, ln, value in rows:
-        if grp != key:
-            out += [("bad", b, None, v) for b, v in bl]
-            key, buf, bl = grp, None, []
-        fields = value.split("\t")
-        hid = len(fields) > idc and id_re.match(fields[idc]) is not None
-        if idc == 0 and hid and buf is not None:
-            out += [("bad", b, None, v) for b, v in bl]
-            buf, bl = None, []
-        if buf is None and not (idc > 0 or hid):
-            out.append(("bad", ln, None, value))
-            continue
-        cand = value if buf is None else spaces.sub(" ", buf + " " + value)
-        cand_bl = bl + [(ln, value)]
-        f = fold(cand.split("\t"), txc)
-        if valid(f, idc):
-            out.append(("rec", cand_bl[0][0], f, None))
-            buf, bl = None, []
+    has_id = lambda f: len(f) > idc and id_re.match(f[idc]) is not None
+    valid = lambda f: (len(f) == ncols and has_id(f)
+                       and all(f[-k].isdigit() and f[-k].isascii() for k in range(1, digit_tail + 1)))
+    joined = lambda part: fold(spaces.sub(" ", " ".join(v for _, v in part)).split("\t"))
+    rows, bad, part = [], [], []
+    for ln, value in enumerate(lines):
+        fields = fold(value.split("\t"))
+        if txc < idc:  # the id line ends the record
+            part.append((ln, value))
+            if valid(fields) and len(part) == 1:
+                rows.append((ln, fields))
+            elif valid(joined(part)):
+                rows.append((part[0][0], joined(part)))
+            elif has_id(fields):
+                bad += part
+            else:
+                continue
+            part = []
         else:
-            buf, bl = cand, cand_bl
-    return out + [("bad", b, None, v) for b, v in bl]
+            if valid(fields) or has_id(fields):
+                bad += part
+                part = []
+            if valid(fields):
+                rows.append((ln, fields))
+            elif has_id(fields):
+                part = [(ln, value)]
+            elif not part:
+                bad.append((ln, value))
+            else:
+                part.append((ln, value))
+                if valid(joined(part)):
+                    rows.append((part[0][0], joined(part)))
+                    part = []
+    return sorted(rows), sorted(bad + part)
+
+
+def _line_frame(spark, lines, parts=5):
+    return spark.createDataFrame([("f", i, v) for i, v in enumerate(lines)], "file string, ln long, value string").repartition(parts)
+
 
+def _repaired(spark, lines, *args):
+    rows, problems = repair.repair_lines(_line_frame(spark, lines), args[0], None, args[3], args[4], args[1], args[2], header=False, dedup=False)
+    got = sorted((r.ln, [r[f"c{i}"] for i in range(args[0])]) for r in rows.collect())
+    return got, sorted((r.ln, r.line) for r in problems.collect())
 
-def test_incremental_fold_matches_naive():
-    import pandas as pd
 
-    from vocalstat.sources.repair import _partition_fold
+def test_repair_matches_plain_version(spark):
     rnd = random.Random(5)
-    pieces = ["a", "b c", "  ", " x  y ", "\t", "7", "12", "\t3\t4", "", "ab" * 4, "f" * 8]
-    for idc in (0, 2):
-        rows, grp = [], 0
-        for ln in range(3000):
-            if rnd.random() < 0.25:
-                grp += 1
-                value = "\t".join(["f" * 8 if i == idc else rnd.choice(pieces) for i in range(rnd.randint(1, 7))])
+    pieces = ["a", "b c", "  ", " x  y ", "\t", "7", "12", "\t3\t4", "\t5\t", "", "ab" * 4, "f" * 8]
+    for idc, txc, ncols, tail in ((0, 1, 5, 2), (0, 1, 4, 0), (1, 0, 4, 0), (1, 2, 5, 1)):
+        lines = []
+        for _ in range(2500):
+            if rnd.random() < 0.4:
+                n = rnd.choice([ncols, ncols, ncols, rnd.randint(1, ncols + 2)])
+                row = ["f" * 8 if i == idc + max(0, n - ncols) * (txc < idc) else rnd.choice(["a", "b  c", "", "7"]) for i in range(n)]
+                if tail and rnd.random() < 0.7:
+                    row[-2:] = ["1", "2"]
+                lines.append("\t".join(row))
             else:
-                value = "".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 4)))
-            rows.append((grp, idc, 1, ln, value))
-        want = _naive_fold(rows, 5, 2 if idc == 0 else 0, 8)
-        pdf = pd.DataFrame(rows, columns=["_grp", "_idc", "_txc", "ln", "value"]).assign(file="f")
-        batches = [pdf.iloc[i:i + 700] for i in range(0, len(pdf), 700)]
-        got = pd.concat(list(_partition_fold(5, 2 if idc == 0 else 0, 8)(iter(batches))))
-        got = [(k, ln, None if r is None else list(r), line) for k, ln, r, line in
-               zip(got["kind"], got["ln"], got["rec"], got["line"])]
-        assert got == want and sum(k == "rec" for k, *_ in want) > 50
+                lines.append("".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 4))))
+        want = _plain_repair(lines, ncols, tail, 8, idc, txc)
+        assert _repaired(spark, lines, ncols, tail, 8, idc, txc) == want
+        assert len(want[0]) > 100 and len(want[1]) > 100
+
+
+def test_older_layout_rebuilds_what_stands_before(spark):
+    lines = ["first half", f"second half\t{ID}\txx\tuser", "", "three", "", f"pieces\t{'b' * 64}\txx\tuser", f"broken\t{'c' * 64}\txx", "after it",
+             f"the text\t{'d' * 64}\txx\tuser", "left over"]
+    rows, bad = _repaired(spark, lines, 4, 0, 64, 1, 0)
+    assert [(r[0], r[1][0]) for r in rows] == [(0, "first half second half"), (2, " three pieces"), (7, "after it the text")]
+    assert [b[1] for b in bad] == [f"broken\t{'c' * 64}\txx", "left over"]
+
+
+def test_open_record_of_millions_of_lines(spark):
+    """Decided without gathering it: every line of it is quarantined, the rows around it are untouched."""
+    n = 2_000_000
+    line = (F.when(F.col("id") == 0, F.lit(f"{ID}\tok\td\ts\t1\t2")).when(F.col("id") == 1, F.lit(f"{'b' * 64}\topen"))
+            .when(F.col("id") == n + 1, F.lit(f"{'c' * 64}\tlast\td\ts\t0\t3")).otherwise(F.concat(F.lit("piece "), F.col("id").cast("string"))))
+    lines = spark.range(n + 2).select(F.lit("f").alias("file"), F.col("id").alias("ln"), line.alias("value"))
+    rows, problems = repair.repair_lines(lines, 6, repair.SENTENCE_COLUMNS, header=False)
+    assert sorted((r.ln, r.sentence) for r in rows.collect()) == [(0, "ok"), (n + 1, "last")]
+    got = problems.agg(F.count(F.lit(1)), F.min("ln"), F.max("ln"), F.count_distinct("ln")).first()
+    assert tuple(got) == (n, 1, n, n)
+    assert not any("Python" in str(d._jdf.queryExecution().executedPlan()) for d in (rows, problems))

@@ -397,18 +397,18 @@ def repair_junk(spark, sf_dir):
 
 
 def reported_files(spark, sf_dir):
-    """S3: reported files of both layouts, columns by header; whole texts, with a TAB and their newlines in the newer layout."""
-    text = F.when(F.col("conv_id") % 2 == 1, F.col("text")).otherwise(F.regexp_replace("text", r"[\s\\]+", " "))
+    """S3: reported files of both layouts, columns by header; whole texts, with a TAB and their newlines in both."""
     c = load(spark, sf_dir, "conversations").select(
         F.lpad((F.col("conv_id") * 100 + F.col("turn")).cast("string"), 64, "0").alias("sentence_id"),
-        F.concat(F.lit("s "), text).alias("sentence"), F.concat(F.lit("l"), (F.col("conv_id") % 3).cast("string")).alias("locale"),
+        F.concat(F.lit("s\t"), F.col("text")).alias("sentence"), F.concat(F.lit("l"), (F.col("conv_id") % 3).cast("string")).alias("locale"),
         F.col("role").alias("reason"), (F.col("conv_id") % 2).alias("new"))
     base = scratch_path(spark, "reported")
-    line = F.concat_ws("\t", "sentence_id", F.regexp_replace("sentence", "^s ", "s\t"), "locale", "reason")
     first = F.monotonically_increasing_id() % (1 << 33) == 0  # each task writes one file, with its header
-    new = c.where("new = 1").select(F.concat(F.when(first, "sentence_id\tsentence\tlocale\treason\n").otherwise(""), line).alias("value"))
-    new.write.text(f"{base}/new")
-    sinks.write_tsv(c.where("new = 0").select("sentence", "sentence_id", "locale", "reason"), f"{base}/old")
+    for name, order in (("new", ["sentence_id", "sentence"]), ("old", ["sentence", "sentence_id"])):
+        columns = [*order, "locale", "reason"]
+        rows = c.where(F.col("new") == int(name == "new"))
+        head = F.when(first, F.lit("\t".join(columns) + "\n")).otherwise("")
+        rows.select(F.concat(head, F.concat_ws("\t", *columns)).alias("value")).write.text(f"{base}/{name}")
     rows, _ = read_reported(spark, f"{base}/*")
     return rows.select("sentence_id", F.trim("sentence").alias("sentence"), "locale", "reason")
 
@@ -440,8 +440,7 @@ UNION ALL SELECT 0, NULL, 'absent'"""
 
 REPORTED_FILES_SQL = r"""
 SELECT lpad(CAST(conv_id * 100 + turn AS VARCHAR), 64, '0') AS sentence_id,
-  trim(CASE WHEN conv_id % 2 = 0 THEN regexp_replace('s ' || text, '[\s\\]+', ' ', 'g')
-            WHEN regexp_matches(text, '[\n\r]') THEN regexp_replace(regexp_replace('s ' || text, '[\n\r]', ' ', 'g'), ' {2,}', ' ', 'g') ELSE 's ' || text END) AS sentence,
+  trim(CASE WHEN regexp_matches(text, '[\n\r]') THEN regexp_replace(regexp_replace('s ' || text, '[\n\r]', ' ', 'g'), ' {2,}', ' ', 'g') ELSE 's ' || text END) AS sentence,
   'l' || CAST(conv_id % 3 AS VARCHAR) AS locale, role AS reason FROM conversations"""
 
 QUERIES = {f.__name__: f for f in (

@@ -7,16 +7,24 @@ field joined by one space (Q16). A record broken over lines is rebuilt by
 joining the following lines with one space (runs of spaces collapsed) until it
 is valid. Everything else is quarantined line by line, never dropped (Q17).
 
-Plan, no row-at-a-time UDF and no whole-file task:
-1. ``number_lines``: dense line numbers per file from the scan's file/block
-   metadata and ``monotonically_increasing_id`` (block offsets from a table of
-   block counts), checkpointed.
-2. Valid lines pass straight through.
-3. Lines get a record-group number (distributed prefix count of record
-   boundaries, see ``operators.seq``); only invalid lines are gathered, per
-   (file, group): one record's lines plus the junk that follows it.
-4. One sequential fold per partition (``mapInPandas``) over the gathered
-   groups emits rebuilt records and quarantined lines.
+The id may stand before the text (newer files) or after it (older reported
+files). In the first case a record starts at a line with an id, and what follows
+is its rest until it is complete. In the second it ends at a line with an id, and
+the lines before that, back to the line after the record before, are the start of its text
+(text first, id second). With other orders nothing is joined.
+
+Plan, built-in functions only:
+1. ``number_lines``: line numbers per file from the scan's file/block metadata and
+   ``monotonically_increasing_id`` (block offsets from a table of block counts).
+2. Valid lines leave the scan as they are; they are neither shuffled nor stored.
+3. Invalid lines are stored once. What decides about them is narrow: whether a line
+   has an id, its number of TABs, whether it ends in digits. Line number less running
+   count names an island (a run of neighbours); running counts of ids and TABs name the
+   record group in it and tell at which line a record is complete. Running sums are
+   distributed (``operators.seq``), so an open record of any length is decided
+   without holding it, or its group, in one task.
+4. Lines of records that are complete meet by record and are joined; every other
+   invalid line is quarantined by itself. Only a record that comes out is ever gathered.
 5. Optional dedup per file: a hash aggregate on the record fields.
 """
 
@@ -35,17 +43,23 @@ REPORTED_COLUMNS = ["sentence_id", "sentence", "locale", "reason"]
 
 
 def number_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(file, ln, value) with ln = 0-based line number within each file."""
-    raw = materialize(spark.read.text(paths)
-                      .select(F.col("_metadata.file_path").alias("file"),
-                              F.col("_metadata.file_block_start").alias("_blk"),
-                              F.monotonically_increasing_id().alias("_mid"), "value"), "lines")
+    """(file, ln, value) with ln = 0-based line number within each file.
+
+    The lines are scanned once for the counts of their blocks and again by whoever
+    reads the result; nothing but the counts is stored. Both scans have to cut the files alike,
+    so the number of cuts is pinned, and a block without a count is an error.
+    """
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    raw = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_blk"),
+                                        F.monotonically_increasing_id().alias("_mid"), "value")
     blocks = raw.groupBy("file", "_blk").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    # one row per file block; AQE broadcasts it when it turns out small
-    j = raw.join(blocks.select("file", "_blk", "_m0", "_off"), ["file", "_blk"])
-    return j.select("file", (F.col("_off") + F.col("_mid") - F.col("_m0")).alias("ln"), "value")
+    blocks = materialize(blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).select("file", "_blk", "_m0", "_off"), "blocks")
+    # one row per file block, broadcast while it is small
+    j = raw.join(blocks, ["file", "_blk"], "left")
+    ln = F.coalesce(F.col("_off") + F.col("_mid") - F.col("_m0"), F.raise_error(F.lit("the files were cut otherwise than when their lines were counted")).cast("long"))
+    return j.select("file", ln.alias("ln"), "value")
 
 
 def _fields(s: Column) -> Column:
@@ -81,80 +95,46 @@ def _collapse(s: Column) -> Column:
     return F.regexp_replace(s, " {2,}", " ")
 
 
-def _partition_fold(ncols: int, digit_tail: int, id_len: int):
-    """Sequential fold over record groups, one pass per partition (``mapInPandas``).
+def _positions(lines: DataFrame, id_col: int | str, text_col: int | str, header: bool) -> DataFrame:
+    """Lines without the header, with ``_idc`` and ``_txc``: by number, or by the names in each file's header."""
+    named = isinstance(id_col, str) or isinstance(text_col, str)
+    if not header:
+        if named:
+            raise ValueError("column names need header=True")
+        return lines.withColumns({"_idc": F.lit(id_col), "_txc": F.lit(text_col)})
+    body = lines.where(F.col("ln") > 0)
+    if not named:
+        return body.withColumns({"_idc": F.lit(id_col), "_txc": F.lit(text_col)})
+    place = lambda c: (F.array_position("_h", F.lit(c)).cast("int") - 1) if isinstance(c, str) else F.lit(c)
+    heads = lines.where(F.col("ln") == 0).select("file", _fields(F.col("value")).alias("_h"))
+    return body.join(materialize(heads.select("file", place(id_col).alias("_idc"), place(text_col).alias("_txc")), "headers"), "file")
+
+
+def _records_of(bad: DataFrame, valid: DataFrame, ncols: int) -> tuple[DataFrame, DataFrame]:
+    """Which invalid lines make which record: (file, ln, _rec) and the lines of ``valid`` that close one, (file, ln, _rec).
 
-    Input rows are clustered by (file, group) and sorted by line within each
-    partition; the fold state (the growing record buffer) is carried across
-    Arrow batches and reset at every group boundary. A group is one record's
-    lines plus the junk after it, so the state is bounded by one record. A
-    sequential buffer is the one thing column expressions do badly (every
-    reference to the buffer inside a lambda would re-split it).
+    ``bad`` = (file, ln, _id, _tabs, _tail, _idc, _txc, _ends), ``valid`` = (file, ln, _ends);
+    ``_rec`` is the first line of the record.
     """
-    import re
-
-    import pandas as pd
-
-    id_re = re.compile(ID_PATTERN % id_len)
-    spaces = re.compile(" {2,}")
-    cols = ["file", "kind", "ln", "rec", "line"]
-
-    def has_id(fields, idc):
-        return len(fields) > idc and id_re.match(fields[idc]) is not None
-
-    def fold_fields(fields, txc):
-        extra = len(fields) - ncols
-        if extra <= 0:
-            return fields
-        return fields[:txc] + [" ".join(fields[txc:txc + extra + 1])] + fields[txc + extra + 1:]
-
-    def valid(fields, idc):
-        return (len(fields) == ncols and has_id(fields, idc)
-                and all(fields[-k].isdigit() and fields[-k].isascii() for k in range(1, digit_tail + 1)))
-
-    def tail_digits(fields):
-        return all(fields[-k].isdigit() and fields[-k].isascii() for k in range(1, digit_tail + 1))
-
-    def run(batches):
-        # parts: the raw lines of the open record; nf: its field count (a join
-        # by one space adds no TAB, so nf grows by the line's fields minus one).
-        # The buffer is joined, collapsed and split only when it could be a
-        # record (enough fields, digit tail on this line), so a long record
-        # costs linear time instead of one re-split per line.
-        key, parts, nf, bl, file = None, None, 0, [], None
-        for pdf in batches:
-            out = []
-            for f, grp, idc, txc, ln, value in zip(pdf["file"].tolist(), pdf["_grp"].tolist(), pdf["_idc"].tolist(),
-                                                   pdf["_txc"].tolist(), pdf["ln"].tolist(), pdf["value"].tolist()):
-                if (f, grp) != key:  # group boundary: what is left of the previous group is junk
-                    out.extend((file, "bad", b_ln, None, b_val) for b_ln, b_val in bl)
-                    key, parts, nf, bl, file = (f, grp), None, 0, [], f
-                value = "" if value is None else value
-                fields = value.split("\t")
-                line_has_id = has_id(fields, idc)
-                if idc == 0 and line_has_id and parts is not None:  # a new record starts
-                    out.extend((file, "bad", b_ln, None, b_val) for b_ln, b_val in bl)
-                    parts, nf, bl = None, 0, []
-                if parts is None and not (idc > 0 or line_has_id):  # a fragment with no record to join
-                    out.append((file, "bad", ln, None, value))
-                    continue
-                if parts is None:
-                    parts, nf = [value], len(fields)
-                else:
-                    parts.append(value)
-                    nf += len(fields) - 1
-                bl.append((ln, value))
-                folded = None
-                if nf >= ncols and (len(fields) <= digit_tail or tail_digits(fields)):
-                    cand = parts[0] if len(parts) == 1 else spaces.sub(" ", " ".join(parts))
-                    folded = fold_fields(cand.split("\t"), txc)
-                if folded is not None and valid(folded, idc):
-                    out.append((file, "rec", bl[0][0], folded, None))
-                    parts, nf, bl = None, 0, []
-            yield pd.DataFrame(out, columns=cols)
-        yield pd.DataFrame([(file, "bad", b_ln, None, b_val) for b_ln, b_val in bl], columns=cols)
-
-    return run
+    p = prefix_sums(bad.select("file", "ln", F.col("_id").cast("int").alias("_i"), "_tabs", "_tail", "_idc", "_txc", "_ends"),
+                    ["file"], ["ln"], [(None, "_cnt", True), ("_i", "_upto", True), ("_tabs", "_t", True)])
+    island = F.col("ln") - F.col("_cnt")
+    group = F.col("_upto") - F.when(F.col("_ends"), F.col("_i")).otherwise(0)  # an id starts its group, or ends it
+    p = materialize(p.withColumns({"_island": island, "_group": group}), "bad-lines")
+    by = ["file", "_island", "_group"]
+    facts = p.groupBy(*by).agg(
+        F.min("ln").alias("_rec"), F.max("ln").alias("_last"), F.min(F.col("_t") - F.col("_tabs")).alias("_t0"), F.max("_i").alias("_has"),
+        F.max("_idc").alias("_idc0"), F.max("_txc").alias("_txc0"), F.min_by("_tabs", "ln").alias("_tabs0"), F.max("_ends").alias("_ends0"))
+    full = F.col("_t") - F.col("_t0") + 1 >= F.lit(ncols)
+    # the id stays a field of its own if a TAB follows it on its line; the last fields are digits on the closing line itself
+    starts = (F.col("_idc0") < F.col("_txc0")) & (F.col("_has") == 1) & (F.col("_tabs0") > F.col("_idc0")) & (F.col("ln") > F.col("_rec")) & F.col("_tail")
+    closed = p.join(facts, by).where(full & starts)
+    closed = closed.groupBy(*by).agg(F.min("ln").alias("_close"), F.min("_rec").alias("_rec"))
+    # fragments at the end of an island, before a valid line whose id comes last: that line ends their record
+    ends = facts.where(F.col("_ends0") & (F.col("_has") == 0)).select("file", (F.col("_last") + 1).alias("ln"), "_island", "_group", "_rec")
+    closing = materialize(valid.where("_ends").join(ends, ["file", "ln"]), "closing")
+    every = closed.unionByName(closing.select(*by, F.col("ln").alias("_close"), "_rec"))
+    return p.select(*by, "ln").join(every, by).where(F.col("ln") <= F.col("_close")).select("file", "ln", "_rec"), closing.select("file", "ln", "_rec")
 
 
 def repair_lines(lines: DataFrame, ncols: int, names: Sequence[str] | None = None, id_col: int | str = 0,
@@ -165,47 +145,35 @@ def repair_lines(lines: DataFrame, ncols: int, names: Sequence[str] | None = Non
     ``id_col`` / ``text_col`` are 0-based field positions, or a header name
     (S3: the id column moved between releases, so it is looked up per file
     in the header line). Returns (rows: file, ln, <names...>; problems: file,
-    ln, line, reason).
+    ln, line, reason); ln of a rebuilt row is its first line.
     """
     names = list(names) if names else [f"c{i}" for i in range(ncols)]
-    df = lines
-    if header:
-        hdr = df.where(F.col("ln") == 0).select("file", _fields(F.col("value")).alias("_h"))
-        df = df.where(F.col("ln") > 0)
-        if isinstance(id_col, str) or isinstance(text_col, str):
-            pos = {}
-            for key, c in (("_idc", id_col), ("_txc", text_col)):
-                pos[key] = (F.array_position("_h", F.lit(c)).cast("int") - 1) if isinstance(c, str) else F.lit(c)
-            hdr = hdr.select("file", pos["_idc"].alias("_idc"), pos["_txc"].alias("_txc"))
-            df = df.join(hdr, "file")
-        else:
-            df = df.withColumn("_idc", F.lit(id_col)).withColumn("_txc", F.lit(text_col))
-    else:
-        if isinstance(id_col, str) or isinstance(text_col, str):
-            raise ValueError("column names need header=True")
-        df = df.withColumn("_idc", F.lit(id_col)).withColumn("_txc", F.lit(text_col))
+    df = _positions(lines, id_col, text_col, header).withColumn("value", F.coalesce("value", F.lit("")))
     idc, txc = F.col("_idc"), F.col("_txc")
     arr = _fields(F.col("value"))
-    df = (df.withColumn("_ok", _valid(_fold(arr, ncols, txc), ncols, idc, id_len, digit_tail))
-          .withColumn("_id", _has_id(_fold(arr, ncols, txc), idc, id_len)))
-    # record boundaries: with the id first a record starts at an id line; with
-    # the id later (older reported files) a record ends at an id line.
-    bound = F.when(idc == 0, F.col("_id")).otherwise(F.lit(False))
-    df = df.withColumn("_b", bound.cast("int")).withColumn("_e", (F.col("_id") & (idc > 0)).cast("int"))
-    df = prefix_sums(df, ["file"], ["ln"], [("_b", "_g1", True), ("_e", "_g2", False)])
-    df = df.withColumn("_grp", F.col("_g1") + F.col("_g2"))
-
-    good = df.where(F.col("_ok")).select("file", "ln", _fold(arr, ncols, txc).alias("_rec"))
-
-    bad_lines = df.where(~F.col("_ok")).select("file", "_grp", "_idc", "_txc", "ln", "value")
-    fold = _partition_fold(ncols, digit_tail, id_len)
-    out_schema = "file string, kind string, ln long, rec array<string>, line string"
-    folded = (bad_lines.repartition("file", "_grp").sortWithinPartitions("file", "_grp", "ln")
-              .mapInPandas(fold, out_schema))
-    rebuilt = folded.where(F.col("kind") == "rec").select("file", "ln", F.col("rec").alias("_rec"))
-    problems = (folded.where(F.col("kind") == "bad")
-                .select("file", "ln", "line", F.lit("unrepairable").alias("reason")))
-    recs = good.unionByName(rebuilt)
+    folded = _fold(arr, ncols, txc)
+    ends = (txc == 0) & (idc == 1)
+    df = df.withColumns({"_ok": _valid(folded, ncols, idc, id_len, digit_tail), "_ends": ends})
+    good = df.where(F.col("_ok"))
+
+    size = F.size(arr)
+    tail = F.lit(True) if not digit_tail else size > digit_tail
+    for k in range(1, digit_tail + 1):
+        tail = tail & F.coalesce(F.try_element_at(arr, F.lit(-k)).rlike(r"^[0-9]+$"), F.lit(False))
+    bad = materialize(df.where(~F.col("_ok")).select(
+        "file", "ln", "value", _has_id(folded, idc, id_len).alias("_id"), (size - 1).alias("_tabs"), tail.alias("_tail"), "_idc", "_txc", "_ends"), "invalid")
+    inner, closing = _records_of(bad, good.select("file", "ln", "_ends"), ncols)
+    inner = materialize(inner, "record-lines")
+
+    parts = bad.join(inner, ["file", "ln"]).select("file", "_rec", "ln", "value", "_txc")
+    parts = parts.unionByName(good.join(closing, ["file", "ln"]).select("file", "_rec", "ln", "value", "_txc"))
+    whole = parts.groupBy("file", "_rec").agg(F.array_sort(F.collect_list(F.struct("ln", "value"))).alias("_l"), F.max("_txc").alias("_txc"))
+    text = _collapse(F.array_join(F.transform("_l", lambda x: x["value"]), " "))
+    rebuilt = whole.select("file", F.col("_rec").alias("ln"), _fold(_fields(text), ncols, txc).alias("_rec"))
+    problems = bad.join(inner, ["file", "ln"], "left_anti").select("file", "ln", F.col("value").alias("line"), F.lit("unrepairable").alias("reason"))
+    # a valid line that closes a record of several lines is no row of its own
+    alone = good.join(closing, ["file", "ln"], "left_anti") if isinstance(id_col, str) or isinstance(text_col, str) or text_col < id_col else good
+    recs = alone.select("file", "ln", folded.alias("_rec")).unionByName(rebuilt)
     rows = recs.select("file", "ln", *[F.element_at("_rec", i + 1).alias(n) for i, n in enumerate(names)])
     if dedup:
         # duplicates within a file (one file is one dataset) keep their first line;
