@@ -2,12 +2,15 @@
 
 import json
 import os
+import random
 import tempfile
 
 from pyspark.sql import functions as F
 
 from vocalstat.functions import dims
-from vocalstat.operators import corpus, matrix, membership
+from vocalstat.operators import corpus, matrix, membership, textcorpus
+from vocalstat.operators.textcorpus import enrich_sentences
+from vocalstat.plans import pipeline
 from vocalstat.sources import sinks, tsv
 
 S = "lc string, sentence_id string, sentence string, sentence_domain string, source string, is_used int, clips_count int"
@@ -132,3 +135,32 @@ def test_fillable_demographics(spark):
                                 ("k", "c3", "nodata")], "sp string, client_id string, gender string")
     r = splits.fillable_demographics(df, ["sp"]).collect()[0]
     assert (r.fillable_recordings, r.fillable_voices) == (2, 1)
+
+
+def test_records_by_signature_equal_records_of_copied_rows(spark):
+    """E2 counted once a sentence equals the record over rows copied into every group they belong to."""
+    rnd = random.Random(3)
+    words = ["alpha", "be", "Gamma", "d", "ééé", "two words", "x  y"]
+    texts = [" ".join(rnd.choices(words, k=rnd.randrange(0, 40))) for _ in range(30)] + ["", None, "long " * 400]
+    rows = [(lc, f"{i}", rnd.choice(texts), rnd.choice(["general", "general,healthcare", "odd", None]), rnd.choice([0, 1, None]), rnd.choice(texts), int(i % 9 > 0))
+            for lc in ("xx", "yy") for i in range(80)]
+    corpus = enrich_sentences(spark.createDataFrame(rows, "lc string, sentence_id string, sentence string, sentence_domain string, valid int, phonemised string, is_used int"))
+    index = spark.createDataFrame([(v, lc, f"{i}") for v in ("16.1", "18.0", "20.0") for lc in ("xx", "yy") for i in range(80) if rnd.random() < 0.7],
+                                  "ver string, lc string, sentence_id string")
+    split = [(v, r[0], alg, sp, r[1], r[2]) for v in ("16.1", "18.0", "20.0") for r in rows
+             for alg, sp in (("", "validated"), ("", "other"), ("s1", "train"), ("s99", "dev")) if rnd.random() < 0.3]
+    split = spark.createDataFrame(split * 2, "ver string, lc string, alg string, sp string, sentence_id string, sentence string")
+    base = membership.restrict_to_index(corpus, index)
+    used = membership.corpus_rows_of_splits(base, split)
+    used = used.withColumn("alg", F.when(F.col("alg") == "", F.lit("s1")).otherwise(F.col("alg")))
+    copied = base.withColumns({"alg": F.lit(""), "sp": F.lit("")})
+    copied = copied.unionByName(used.select(*copied.columns))
+    caps = spark.createDataFrame([("xx", True, False)], "lc string, has_val boolean, has_phon boolean")
+    want = textcorpus.text_corpus_stats(copied, pipeline.KEYS, caps, top=5)
+    c = pipeline.text_corpus_counts(corpus, index, split)
+    got = textcorpus.records(c.counts, textcorpus.spread_distinct(c.by_sig, c.groups, pipeline.KEYS), pipeline.KEYS, caps, top=5)
+    read = lambda df: sorted((str([(k, r[k]) for k in sorted(df.columns)]) for r in df.collect()))
+    assert read(got) == read(want) and want.count() > 20
+    assert c.groups.select("lc", "sig").distinct().count() > 5
+    own = textcorpus.item_counts(copied, pipeline.KEYS)
+    assert read(textcorpus.records(own, textcorpus.distinct_texts(own, pipeline.KEYS), pipeline.KEYS, caps, top=5)) == read(want)

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocalstat.functions import dims
 from vocalstat.functions.exprs import version_ordinal
+from vocalstat.session import materialize
 
 
 def new_rows(candidates: DataFrame, existing: DataFrame, on: Sequence[str], force: bool = False) -> DataFrame:
@@ -64,6 +65,46 @@ def restrict_to_index(corpus: DataFrame, index: DataFrame, on: Sequence[str] = (
     return c.join(idx, list(on))
 
 
+def corpus_members(corpus: DataFrame, index: DataFrame, splits: DataFrame, id_from: str = dims.SENTENCE_ID_FROM) -> DataFrame:
+    """F1 + J3 + J4 without the texts: (lc, sentence_id, text, ver, alg, sp), one row a corpus row and group it belongs to.
+
+    A usable corpus row belongs to every version whose index lists it (alg = sp = ''),
+    and there to the splits that use it: by sentence id from ``id_from`` on, by text
+    before. ``text`` is the text's digest. Buckets get the first algorithm (Q14).
+    """
+    usable = corpus.where(F.col("is_used") == 1) if "is_used" in corpus.columns else corpus
+    rows = usable.select("lc", "sentence_id", row_text("sentence").alias("text")).distinct()
+    listed = materialize(rows.join(index.select("ver", "lc", "sentence_id").distinct(), ["lc", "sentence_id"]), "listed")
+    cut = dims.VERSIONS.index(id_from)
+    at = version_ordinal(F.col("ver"))
+    used = splits.withColumn("alg", F.when(F.col("alg") == "", F.lit(dims.ALGORITHMS[0])).otherwise(F.col("alg")))
+    by_id = used.where((at >= cut) & F.col("sentence_id").isNotNull()).select("ver", "lc", "alg", "sp", "sentence_id").distinct()
+    by_text = used.where((at < cut) & F.col("sentence").isNotNull()).select("ver", "lc", "alg", "sp", row_text("sentence").alias("text")).distinct()
+    cols = ["lc", "sentence_id", "text", "ver", "alg", "sp"]
+    return (listed.withColumns({"alg": F.lit(""), "sp": F.lit("")}).select(*cols)
+            .unionByName(listed.join(by_id, ["ver", "lc", "sentence_id"]).select(*cols))
+            .unionByName(listed.join(by_text, ["ver", "lc", "text"]).select(*cols)))
+
+
+def row_text(sentence: str) -> Column:
+    """Digest of a row's text, empty for null: tells corpus rows of one id apart."""
+    return F.coalesce(F.unhex(F.sha2(F.col(sentence).cast("binary"), 256)), F.lit(b""))
+
+
+def signatures(members: DataFrame, row: Sequence[str] = ("lc", "sentence_id", "text"),
+               group: Sequence[str] = ("ver", "alg", "sp"), within: Sequence[str] = ("lc",)) -> tuple[DataFrame, DataFrame]:
+    """Rows by the set of groups they belong to: (row columns, sig) and (within, sig, group columns).
+
+    A row belongs to few groups (versions times splits), and many rows to the same ones;
+    what is counted once a signature is then spread over its groups.
+    """
+    row, group, within = list(row), list(group), list(within)
+    sets = members.groupBy(*row).agg(F.array_sort(F.collect_set(F.struct(*group))).alias("groups"))
+    tagged = materialize(sets.withColumn("sig", F.unhex(F.sha2(F.to_json("groups").cast("binary"), 256))), "signatures")
+    groups = tagged.select(*within, "sig", F.inline("groups")).distinct()
+    return tagged.select(*row, "sig"), materialize(groups, "groups")
+
+
 def work_left(possible: DataFrame, done: DataFrame, no_data: DataFrame | None = None,
               keys: Sequence[str] = ("ver", "lc"), force: bool = False) -> DataFrame:
     """(ver, lc) work items = possible - already computed - known to have no data."""

@@ -11,6 +11,7 @@ unbounded cardinality.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -417,3 +418,81 @@ def top_k(freq: DataFrame, keys: Sequence[str], item: str, count: str, k: int,
     out = (cand.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
            .where(F.col(rank) <= k))
     return _drop_g(out)
+
+
+# --------------------------------------------------------------------------
+# Several measures at once (A1 + A2 per measure), one grouping per record
+# --------------------------------------------------------------------------
+
+@dataclass(frozen=True)
+class Measure:
+    """Bins of one measure. With ``threshold`` a group whose rounded mean is below it takes ``low_edges`` (as many bins)."""
+
+    edges: Sequence[float]
+    closed_last: bool = True
+    drop_first: bool = False
+    low_edges: Sequence[float] | None = None
+    threshold: float | None = None
+
+    @property
+    def bins(self) -> int:
+        return len(self.edges) - 1 - int(self.drop_first)
+
+    def index(self, value: str | Column, low: Column) -> Column:
+        at = lambda e: bin_index(value, e, self.closed_last, True, self.drop_first, sentinel=_OUT)
+        return at(self.edges) if self.low_edges is None else F.when(low, at(self.low_edges)).otherwise(at(self.edges))
+
+
+def measure_table(rows: DataFrame, keys: Sequence[str], measures: dict[str, Measure], value: str = "value",
+                  weight: str | None = "weight", distinct_values: bool = False) -> DataFrame:
+    """A1 + A2 of all measures together: (keys, measure, n, sum, avg, med, std, freq), one row a group and measure.
+
+    ``rows`` holds (keys, measure, value, weight), null values allowed. Value counts
+    of whole numbers keep the exact deviations and the map median. For nearly unique
+    numbers (``distinct_values``, no weight) moments come straight from the rows and one
+    range partition on (keys, measure, value) orders all medians at once.
+    """
+    by = [*keys, "measure"]
+    if distinct_values:
+        summ = summary(rows, by, value, "m", median="select", with_count=True)
+    else:
+        summ = summary_from_counts(rows, by, value, weight, "m", with_count=True)
+    low = F.lit(False)
+    for name, m in measures.items():
+        if m.low_edges is not None:
+            low = low | ((F.col("measure") == name) & F.coalesce(F.col("m_avg") < F.lit(m.threshold), F.lit(False)))
+    adaptive = any(m.low_edges is not None for m in measures.values())
+    binned = rows.join(summ.select(*by, low.alias("_low")), by) if adaptive else rows.withColumn("_low", F.lit(False))
+    at = F.lit(_OUT)
+    size = F.lit(0)
+    for name, m in measures.items():
+        at = F.when(F.col("measure") == name, m.index(value, F.col("_low"))).otherwise(at)
+        size = F.when(F.col("measure") == name, F.lit(m.bins)).otherwise(size)
+    wt = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    counts = binned.select(*by, at.alias("bin"), wt.alias("_w")).groupBy(*by, "bin").agg(F.sum("_w").alias("_c"))
+    counts = counts.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("bin", "_c"))).alias("_m"))  # a bin once: bounded
+    freq = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0).cast("long")))
+    out = summ.join(counts.select(*by, freq.alias("freq")), by)
+    return out.select(*by, F.col("m_cnt").alias("n"), F.col("m_sum").alias("sum"), F.col("m_avg").alias("avg"),
+                      F.col("m_med").alias("med"), F.col("m_std").alias("std"), "freq")
+
+
+def measure_columns(table: DataFrame, keys: Sequence[str], prefixes: dict[str, str] | Sequence[str],
+                    fields: Sequence[str] = ("n", "sum", "avg", "med", "std", "freq")) -> DataFrame:
+    """``measure_table`` with a row per group: ``{prefix}_{field}`` for every measure."""
+    prefixes = prefixes if isinstance(prefixes, dict) else {p: p for p in prefixes}
+    of = lambda m, f: F.first(F.when(F.col("measure") == m, F.col(f)), ignorenulls=True)
+    return table.groupBy(*keys).agg(*[of(m, f).alias(f"{p}_{f}") for m, p in prefixes.items() for f in fields])
+
+
+def assemble(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """One row per group from parts that hold different columns of it: a union and one grouping, no join a part.
+
+    Each column comes from one part, with one row a group at most; a group that a part lacks gets nulls.
+    """
+    keys = list(keys)
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    rest = [c for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in rest])

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocalstat.functions import bins, dims
 from vocalstat.functions.exprs import char_count, domain_map, normalise, rint3, tokenise, word_count
 from vocalstat.operators import stats
+from vocalstat.operators.membership import row_text
+from vocalstat.session import materialize
 
 
 def enrich_sentences(df: DataFrame, sentence: str = "sentence") -> DataFrame:
@@ -78,8 +80,8 @@ def token_stats(freq: DataFrame, keys: Sequence[str], count: str = "count") -> t
 
 def grapheme_table(df: DataFrame, keys: Sequence[str], text: str = "sentence",
                    item: str = "grapheme") -> DataFrame:
-    """A14/A15 frequency table: code points of the raw text, (keys, item, count)."""
-    return stats.item_frequency(df.where(F.col(text).isNotNull()), keys, F.split(F.col(text), ""),
+    """A14/A15 frequency table: code points of the raw text, (keys, item, count); an empty text has none."""
+    return stats.item_frequency(df.where(F.col(text) != ""), keys, F.split(F.col(text), ""),
                                 name=item, count="count")
 
 
@@ -117,6 +119,152 @@ def domain_counts(raw: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataF
     return counts.select(*keys, "dom_idx", "domain", "count"), quarantine
 
 
+#: Kinds of items that a sentence is counted by, and the measures among them.
+CHARS, WORDS, TOKEN, GRAPHEME, PHONEME, DOMAIN, VALID, SENTENCE, NORMALIZED = "c", "w", "t", "g", "p", "d", "v", "s", "n"
+MEASURES = {
+    CHARS: stats.Measure(bins.CHARS_LONG, low_edges=bins.CHARS_SHORT, threshold=bins.CHARS_THRESHOLD),
+    WORDS: stats.Measure(bins.WORDS, drop_first=True),
+    TOKEN: stats.Measure(bins.TOKENS, drop_first=True),
+}
+
+
+def _short(text: Column) -> Column:
+    """A text of its own up to 63 characters, the SHA-256 of a longer one (64 characters)."""
+    return F.when(F.length(text) < 64, text).otherwise(F.sha2(text.cast("binary"), 256))
+
+
+def item_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, kind, item, n): everything that the record counts.
+
+    Each sentence gives its length, word count, validity and domain, its own and its normalised
+    text (by digest if long), its tokens and its code points. Items are exploded and summed
+    kind by kind, each from its own column, map-side first.
+    """
+    have = set(df.columns)
+    opt = lambda c: F.col(c).cast("string") if c in have else F.lit(None).cast("string")
+    one = lambda kind, c: F.struct(F.lit(kind).alias("kind"), c.alias("item"))
+    count = lambda rows: rows.groupBy(*keys, "kind", "item").agg(F.count(F.lit(1)).alias("n"))
+    once = F.array(one(CHARS, opt("char_cnt")), one(WORDS, opt("word_cnt")), one(VALID, opt("valid")), one(DOMAIN, opt("sentence_domain")),
+                   one(SENTENCE, _short(F.col("sentence"))), one(NORMALIZED, _short(F.col("normalized"))))
+    out = count(df.select(*keys, F.inline(once))).unionByName(
+        count(df.select(*keys, F.lit(TOKEN).alias("kind"), F.explode("tokens").alias("item")))).unionByName(
+        code_points(df, keys, "sentence", GRAPHEME))
+    return out.unionByName(code_points(df, keys, "phonemised", PHONEME)) if "phonemised" in have else out
+
+
+def code_points(df: DataFrame, keys: Sequence[str], text: str, kind: str) -> DataFrame:
+    """(keys, kind, item, n): code points of a text column.
+
+    Pieces between spaces are counted first, and the code points of each different piece weighted
+    by its count: words repeat, so far fewer code points are exploded than the texts hold.
+    """
+    texts = df.where(F.col(text).isNotNull())
+    pieces = texts.select(*keys, F.explode(F.split(F.col(text), " ")).alias("_p")).groupBy(*keys, "_p").agg(F.count(F.lit(1)).alias("_w"))
+    points = pieces.where("_p <> ''").select(*keys, F.explode(F.split("_p", "")).alias("item"), "_w").groupBy(*keys, "item").agg(F.sum("_w").alias("n"))
+    spaces = texts.groupBy(*keys).agg(F.sum(F.length(text) - F.length(F.replace(F.col(text), F.lit(" "), F.lit("")))).alias("n"))
+    spaces = spaces.where("n > 0").withColumn("item", F.lit(" "))
+    return points.unionByName(spaces).withColumn("kind", F.lit(kind)).select(*keys, "kind", "item", "n")
+
+
+def frequency(counts: DataFrame, keys: Sequence[str], kind: str, name: str) -> DataFrame:
+    """The frequency table of one kind of item: (keys, name, count), nulls left out."""
+    return counts.where((F.col("kind") == kind) & F.col("item").isNotNull()).select(*keys, F.col("item").alias(name), F.col("n").alias("count"))
+
+
+def _base_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A10 without distinct texts: s_cnt, val."""
+    of = lambda kind: F.col("kind") == kind
+    return counts.where(of(SENTENCE) | of(VALID)).groupBy(*keys).agg(
+        F.sum(F.when(of(SENTENCE), F.col("n"))).alias("s_cnt"),
+        F.coalesce(F.sum(F.when(of(VALID), F.col("n") * F.col("item").cast("long"))), F.lit(0)).alias("val"))
+
+
+def distinct_texts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A10: uq_s, uq_n of groups whose counts are their own (not by signature)."""
+    n = lambda kind: F.count_if((F.col("kind") == kind) & F.col("item").isNotNull())
+    return counts.where(F.col("kind").isin(SENTENCE, NORMALIZED)).groupBy(*keys).agg(n(SENTENCE).alias("uq_s"), n(NORMALIZED).alias("uq_n"))
+
+
+def records(counts: DataFrame, distinct: DataFrame, keys: Sequence[str], capabilities: DataFrame | None = None,
+            lc: str = "lc", top: int = 100) -> DataFrame:
+    """A10-A17 records from item counts per group; ``distinct`` has uq_s and uq_n.
+
+    Lengths, words and token counts are summed up together, graphemes and phonemes ranked
+    together, and one grouping puts the parts of a group into its record.
+    """
+    keys = list(keys)
+    of = lambda *kinds: F.col("kind").isin(*kinds)
+    token = F.col("kind") == TOKEN
+    values = counts.where(of(CHARS, WORDS, TOKEN) & F.col("item").isNotNull()).select(
+        *keys, F.col("kind").alias("measure"), F.when(token, F.col("n")).otherwise(F.expr("try_cast(CASE WHEN kind <> 't' THEN item END AS bigint)")).alias("value"),
+        F.when(token, F.lit(1)).otherwise(F.col("n")).alias("weight"))
+    values = materialize(values.groupBy(*keys, "measure", "value").agg(F.sum("weight").alias("weight")), "values")
+    m = stats.measure_columns(stats.measure_table(values, keys, MEASURES), keys, (CHARS, WORDS, TOKEN))
+    m = m.withColumns({"c_sum": F.col("c_sum").cast("long"), "w_sum": F.col("w_sum").cast("long"), "t_sum": F.col("t_n")})
+    m = m.select(*keys, *[f"{p}_{f}" for p in "cwt" for f in ("sum", "avg", "med", "std", "freq")])
+    letters = counts.where(of(GRAPHEME, PHONEME) & F.col("item").isNotNull()).withColumnRenamed("n", "count")
+    ranked = top_items(letters, [*keys, "kind"], "item", top, "x")
+    pick = lambda kind, f: F.first(F.when(F.col("kind") == kind, F.col(f"x_{f}")), ignorenulls=True).alias(f"{kind}_{f}")
+    letters = ranked.groupBy(*keys).agg(*[pick(k, f) for k in (GRAPHEME, PHONEME) for f in ("cnt", "items", "freq")])
+    doms, _ = domain_counts(frequency(counts, keys, DOMAIN, "sentence_domain"), keys)
+    dom_arr = (doms.groupBy(*keys)
+               .agg(F.array_sort(F.collect_list(F.struct("dom_idx", "domain", "count"))).alias("_d"))
+               .select(*keys, F.size("_d").alias("dom_cnt"),
+                       F.transform("_d", lambda s: s["domain"]).alias("dom_items"),
+                       F.transform("_d", lambda s: s["count"]).alias("dom_freq")))
+    rec = stats.assemble([_base_counts(counts, keys), distinct.select(*keys, "uq_s", "uq_n"), m, letters, dom_arr], keys)
+    return _record(rec, keys, capabilities, lc)
+
+
+def _record(rec: DataFrame, keys: Sequence[str], capabilities: DataFrame | None, lc: str) -> DataFrame:
+    """The published columns; A17: words and tokens for validator locales, phonemes for phonemiser locales."""
+    if capabilities is not None and lc in keys:
+        rec = rec.join(capabilities.select(lc, "has_val", "has_phon"), lc, "left")
+        has_val = F.coalesce(F.col("has_val"), F.lit(False))
+        has_phon = F.coalesce(F.col("has_phon"), F.lit(False))
+    else:
+        has_val, has_phon = F.lit(True), F.lit(True)
+    zero = F.lit(0).cast("long")
+    empty = F.array().cast("array<long>")
+    return rec.select(
+        *keys, has_val.alias("has_val"), has_phon.alias("has_phon"), "s_cnt", "uq_s", "uq_n", "val",
+        F.coalesce("c_sum", zero).alias("c_sum"), "c_avg", "c_med", "c_std", F.coalesce("c_freq", empty).alias("c_freq"),
+        *[F.when(has_val, F.col(c)).alias(c) for c in ("w_sum", "w_avg", "w_med", "w_std", "w_freq",
+                                                         "t_sum", "t_avg", "t_med", "t_std", "t_freq")],
+        F.coalesce("g_cnt", zero).alias("g_cnt"), "g_items", "g_freq",
+        F.when(has_phon, F.coalesce("p_cnt", zero)).alias("p_cnt"),
+        F.when(has_phon, F.col("p_items")).alias("p_items"), F.when(has_phon, F.col("p_freq")).alias("p_freq"),
+        F.coalesce("dom_cnt", F.lit(0)).alias("dom_cnt"), "dom_items", "dom_freq",
+    )
+
+
+def spread_counts(by_sig: DataFrame, groups: DataFrame, keys: Sequence[str], lc: str = "lc") -> DataFrame:
+    """(keys, kind, item, n) from counts by signature; texts, which only distinct counts need, stay behind."""
+    counted = by_sig.where(~F.col("kind").isin(SENTENCE, NORMALIZED)).unionByName(
+        by_sig.where(F.col("kind") == SENTENCE).groupBy(lc, "sig").agg(F.sum("n").alias("n"))
+        .withColumns({"kind": F.lit(SENTENCE), "item": F.lit(None).cast("string")}))
+    return counted.join(groups, [lc, "sig"]).groupBy(*keys, "kind", "item").agg(F.sum("n").alias("n"))
+
+
+def spread_distinct(by_sig: DataFrame, groups: DataFrame, keys: Sequence[str], lc: str = "lc") -> DataFrame:
+    """A10: uq_s, uq_n per group. Texts are counted by the set of signatures they occur under (mostly one), then spread."""
+    keys = list(keys)
+    texts = by_sig.where(F.col("kind").isin(SENTENCE, NORMALIZED) & F.col("item").isNotNull())
+    sets = texts.groupBy(lc, "kind", "item").agg(F.array_sort(F.collect_set("sig")).alias("sigs"))
+    sets = sets.groupBy(lc, "kind", "sigs").agg(F.count(F.lit(1)).alias("n"))
+    spread = sets.withColumn("sig", F.explode("sigs")).join(groups, [lc, "sig"]).select(*keys, "kind", "sigs", "n").distinct()
+    n = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+    return spread.groupBy(*keys).agg(n(SENTENCE).alias("uq_s"), n(NORMALIZED).alias("uq_n"))
+
+
+def counts_by_signature(corpus: DataFrame, tagged: DataFrame, lc: str = "lc") -> DataFrame:
+    """``item_counts`` of the corpus rows by (lc, signature): each sentence is read and tokenised once."""
+    rows = corpus.withColumn("text", row_text("sentence")).join(tagged, [lc, "sentence_id", "text"])
+    used = [c for c in ("char_cnt", "word_cnt", "valid", "sentence_domain", "sentence", "normalized", "tokens", "phonemised") if c in rows.columns]
+    rows = materialize(rows.select(lc, "sig", *used), "tagged")
+    return materialize(item_counts(rows, [lc, "sig"]), "sig-items", partition_by=("kind",))
+
+
 def text_corpus_stats(df: DataFrame, keys: Sequence[str], capabilities: DataFrame | None = None,
                       lc: str = "lc", top: int = 100) -> DataFrame:
     """One text-corpus statistics record per group (record of A10-A17).
@@ -149,27 +297,10 @@ def text_corpus_stats(df: DataFrame, keys: Sequence[str], capabilities: DataFram
                        F.transform("_d", lambda s: s["domain"]).alias("dom_items"),
                        F.transform("_d", lambda s: s["count"]).alias("dom_freq")))
     rec = rec.join(dom_arr, keys, "left")
-    if capabilities is not None and lc in keys:
-        rec = rec.join(capabilities.select(lc, "has_val", "has_phon"), lc, "left")
-        has_val = F.coalesce(F.col("has_val"), F.lit(False))
-        has_phon = F.coalesce(F.col("has_phon"), F.lit(False))
-    else:
-        has_val, has_phon = F.lit(True), F.lit(True)
-    zero = F.lit(0).cast("long")
-    empty = F.array().cast("array<long>")
-    out = rec.select(
-        *keys, has_val.alias("has_val"), has_phon.alias("has_phon"), "s_cnt", "uq_s", "uq_n", "val",
-        F.coalesce("c_sum", zero).alias("c_sum"), "c_avg", "c_med", "c_std", F.coalesce("c_freq", empty).alias("c_freq"),
-        *[F.when(has_val, F.col(c)).alias(c) for c in ("w_sum", "w_avg", "w_med", "w_std", "w_freq",
-                                                         "t_sum", "t_avg", "t_med", "t_std", "t_freq")],
-        F.coalesce("g_cnt", zero).alias("g_cnt"), "g_items", "g_freq",
-        F.when(has_phon, F.coalesce("p_cnt", zero)).alias("p_cnt"),
-        F.when(has_phon, F.col("p_items")).alias("p_items"), F.when(has_phon, F.col("p_freq")).alias("p_freq"),
-        F.coalesce("dom_cnt", F.lit(0)).alias("dom_cnt"), "dom_items", "dom_freq",
-    )
-    return out
+    return _record(rec, keys, capabilities, lc)
 
 
 __all__ = ["enrich_sentences", "sentence_counts", "char_stats", "word_stats", "token_table",
            "token_stats", "grapheme_table", "top_items", "domain_table", "domain_counts",
-           "text_corpus_stats", "rint3"]
+           "item_counts", "frequency", "distinct_texts", "spread_counts", "spread_distinct",
+           "counts_by_signature", "records", "text_corpus_stats", "rint3"]

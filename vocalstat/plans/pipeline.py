@@ -68,21 +68,38 @@ def split_statistics(inp: SplitInputs) -> tuple[DataFrame, DataFrame, DataFrame]
     return ss, cs, aa
 
 
+@dataclass
+class TextCounts:
+    """E2 before its records: item counts by signature (texts included) and by group, and the groups of each signature."""
+
+    by_sig: DataFrame
+    groups: DataFrame
+    counts: DataFrame
+
+
+def text_corpus_counts(base: DataFrame, index: DataFrame, split_rows: DataFrame) -> TextCounts:
+    """What E2 counts, per (ver, lc, alg, sp): the version's corpus as a whole (alg = sp = ''), its
+    buckets (labelled with the first algorithm, Q14) and its algorithm splits (J3 + J4).
+
+    A sentence that many versions and splits share is read once: rows get a signature, the set of
+    groups they belong to; items are counted by signature and those counts spread over the groups.
+    """
+    usable = base.where(F.col("is_used") == 1) if "is_used" in base.columns else base
+    tagged, groups = membership.signatures(membership.corpus_members(base, index, split_rows))
+    by_sig = textcorpus.counts_by_signature(usable, tagged)
+    counts = materialize_df(textcorpus.spread_counts(by_sig, groups, KEYS), "text-counts", partition_by=("kind",))
+    return TextCounts(by_sig, groups, counts)
+
+
 def text_corpus_statistics(base: DataFrame, index: DataFrame, split_rows: DataFrame,
                            capabilities: DataFrame | None = None) -> DataFrame:
-    """Text-corpus records per (ver, lc, algo, sp): the version's corpus as a
-    whole (algo = sp = ''), its buckets (labelled with the first algorithm, Q14)
-    and its algorithm splits (J3 + J4)."""
-    return textcorpus.text_corpus_stats(text_corpus_rows(base, index, split_rows), KEYS, capabilities)
+    """Text-corpus records per (ver, lc, alg, sp)."""
+    return text_records(text_corpus_counts(base, index, split_rows), capabilities)
 
 
-def text_corpus_rows(base: DataFrame, index: DataFrame, split_rows: DataFrame) -> DataFrame:
-    """The corpus rows behind E2: of each version as a whole, and of its buckets and splits."""
-    base = membership.restrict_to_index(base, index)  # has ver
-    glob = base.withColumn("alg", F.lit("")).withColumn("sp", F.lit(""))
-    used = membership.corpus_rows_of_splits(base, split_rows, split_keys=("alg", "sp"))
-    used = used.withColumn("alg", F.when(F.col("alg") == "", F.lit(dims.ALGORITHMS[0])).otherwise(F.col("alg")))
-    return glob.unionByName(used.select(*glob.columns))
+def text_records(c: TextCounts, capabilities: DataFrame | None = None) -> DataFrame:
+    """A10-A17 records of counted texts."""
+    return textcorpus.records(c.counts, textcorpus.spread_distinct(c.by_sig, c.groups, KEYS), KEYS, capabilities)
 
 
 def reported_statistics(reports: DataFrame, work: DataFrame | None = None) -> DataFrame:
@@ -134,17 +151,15 @@ def corpus_job(spark: SparkSession, out: str, validated: DataFrame, versions: Da
 def text_job(out: str, base: DataFrame, index: DataFrame, split_rows: DataFrame, capabilities: DataFrame | None = None,
              level: int = sinks.SAVE_DEFAULT) -> None:
     """Text records of versions and splits, and the frequency tables that the save level keeps (K6)."""
-    rows = materialize_df(text_corpus_rows(base, index, split_rows), "texts")
-    sinks.write_table(textcorpus.text_corpus_stats(rows, KEYS, capabilities), f"{out}/tc")
-    if "sentence_domain" not in rows.columns:
-        rows = rows.withColumn("sentence_domain", F.lit(None).cast("string"))
-    tables = {"tokens": textcorpus.token_table(rows, KEYS), "graphemes": textcorpus.grapheme_table(rows, KEYS, "sentence"),
-              "domains": textcorpus.domain_table(rows, KEYS)}
-    if "phonemised" in rows.columns:
-        tables["phonemes"] = textcorpus.grapheme_table(rows, KEYS, "phonemised", "phoneme")
-    for name, freq in tables.items():
-        sinks.write_table(sinks.frequency_tables_to_save(freq, level), f"{out}/freq_{name}")
-    _, unknown = textcorpus.domain_counts(tables["domains"], KEYS)  # labels outside the map (Q12)
+    c = text_corpus_counts(base, index, split_rows)
+    sinks.write_table(text_records(c, capabilities), f"{out}/tc")
+    tables = {"tokens": (textcorpus.TOKEN, "token"), "graphemes": (textcorpus.GRAPHEME, "grapheme"),
+              "domains": (textcorpus.DOMAIN, "sentence_domain"), "phonemes": (textcorpus.PHONEME, "phoneme")}
+    for name, (kind, item) in tables.items():
+        freq = textcorpus.frequency(c.counts, KEYS, kind, item)
+        if name != "phonemes" or "phonemised" in base.columns:
+            sinks.write_table(sinks.frequency_tables_to_save(freq, level), f"{out}/freq_{name}")
+    _, unknown = textcorpus.domain_counts(textcorpus.frequency(c.counts, KEYS, textcorpus.DOMAIN, "sentence_domain"), KEYS)  # labels outside the map (Q12)
     sinks.write_table(unknown, f"{out}/unknown_domains")
 
 

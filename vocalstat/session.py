@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.conf import SparkConf
 from pyspark.sql import DataFrame, SparkSession
@@ -78,18 +79,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/vocalstat-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "mat") -> DataFrame:
+def materialize(df: DataFrame, name: str = "mat", partition_by: Sequence[str] = ()) -> DataFrame:
     """Cut lineage by writing ``df`` once as Parquet under the checkpoint folder and reading it back.
 
     Unlike an eager ``checkpoint()`` (which runs the plan once to count and again
     to write), this computes the plan a single time, stores it columnar and
-    compressed, and keeps column statistics for the readers. ``clear_scratch``
+    compressed, and keeps column statistics for the readers. ``partition_by`` columns become
+    folders, so that a reader of one value skips the others. ``clear_scratch``
     removes what an application has written this way.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 
 
 def clear_scratch(spark: SparkSession) -> None:
