@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from vocalstat.functions import bins, dims
 from vocalstat.functions.exprs import ms_to_s, truncate_long, vad_percentage, version_ordinal
 from vocalstat.operators import stats
+from vocalstat.session import materialize
 
 KEYS = ["ver", "lc", "alg", "sp"]
 
@@ -132,21 +133,15 @@ def audio_stats(specs: DataFrame, keys: Sequence[str] = KEYS, errors: DataFrame
     empty arrays, as the published placeholder.
     """
     keys = list(keys)
-    rec = quality_counts(specs, keys)
+    parts = [quality_counts(specs, keys), *measure_records(specs, keys), label_arrays(specs, keys)]
+    if errors is not None and split_paths is not None:
+        parts.append(errors_of_splits(split_paths, errors, keys))
     if split_paths is not None:
-        rec = split_paths.select(*keys).distinct().join(rec, keys, "left")
-    for name in MEASURES:
-        s, h = measure_stats(specs, keys, name)
-        rec = rec.join(s, keys, "left").join(stats.to_array(h, keys, "bin", "cnt", f"{name}_freq"), keys, "left")
-    vd = value_distributions(specs, keys)
-    for m in ("enc", "chan", "srate", "brate"):
-        arr = (vd.where(F.col("measure") == F.lit(m)).groupBy(*keys)
-               .agg(F.array_sort(F.collect_list(F.struct("label", "cnt"))).alias("_a"))
-               .select(*keys, F.transform("_a", lambda s: s["label"]).alias(f"{m}_r"),
-                       F.transform("_a", lambda s: s["cnt"]).alias(f"{m}_freq")))
-        rec = rec.join(arr, keys, "left")
+        parts.append(split_paths.select(*keys).distinct())
+    rec = stats.assemble(parts, keys)
+    if split_paths is None:
+        rec = rec.where(F.col("clips").isNotNull())
     if errors is not None and split_paths is not None:
-        rec = rec.join(errors_of_splits(split_paths, errors, keys), keys, "left")
         rec = rec.withColumn("errors", F.coalesce("errors", F.lit(0).cast("long")))
     else:
         rec = (rec.withColumn("errors", F.lit(0).cast("long"))
@@ -159,3 +154,31 @@ def audio_stats(specs: DataFrame, keys: Sequence[str] = KEYS, errors: DataFrame
         rec = rec.select(*[(F.when(none & F.col(c).isNull(), blank[t]).otherwise(F.col(c)).alias(c) if c not in keys and t in blank
                             else F.col(c)) for c, t in rec.dtypes])
     return rec
+
+
+def measure_records(specs: DataFrame, keys: Sequence[str]) -> list[DataFrame]:
+    """A34-A37 for the record. The nearly unique measures are unpivoted to (keys, measure, value): one
+    aggregate has their moments, one their bins, and one range partition orders all medians; whole
+    milliseconds go through value counts."""
+    keys = list(keys)
+    kinds = lambda how: {n: m for n, m in MEASURES.items() if m[3] == how}
+    spec = lambda ms: {n: stats.Measure(m[1], drop_first=m[2]) for n, m in ms.items()}
+    loose, counted = kinds("select"), kinds("map")
+    long = specs.select(*keys, F.inline(F.array(*[F.struct(F.lit(n).alias("measure"), m[0]().cast("double").alias("value")) for n, m in loose.items()])))
+    long = materialize(long, "measures")
+    fields = ("avg", "med", "std", "freq")
+    out = [stats.measure_columns(stats.measure_table(long, keys, spec(loose), distinct_values=True), keys, list(loose), fields)]
+    for name, m in counted.items():
+        vc = stats.value_counts(specs, keys, m[0](), name="value", count="weight", drop_nulls=False).withColumn("measure", F.lit(name))
+        t = stats.measure_columns(stats.measure_table(vc, keys, spec({name: m})), keys, [name], ("sum", *fields))
+        out.append(t.withColumn(f"{name}_sum", truncate_long(f"{name}_sum")))
+    return out
+
+
+def label_arrays(specs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A38 for the record: labels and counts of each property, ordered by label as text, in one grouping."""
+    of = lambda m: F.array_sort(F.collect_list(F.when(F.col("measure") == m, F.struct("label", "cnt"))))
+    names = ("enc", "chan", "srate", "brate")
+    arrays = value_distributions(specs, keys).groupBy(*keys).agg(*[of(m).alias(f"_{m}") for m in names])
+    part = lambda m, f: F.when(F.size(f"_{m}") > 0, F.col(f"_{m}.{f}"))
+    return arrays.select(*keys, *[c for m in names for c in (part(m, "label").alias(f"{m}_r"), part(m, "cnt").alias(f"{m}_freq"))])

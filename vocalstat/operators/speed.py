@@ -106,12 +106,10 @@ def char_speed_stats(clips: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
     m2s = matrix(cs2s, "bin_slen", "cs2s")
     clips_cnt = cs2s.groupBy(*keys).agg(F.sum("n").cast("long").alias("clips"))
-    rec = (every.select(*keys).distinct().join(ch.select(*keys, "cs_avg", "cs_med", "cs_std"), keys, "left")
-           .join(clips_cnt, keys, "left")
-           .join(stats.to_array(hist, keys, "bin", "cnt", "cs_freq"), keys, "left")
-           .join(m2s.select(*keys, F.col("cs2s_rows").alias("cs_r"), F.col("cs2s_cols").alias("cs2s_c"), "cs2s"), keys, "left")
-           .join(ordered(cs2g, "gender", dims.GENDERS, "cs2g"), keys, "left")
-           .join(ordered(cs2a, "age", dims.AGES, "cs2a"), keys, "left"))
+    rec = stats.assemble([
+        every.select(*keys).distinct(), ch.select(*keys, "cs_avg", "cs_med", "cs_std"), clips_cnt, stats.to_array(hist, keys, "bin", "cnt", "cs_freq"),
+        m2s.select(*keys, F.col("cs2s_rows").alias("cs_r"), F.col("cs2s_cols").alias("cs2s_c"), "cs2s"),
+        ordered(cs2g, "gender", dims.GENDERS, "cs2g"), ordered(cs2a, "age", dims.AGES, "cs2a")], keys)
     blank = {"bigint": F.lit(0).cast("long"), "double": F.lit(0.0)}
     return rec.select(*[F.coalesce(F.col(c), blank.get(t, F.array().cast(t) if t.startswith("array") else None)).alias(c)
                         if c not in keys and (t in blank or t.startswith("array")) else F.col(c) for c, t in rec.dtypes])

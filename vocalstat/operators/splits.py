@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from vocalstat.functions import bins, dims
 from vocalstat.functions.exprs import ms_to_s
 from vocalstat.operators import stats
+from vocalstat.session import materialize
 
 KEYS = ["ver", "lc", "alg", "sp"]
 
@@ -59,12 +60,9 @@ def attach_durations(clips: DataFrame, durations: DataFrame, on_clip: str = "pat
 def basic_counts(df: DataFrame, keys: Sequence[str] = KEYS, client: str = "client_id",
                  sentence: str = "sentence", sentence_lower: str = "sentence_lower") -> DataFrame:
     """Clips, uq_v, uq_s, uq_sl (null counted once, Q4)."""
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("clips"),
-        stats.distinct_with_null(client).alias("uq_v"),
-        stats.distinct_with_null(sentence).alias("uq_s"),
-        stats.distinct_with_null(sentence_lower).alias("uq_sl"),
-    )
+    distinct = stats.distinct_counts(df, keys, {"uq_v": client, "uq_s": sentence, "uq_sl": sentence_lower})
+    return stats.assemble([df.groupBy(*keys).agg(F.count(F.lit(1)).alias("clips")), distinct], keys).select(
+        *keys, "clips", "uq_v", "uq_s", "uq_sl")
 
 
 def duration_stats(df: DataFrame, keys: Sequence[str] = KEYS, duration: str = "duration",
@@ -203,43 +201,77 @@ def split_stats(clips: DataFrame, keys: Sequence[str] = KEYS, variants: DataFram
     unknown; see ``attach_durations``).
     """
     keys = list(keys)
-    rec = basic_counts(clips, keys)
-    dur, dur_h = duration_stats(clips, keys)
     timed = ~F.col("ver").isin(*dims.NO_DURATION_VERSIONS)
     if "has_durations" in clips.columns:  # a locale without any duration is as version 1
         timed = timed & F.col("has_durations")
-    has_dur = clips.groupBy(*keys).agg(F.max(F.when(timed, 1).otherwise(0)).alias("_hd"))
-    rec = (rec.join(has_dur, keys).join(dur, keys, "left")
-           .join(stats.to_array(dur_h, keys, "bin", "cnt", "dur_freq"), keys, "left"))
-    for d in ("dur_total", "dur_avg", "dur_med", "dur_std"):
-        rec = rec.withColumn(d, F.when(F.col("_hd") == 1, F.col(d)).otherwise(F.lit(-1.0)))
-    rec = rec.withColumn("dur_freq", F.when(F.col("_hd") == 1, F.coalesce("dur_freq", F.array().cast("array<long>")))
-                         .otherwise(F.array().cast("array<long>"))).drop("_hd")
-    for item, prefix, edges in (("client_id", "v", bins.VOICES), ("sentence", "s", bins.SENTENCES)):
-        s, h = per_item_stats(clips, keys, item, prefix, edges)
-        rec = rec.join(s, keys, "left").join(stats.to_array(h, keys, "bin", "cnt", f"{prefix}_freq"), keys, "left")
-    for votes, prefix, edges in (("up_votes", "uv", bins.VOTES_UP), ("down_votes", "dv", bins.VOTES_DOWN)):
-        s, h = vote_stats(clips, keys, votes, prefix, edges)
-        rec = rec.join(s, keys, "left").join(stats.to_array(h, keys, "bin", "cnt", f"{prefix}_freq"), keys, "left")
-    dem, dem_uq = demographics(clips, keys)
-    rec = (rec.join(stats.matrix_array(dem, keys, name="dem_table"), keys, "left")
-           .join(stats.matrix_array(dem_uq, keys, name="dem_uq"), keys, "left")
-           .withColumn("dem_fix_r", F.array().cast("array<long>"))
-           .withColumn("dem_fix_v", F.array().cast("array<long>")))
+    base = clips.groupBy(*keys).agg(F.count(F.lit(1)).alias("clips"), F.max(F.when(timed, 1).otherwise(0)).alias("_hd"))
+    dur = stats.value_counts(clips, keys, "duration", name="value", count="weight").withColumn("measure", F.lit("dur"))
+    parts = [base, item_counts(clips, keys), stats.measure_columns(
+        stats.measure_table(dur, keys, {"dur": stats.Measure(bins.DURATION)}), keys, ["dur"], ("sum", "avg", "med", "std", "freq"))]
+    parts += demographic_tables(clips, keys)
+    rows = lambda t, label, names: (t.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("ord", label, "rec", "voices"))).alias("_r"))
+        .select(*keys, *[F.col(f"_r.{f}").alias(n) for f, n in zip((label, "rec", "voices"), names)]))
     if variants is not None:
-        v = variant_counts(clips, keys, variants)
-        v = v.withColumn("ord", F.coalesce("ord", F.lit((1 << 30) + 1)))
-        rec = rec.join(v.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("ord", "variant", "rec", "voices"))).alias("_v"))
-                       .select(*keys, F.transform("_v", lambda s: s["variant"]).alias("var_rows"),
-                               F.transform("_v", lambda s: s["rec"]).alias("var_freq"),
-                               F.transform("_v", lambda s: s["voices"]).alias("var_ufreq")), keys, "left")
+        v = variant_counts(clips, keys, variants).withColumn("ord", F.coalesce("ord", F.lit((1 << 30) + 1)))
+        parts.append(rows(v, "variant", ("var_rows", "var_freq", "var_ufreq")))
     if accents is not None:
-        a = accent_counts(clips, keys, accents)
-        rec = rec.join(a.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("ord", "accent", "rec", "voices"))).alias("_a"))
-                       .select(*keys, F.transform("_a", lambda s: s["accent"]).alias("acc_rows"),
-                               F.transform("_a", lambda s: s["rec"]).alias("acc_freq"),
-                               F.transform("_a", lambda s: s["voices"]).alias("acc_ufreq")), keys, "left")
-    return rec
+        parts.append(rows(accent_counts(clips, keys, accents), "accent", ("acc_rows", "acc_freq", "acc_ufreq")))
+    rec = stats.assemble(parts, keys)
+    none = F.array().cast("array<long>")
+    has = F.col("_hd") == 1
+    dur_zero = F.array(*[F.lit(0).cast("long")] * (len(bins.DURATION) - 1))
+    rec = rec.withColumns({
+        "dur_total": F.when(has, F.rint(F.col("dur_sum") * 1000) / 1000).otherwise(F.lit(-1.0)),
+        **{d: F.when(has, F.col(d)).otherwise(F.lit(-1.0)) for d in ("dur_avg", "dur_med", "dur_std")},
+        "dur_freq": F.when(has, F.coalesce("dur_freq", dur_zero)).otherwise(none), "dem_fix_r": none, "dem_fix_v": none})
+    names = ["clips", "uq_v", "uq_s", "uq_sl", "dur_total", "dur_avg", "dur_med", "dur_std", "dur_freq",
+             *[f"{p}_{f}" for p in "vs" for f in ("avg", "med", "std", "freq")],
+             *[f"{p}_{f}" for p in ("uv", "dv") for f in ("sum", "avg", "med", "std", "freq")], "dem_table", "dem_uq", "dem_fix_r", "dem_fix_v",
+             *(["var_rows", "var_freq", "var_ufreq"] if variants is not None else []),
+             *(["acc_rows", "acc_freq", "acc_ufreq"] if accents is not None else [])]
+    return rec.select(*keys, *names)
+
+
+def item_counts(clips: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A24 (distinct values), A26, A27 and A28 of each group, from tables that they share.
+
+    Clips are counted by voice, by sentence and by votes, one exchange each; the number of a table's
+    rows is the distinct count, its counts give the statistics, and the lower-case
+    sentences are counted from the sentences. All measures are then summed up and binned together.
+    """
+    keys = list(keys)
+    per = {c: clips.groupBy(*keys, F.col(c).alias("item")).agg(F.count(F.lit(1)).alias("n")) for c in ("client_id", "sentence", "up_votes", "down_votes")}
+    measures = {"v": stats.Measure(bins.VOICES, drop_first=True), "s": stats.Measure(bins.SENTENCES, drop_first=True)}
+    rows = []
+    one = F.lit(1).cast("long")
+
+    def add(table: DataFrame, measure: str, value: Column, weight: Column) -> None:
+        rows.append(table.where(F.col("item").isNotNull()).select(*keys, F.lit(measure).alias("measure"), value.cast("long").alias("value"), weight.alias("weight")))
+
+    add(per["client_id"], "v", F.col("n"), one)
+    add(per["sentence"], "s", F.col("n"), one)
+    for votes, p, edges in (("up_votes", "uv", bins.VOTES_UP), ("down_votes", "dv", bins.VOTES_DOWN)):
+        measures[p] = measures[f"{p}c"] = stats.Measure(edges, closed_last=False)
+        add(per[votes], p, F.col("item"), F.col("n"))
+        add(per[votes], f"{p}c", F.col("n"), one)  # Q3: statistics over the counts of the distinct votes
+    union = rows[0]
+    for r in rows[1:]:
+        union = union.unionByName(r)
+    counts = materialize(union.groupBy(*keys, "measure", "value").agg(F.sum("weight").alias("weight")), "item-counts")
+    table = stats.measure_columns(stats.measure_table(counts, keys, measures), keys, list(measures))
+    lower = per["sentence"].select(*keys, F.lower("item").alias("_l")).distinct()
+    size = lambda t, name: t.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    rec = stats.assemble([size(per["client_id"], "uq_v"), size(per["sentence"], "uq_s"), size(lower, "uq_sl"), table], keys)
+    return rec.select(*keys, "uq_v", "uq_s", "uq_sl", *[f"{p}_{f}" for p in "vs" for f in ("avg", "med", "std", "freq")],
+                      *[c for p in ("uv", "dv") for c in (F.col(f"{p}_sum").cast("long").alias(f"{p}_sum"), f"{p}_freq",
+                                                          *[F.col(f"{p}c_{f}").alias(f"{p}_{f}") for f in ("avg", "med", "std")])])
+
+
+def demographic_tables(clips: DataFrame, keys: Sequence[str]) -> list[DataFrame]:
+    """A29 in record form: dem_table and dem_uq."""
+    dem, uq = demographics(clips, keys)
+    return [stats.matrix_array(dem, keys, name="dem_table"), stats.matrix_array(uq, keys, name="dem_uq")]
 
 
 def fillable_demographics(df: DataFrame, keys: Sequence[str] = KEYS, client: str = "client_id",

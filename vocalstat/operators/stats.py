@@ -98,6 +98,19 @@ def distinct_non_null(c: str | Column) -> Column:
     return F.count_distinct(x).cast("long")
 
 
+def distinct_counts(df: DataFrame, keys: Sequence[str], columns: dict[str, str | Column]) -> DataFrame:
+    """A6 for several columns: (keys, name...), null counted once.
+
+    Each column is made distinct by itself, one exchange of (keys, value) after map-side
+    combine, and then counted; several ``count(distinct)`` in one aggregate would expand every row
+    once a column instead.
+    """
+    keys = list(keys)
+    col = lambda c: F.col(c) if isinstance(c, str) else c
+    return assemble([df.groupBy(*keys, col(c).alias("_v")).agg(F.lit(1).alias("_1")).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+                     for name, c in columns.items()], keys)
+
+
 # --------------------------------------------------------------------------
 # A1 summary: sum, mean, median, population std
 # --------------------------------------------------------------------------
@@ -444,13 +457,14 @@ class Measure:
 
 
 def measure_table(rows: DataFrame, keys: Sequence[str], measures: dict[str, Measure], value: str = "value",
-                  weight: str | None = "weight", distinct_values: bool = False) -> DataFrame:
+                  weight: str = "weight", distinct_values: bool = False) -> DataFrame:
     """A1 + A2 of all measures together: (keys, measure, n, sum, avg, med, std, freq), one row a group and measure.
 
     ``rows`` holds (keys, measure, value, weight), null values allowed. Value counts
     of whole numbers keep the exact deviations and the map median. For nearly unique
-    numbers (``distinct_values``, no weight) moments come straight from the rows and one
-    range partition on (keys, measure, value) orders all medians at once.
+    numbers (``distinct_values``, no weights) moments come straight from the rows and one
+    range partition on (keys, measure, value) orders all medians at once. A group whose
+    values of a measure are all null has empty bins and no other figures.
     """
     by = [*keys, "measure"]
     if distinct_values:
@@ -462,17 +476,17 @@ def measure_table(rows: DataFrame, keys: Sequence[str], measures: dict[str, Meas
         if m.low_edges is not None:
             low = low | ((F.col("measure") == name) & F.coalesce(F.col("m_avg") < F.lit(m.threshold), F.lit(False)))
     adaptive = any(m.low_edges is not None for m in measures.values())
-    binned = rows.join(summ.select(*by, low.alias("_low")), by) if adaptive else rows.withColumn("_low", F.lit(False))
+    binned = rows.join(summ.select(*by, low.alias("_low")), by, "left") if adaptive else rows.withColumn("_low", F.lit(False))
     at = F.lit(_OUT)
     size = F.lit(0)
     for name, m in measures.items():
         at = F.when(F.col("measure") == name, m.index(value, F.col("_low"))).otherwise(at)
         size = F.when(F.col("measure") == name, F.lit(m.bins)).otherwise(size)
-    wt = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    wt = F.lit(1).cast("long") if distinct_values else F.col(weight).cast("long")
     counts = binned.select(*by, at.alias("bin"), wt.alias("_w")).groupBy(*by, "bin").agg(F.sum("_w").alias("_c"))
     counts = counts.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("bin", "_c"))).alias("_m"))  # a bin once: bounded
     freq = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0).cast("long")))
-    out = summ.join(counts.select(*by, freq.alias("freq")), by)
+    out = counts.select(*by, freq.alias("freq")).join(summ, by, "left")
     return out.select(*by, F.col("m_cnt").alias("n"), F.col("m_sum").alias("sum"), F.col("m_avg").alias("avg"),
                       F.col("m_med").alias("med"), F.col("m_std").alias("std"), "freq")
 
