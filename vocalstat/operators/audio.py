@@ -45,6 +45,17 @@ def specs_for_splits(split_paths: DataFrame, specs: DataFrame, keys: Sequence[st
     return j.where(F.col("_sord") <= version_ordinal("ver")).drop("_sord")
 
 
+def specs_of_datasets(datasets: DataFrame, log: DataFrame, ds: str = "cv") -> DataFrame:
+    """Spec rows of each dataset (ver, lc), from a spec log with ``since``.
+
+    A dataset lists the log's folders up to its own version, at most one a release, and meets them by
+    equality on (lc, since): no condition compares versions row by row, and folders no dataset lists are not read.
+    """
+    d = datasets.select("ver", "lc").distinct().where(version_ordinal("ver").isNotNull() & (F.col("ver") != F.lit("1")))
+    folders = F.transform(F.sequence(F.lit(0), version_ordinal("ver")), lambda i: F.lpad(i.cast("string"), 2, "0"))
+    return d.withColumn("since", F.explode(folders)).join(log.where(F.col("ds") == F.lit(ds)), ["lc", "since"]).drop("since")
+
+
 def specs_of_splits(split_paths: DataFrame, specs: DataFrame, keys: Sequence[str] = KEYS,
                     path: str = "path") -> DataFrame:
     """Spec rows of each split, by membership of (lc, orig_path) in the split's

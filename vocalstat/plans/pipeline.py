@@ -133,21 +133,35 @@ def corpus_job(spark: SparkSession, out: str, validated: DataFrame, versions: Da
                rules: DataFrame | None = None, phonemes: DataFrame | None = None) -> None:
     """A18 / A19 with K8-K10: extend the stored corpus and write the version indexes, disabled and not found sentences.
 
-    The corpus is written to a new folder and the old one is only read, so a failed
-    run leaves the last corpus as it was; the newest complete folder counts.
+    The corpus is a log: a run writes only the sentences that it adds, to a folder of its own, and
+    never touches earlier ones, so a failed run leaves the corpus as it was. ``read_corpus`` reads the
+    folders that runs finished.
     """
     from vocalstat.sources.tsv import finished_folders
     runs = finished_folders(spark, f"{out}/corpus")
-    before = spark.read.parquet(f"{out}/corpus/{runs[-1]}") if runs else None
-    grown, _ = corpus.extend_corpus(before, validated, rules, phonemes)
-    now = f"{out}/corpus/run-{len(runs):06d}"
-    grown.write.mode("overwrite").parquet(now)
-    index, disabled, missing = corpus.version_indexes(spark.read.parquet(now), versions, old_sentences)
+    _, added = corpus.extend_corpus(read_corpus(spark, out), validated, rules, phonemes)
+    added.write.mode("overwrite").parquet(f"{out}/corpus/run-{len(runs):06d}")
+    index, disabled, missing = corpus.version_indexes(read_corpus(spark, out), versions, old_sentences)
     sinks.write_table(sinks.version_index(index), f"{out}/index")
     sinks.write_table(sinks.disabled_sentences(disabled), f"{out}/disabled")
     sinks.write_table(missing, f"{out}/not_found")
 
 
+def read_corpus(spark: SparkSession, out: str, upto: int | None = None) -> DataFrame | None:
+    """The corpus after its first ``upto`` runs (all by default); none before the first run."""
+    from vocalstat.sources.tsv import finished_folders
+    runs = finished_folders(spark, f"{out}/corpus")[:upto]
+    return spark.read.parquet(*[f"{out}/corpus/{r}" for r in runs]) if runs else None
+
+
+def spec_job(spark: SparkSession, out: str, specs: DataFrame, datasets: DataFrame) -> None:
+    """J8 + K11: the spec log, and the specs of the datasets that have none yet."""
+    from vocalstat.sources.tsv import path_exists, read_results, read_spec_log
+    sinks.write_spec_log(audio.dedup_specs(specs), f"{out}/spec_log")
+    made = read_results(spark, f"{out}/dataset_specs") if path_exists(spark, f"{out}/dataset_specs") else None
+    sinks.write_dataset_specs(audio.specs_of_datasets(datasets, read_spec_log(spark, f"{out}/spec_log")), f"{out}/dataset_specs", made)
+
+
 def text_job(out: str, base: DataFrame, index: DataFrame, split_rows: DataFrame, capabilities: DataFrame | None = None,
              level: int = sinks.SAVE_DEFAULT) -> None:
     """Text records of versions and splits, and the frequency tables that the save level keeps (K6)."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vocalstat.functions import dims
+from vocalstat.functions.exprs import version_ordinal
 from vocalstat.functions.exprs import list_to_text, matrix_to_text
 
 SAVE_NONE, SAVE_DEFAULT, SAVE_DETAILED = 0, 1, 2
@@ -136,3 +137,15 @@ def write_dataset_specs(specs_by_dataset: DataFrame, path: str, existing: DataFr
         todo = todo.join(existing.select("ver", "lc").distinct(), ["ver", "lc"], "left_anti")
     todo.write.mode("append").partitionBy("lc", "ver").parquet(path)
     return todo
+
+
+def write_spec_log(specs: DataFrame, path: str) -> None:
+    """Audio specs stored once, below the first version that has them.
+
+    ``specs`` carries repaired version labels (see ``audio.dedup_specs``); rows of unknown versions meet
+    no dataset and are left out. A row that later versions repeat is not stored again.
+    """
+    at = version_ordinal("ver")
+    rest = [c for c in specs.columns if c != "ver"]
+    first = specs.where(at.isNotNull()).groupBy(*rest).agg(F.min(at).alias("since"))
+    (first.withColumn("since", F.lpad(F.col("since").cast("string"), 2, "0")).write.mode("overwrite").partitionBy("since").parquet(path))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vocalstat.functions import dims
+from vocalstat.functions.exprs import version_ordinal
 
 CLIP_SCHEMA = T.StructType([
     T.StructField("client_id", T.StringType()), T.StructField("path", T.StringType()),
@@ -174,6 +175,35 @@ def read_durations(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     return df.select(lc.alias("lc"), "clip", F.col("duration[ms]").alias("duration_ms"))
 
 
+def newest_duration_files(spark: SparkSession, base: str, name: str = "clip_durations.tsv", release_re: str = RELEASE_RE) -> list[str]:
+    """Of the duration files below release folders, each locale's from its newest release.
+
+    Chosen from the files' paths alone, listed by Spark's file source; no file is opened. One path a locale.
+    """
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name).load(base).select("path")
+              .withColumns({"ord": version_ordinal(F.regexp_extract("path", release_re, 1)), "lc": F.element_at(F.split("path", "/"), -2)}))
+    best = listed.where(F.col("ord").isNotNull()).groupBy("lc").agg(F.max_by("path", "ord").alias("path"))
+    return sorted(r["path"] for r in best.collect())
+
+
+def read_newest_durations(spark: SparkSession, base: str, name: str = "clip_durations.tsv") -> DataFrame:
+    """S4 + S9: the newest release's durations serve all versions; (lc, clip, duration_ms)."""
+    files = newest_duration_files(spark, base, name)
+    if not files:
+        return spark.createDataFrame([], "lc string, clip string, duration_ms bigint")
+    return read_durations(spark, files)
+
+
+def read_spec_log(spark: SparkSession, path: str, upto: str | None = None) -> DataFrame:
+    """The spec rows that a dataset of version ``upto`` may use: the log's folders up to its ordinal.
+
+    ``since`` is the ordinal of the first version that has a row (see ``sinks.write_spec_log``), a folder
+    name of two digits, so the condition prunes folders and no row is compared.
+    """
+    log = read_results(spark, path)
+    return log if upto is None else log.where(F.col("since") <= f"{dims.VERSIONS.index(upto):02d}")
+
+
 def read_optional(spark: SparkSession, path: str | None, schema: T.StructType) -> DataFrame:
     """An optional input; absent path gives an empty frame of the right schema."""
     if not path or not path_exists(spark, path):
