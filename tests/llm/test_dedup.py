@@ -157,18 +157,41 @@ def test_op10(spark, tmp_path):
     assert sorted(map(tuple, got), key=key) == sorted(expected, key=key)
 
 
-def test_index_outlives_its_table_and_batches_repeat(spark, tmp_path):
+def largest(rows):
+    out = {}
+    for i, text in ((r[0], r[1] or "") for r in rows):
+        out[text] = max((x for x in (i, out.get(text)) if x is not None), default=None)
+    return {hashlib.sha256(t.encode()).digest(): i for t, i in out.items()}
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 2, 0)])
+def test_index_takes_batches_in_any_order_and_outlives_its_table(spark, tmp_path, order):
     d = X.text_digests(T.docs(spark))
-    one = X.DigestIndex(spark, f"file://{tmp_path}/index", 4)
-    one.append(d.where("doc_id > 5"))
-    before = {bytes(r["digest"]): r["keep_id"] for r in one.rows().collect()}
-    spark.sql(f"DROP TABLE {one.table}")
-    two = X.DigestIndex(spark, f"file://{tmp_path}/index", 4)
-    two.append(d)
-    two.append(d)
-    after = [(bytes(r["digest"]), r["keep_id"]) for r in two.rows().collect()]
-    assert len(after) == len(dict(after)) == len({r[1] or "" for r in T.ROWS})
-    assert before.items() <= dict(after).items()
+    cuts = ["doc_id <= 3", "doc_id > 3 AND doc_id <= 8", "doc_id > 8 OR doc_id IS NULL"]
+    path = f"file://{tmp_path}/index"
+    for k in order:
+        index = X.DigestIndex(spark, path, 4)
+        for _ in range(2):  # a batch that is repeated adds nothing
+            index.append(d.where(cuts[k]))
+        got = [(bytes(r["digest"]), r["keep_id"]) for r in index.rows().collect()]
+        versions = spark.table(index.table).count()
+        index.append(d.where(cuts[k]))
+        assert spark.table(index.table).count() == versions
+        index.close()
+        assert not spark.catalog.tableExists(index.table)
+    assert len(got) == len(dict(got)) and dict(got) == largest(T.ROWS)
+
+
+def test_queries_leave_no_table(spark, tmp_path):
+    before = {t.name for t in spark.catalog.listTables()}
+    X.op10_exact_dedup(spark, T.written(spark, tmp_path)).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_many_equal_rows(spark):
+    d = spark.range(100_000).selectExpr("cast(if(id < 99990, 7, id) as bigint) as doc_id", "'the same text' as text")
+    got = X.exact_groups(d).groupBy("keep_id", "group_size", "kept").count().collect()
+    assert sorted(map(tuple, got)) == [(99999, 100_000, False, 99_999), (99999, 100_000, True, 1)]
 
 
 def test_exact_stage(spark):
