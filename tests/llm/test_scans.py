@@ -106,7 +106,7 @@ def test_models_tell_random_strings(spark):
     words = [r["w"] for r in spark.sql("SELECT explode(split(text, '[^A-Za-z]+')) w FROM parquet.`/root/testdata/sf0.01/documents.parquet` LIMIT 4000").collect() if r["w"]]
     names = [f"{'_'.join(words[i:i + 4])}2" for i in range(0, len(words) - 4, 4)]
     names = [n for n in names if len(n) >= 20]
-    found = lambda strings: np.mean([any(s[0] == "random" for s in S.all_spans(f"x {w} y", model)) for w in strings])
+    found = lambda strings: np.mean([any(s[0] == "random" for s in S.all_spans(f"x {w} y", model, S.fit_limit(model))) for w in strings])
     assert found(drawn) > 0.95 and found(names) < 0.02
     spans = S.scan(T.docs(spark, [(1, f"key {drawn[0]} end", "en", "a", 1), (2, None, "en", "a", 1)]), model).collect()
     assert {r["doc_id"]: [(s["kind"], s["value"]) for s in r["spans"]] for r in spans} == {1: [("random", drawn[0])], 2: []}
@@ -116,7 +116,8 @@ def test_random_strings_of_letters_only(spark):
     model = S.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     rng = random.Random(12)
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    found = lambda w: any(s[0] == "random" for s in S.all_spans(f"x {w} y", model))
+    least = S.fit_limit(model)
+    found = lambda w: any(s[0] == "random" for s in S.all_spans(f"x {w} y", model, least))
     for k in (20, 32):
         assert np.mean([found("".join(rng.choices(letters, k=k))) for _ in range(300)]) > 0.95
     for w in ("-" * 40, "=" * 40, "_" * 25, "a" * 30, "X" * 30, "internationalizationMethods", "Donaudampfschifffahrtsgesellschaft"):
@@ -128,14 +129,78 @@ def test_ordinary_runs_with_digits_of_all_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = S.train(docs)
     ratios = [S.ratio(w, model) for w in ("2024-05-17-10-32-45-00123", "2023/10/12/news/20231012", "4155552671-4155552672")]
-    assert max(ratios) < S.LEAST, ratios
+    assert max(ratios) < S.fit_limit(model), ratios
     # what only documents beyond a sample of 5,000 hold is counted too, and keys don't make keys ordinary
     key = lambda: "".join(rng.choices(S.ALPHABET[:62], k=32))
     many = spark.range(12_000).selectExpr("id doc_id", "if(id = 11999, repeat('qx7zk9-qx7zk9 ', 3000), 'some plain words stand here') text")
-    assert S.ratio("qx7zk9-qx7zk9-qx7zk9-qx7zk9", S.train(many)) < S.LEAST
+    model = S.train(many)
+    assert S.ratio("qx7zk9-qx7zk9-qx7zk9-qx7zk9", model) < S.fit_limit(model)
     keys = spark.createDataFrame([(i, f"the key {key()} is here") for i in range(200)], "doc_id long, text string")
     model = S.train(docs.select("doc_id", "text").unionByName(keys))
-    assert np.mean([S.ratio(key(), model) > S.LEAST for _ in range(300)]) > 0.95
+    assert np.mean([S.ratio(key(), model) > S.fit_limit(model) for _ in range(300)]) > 0.95
+
+
+def test_training_takes_values_only_and_cuts_overlapping_spans():
+    hexes = "0123456789abcdef" * 2
+    text = f"password={hexes} the quick brown fox jumps over the lazy dog, token: aGVsbG8gd29ybGQ= and so on"
+    finds = S.base_finds(text)
+    assert [text[v:b] for _, _, b, v in finds] == [hexes, hexes, "aGVsbG8gd29ybGQ="]
+    assert S.outside(text, finds).split() == "the quick brown fox jumps over the lazy dog, and so on".split()
+    assert S.outside("abc", []) == "abc" and S.outside("abcdef", [("k", 0, 4), ("k", 1, 2), ("k", 3, 6)]).strip() == ""
+
+
+def test_fitted_limit_on_labelled_samples(spark):
+    model = S.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    least = S.fit_limit(model)
+    yes = np.array([S.ratio(w, model) > least for w in S.drawn_strings(3000, 99)])
+    no = np.array([S.ratio(w, model) > least for w in S.drawn_names(3000, 99)])
+    assert yes.mean() >= 0.9 and yes.sum() / (yes.sum() + no.sum()) >= 0.9
+    assert all(no[k::7].mean() <= 0.1 for k in range(7)) and all(yes[k::5].mean() >= 0.9 for k in range(5))
+    for w in ("123e4567-e89b-12d3-a456-426614174000", "v1_2_3_beta_20240101_rc2_x86_64", "0123456789abcdefghij", "usr/lib/python3/site-packages"):
+        assert S.ratio(w, model) < least, w
+
+
+def test_ratio_equals_a_plain_chain(spark):
+    docs = [(1, "password=Zx9Qw8Er7Ty6 plain words_and more", "en", "a", 1), (2, "other words here 2024-01-02", "en", "a", 2)]
+    model = S.train(T.docs(spark, docs))
+    end = "end"
+    count = [{}, {}]
+
+    def add(label, strings):
+        for w in strings:
+            for a, b in zip([end, *w], w):
+                a, b = (c if c in S.ALPHABET else end for c in (a, b))
+                if b != end:
+                    count[label][a, b] = count[label].get((a, b), 0) + 1
+
+    add(1, ["Zx9Qw8Er7Ty6"] + S.drawn_strings())
+    texts = [" plain words_and more", "other words here 2024-01-02"]
+    for t in texts:
+        add(0, S.identifiers(re.findall(r"[A-Za-z]+", t)) + re.findall(r"[A-Za-z0-9+/_=-]+", t))
+    names = {}
+    count.append(names)
+    add(2, S.drawn_names())
+    states = [*S.ALPHABET, end]
+    share = lambda n, a, b: (1 - S.UNIFORM) * (n.get((a, b), 0) + 1e-9) / sum(n.get((a, c), 0) + 1e-9 for c in states) + S.UNIFORM / len(states)
+    for w in ("Ab3", "words", "2024-01", "a_b/c="):
+        steps = []
+        for a, b in zip([end, *w], w):
+            r = np.log(share(count[1], a, b)) - np.log((share(count[0], a, b) + share(names, a, b)) / 2)
+            steps.append(min(r, 0.0) if a == b else r)
+        assert abs(S.ratio(w, model) - np.mean(steps)) < 1e-9
+
+
+def test_scan_time_grows_with_the_text():
+    rng = random.Random(3)
+    model = np.zeros((S.STATES, S.STATES))
+    took = []
+    for k in (20_000, 200_000):
+        text = " ".join("".join(rng.choices("0123456789abcdef", k=26)) for _ in range(k // 27 * 10))
+        start = time.perf_counter()
+        assert len(S.all_spans(text, model, 1.0)) == k // 27 * 10
+        S._labelled([text])
+        took.append(time.perf_counter() - start)
+    assert took[1] < 40 * took[0] + 1
 
 
 def test_trees_walk_as_plain_code():
