@@ -101,20 +101,21 @@ FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey
 
 
 def locales_by_release(spark, sf_dir):
-    """Locales from a release's JSON document where the tables name none of it."""
+    """Locales of a release from its JSON document, else from the tables; the tables' fallback where they name none."""
     path = scratch_path(spark, "metadata")
     n = load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
     c = load(spark, sf_dir, "customer").select(F.concat(F.lit("r"), (F.col("c_nationkey") % 5).cast("string")).alias("release_dir"), F.col("c_nationkey").alias("locale_id"))
     doc = load(spark, sf_dir, "region").agg(F.map_from_entries(F.collect_list(F.struct("r_name", F.struct(F.col("r_regionkey").alias("clips"))))).alias("locales"))
     doc.select(F.to_json(F.struct("locales")).alias("value")).write.text(path)
-    other = tsv.locales_from_json(spark, path)
-    found = [tsv.locales_from_tables(n, c, r, other).withColumn("release", F.lit(r)) for r in ("r2", "absent")]
-    return found[0].unionByName(found[1])
+    found = {"r3": tsv.locales_of(spark, path, n, c, "r3"), "r2": tsv.locales_of(spark, f"{path}-none", n, c, "r2"),
+             "absent": tsv.locales_from_tables(n, c, "absent", tsv.locales_from_json(spark, path))}
+    parts = [t.withColumn("release", F.lit(r)) for r, t in found.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 LOCALES_BY_RELEASE_SQL = """
 SELECT DISTINCT n_name AS lc, 'r2' AS release FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_nationkey % 5 = 2
-UNION ALL SELECT r_name, 'absent' FROM region"""
+UNION ALL SELECT r_name, unnest(['r3', 'absent']) FROM region"""
 
 
 def preset_files(spark, sf_dir):

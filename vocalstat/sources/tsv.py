@@ -154,6 +154,13 @@ def locales_from_tables(languages: DataFrame, datasets: DataFrame, release_dir:
     return found.orderBy("lc")
 
 
+def locales_of(spark: SparkSession, document: str, languages: DataFrame, datasets: DataFrame, release_dir: str) -> DataFrame:
+    """S6, then S7: the locales of a release from its JSON document, or from the tables where there is none."""
+    if path_exists(spark, document):
+        return locales_from_json(spark, document)
+    return locales_from_tables(languages, datasets, release_dir)
+
+
 def read_presets(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Variant presets (lc, code, text) or accent presets (lc, token, text, group = 'preset').
 
