@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 
 import pytest
 
@@ -34,6 +35,50 @@ def test_fingerprint_blocks_and_likeness(monkeypatch):
     assert fp == P.fingerprint(edited) and 0.5 < P.likeness(whole, fp) < 0.95 and P.likeness(whole, P.fingerprint(other)) < 0.35
 
 
+def plain_lanes(text):
+    """Soft lanes by loops: pieces of words, hashed and paired with the piece before in the line."""
+    m = (1 << 64) - 1
+
+    def mix(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & m
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & m
+        return x ^ (x >> 31)
+
+    lanes, base = [0] * P.SOFT, 0x9E3779B97F4A7C15
+    for line in text.encode().split(b"\n"):
+        before = 0
+        for word in line.split():
+            for i in range(0, len(word), P.PIECE):
+                h = mix(sum((b + 1) * pow(base, k, 1 << 64) for k, b in enumerate(word[i:i + P.PIECE])) & m)
+                pair = mix((h + base * before) & m)
+                lanes[pair % P.SOFT] += -1 if pair >> 63 else 1
+                before = h
+    return lanes
+
+
+@pytest.mark.parametrize("block", [1 << 20, 300, 64, 17])
+def test_lanes_equal_plain_ones_however_lines_are_cut(monkeypatch, block):
+    rng = random.Random(block)
+    monkeypatch.setattr(P, "BLOCK", block)
+    word = lambda: "".join(rng.choices("abcé😀", k=rng.choice([1, 3, 9, 15, 16, 17, 33, 200])))
+    for _ in range(25):
+        text = "".join(rng.choice([" ", "  ", "\t", "\n", "\x0b", " \r\n"]) + word() for _ in range(rng.randrange(0, 60)))
+        wide, soft = P.vector(text)
+        assert soft.tolist() == plain_lanes(text)
+        lines = [x for x in text.encode().split(b"\n") if x]
+        digests = [hashlib.blake2b(x, digest_size=64).digest() for x in lines]
+        assert wide.tolist() == [sum(int.from_bytes(d[8 * i:8 * i + 8], "little") for d in digests) % 2**64 for i in range(8)]
+
+
+def test_one_line_of_64_megabytes_in_bounded_memory():
+    for text in ("some words of one long line " * 2_400_000, "x" * 64_000_000):
+        tracemalloc.start()
+        P.fingerprint(text)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 500_000_000
+
+
 def test_soft_lanes_of_long_texts_do_not_wrap():
     text = "the same phrase again\n" * 40_000
     fp = P.fingerprint(text)

@@ -24,6 +24,7 @@ are not read.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,9 +38,11 @@ from vocalstat.session import materialize
 
 WIDE = 8
 SOFT = 128
-#: Bytes of text that are hashed at once, a single paragraph apart.
+#: Bytes of text that are hashed at once; a longer paragraph is cut between pieces.
 BLOCK = 1 << 20
 PIECE = 16
+_SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
@@ -60,38 +63,61 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _soft(block: bytes) -> np.ndarray:
-    """Soft lanes of the lines in a block: signed counts of hashed neighbours among the pieces of words."""
+def _soft(block: bytes, last: np.uint64 = np.uint64(0)) -> tuple[np.ndarray, np.uint64]:
+    """Soft lanes of the lines in a block: signed counts of hashed neighbours among the pieces of words.
+
+    ``last`` is the hash of the piece before, if the block goes on with a line; that of the last piece comes back.
+    """
     b = np.frombuffer(block, np.uint8)
     space = (b == 32) | ((b >= 9) & (b <= 13))
     at = np.arange(len(b))
     word = np.maximum.accumulate(np.where(space, at + 1, 0))  # where the word of each byte starts
     start = np.nonzero(~space & ((at - word) % PIECE == 0))[0]
     if not len(start):
-        return np.zeros(SOFT, np.int64)
+        return np.zeros(SOFT, np.int64), last
     gaps = np.append(np.nonzero(space)[0], len(b))
     stop = np.minimum(gaps[np.searchsorted(gaps, start)], start + PIECE)
     power, inverse = _tables(len(b))
     total = np.concatenate([[np.uint64(0)], np.cumsum((b.astype(np.uint64) + np.uint64(1)) * power[:len(b)], dtype=np.uint64)])
     h = _mix((total[stop] - total[start]) * inverse[start])
-    before = np.concatenate([[np.uint64(0)], h[:-1]])
+    before = np.concatenate([[last], h[:-1]])
     lines = np.cumsum(b == 10)[start]
-    before[np.concatenate([[True], lines[1:] != lines[:-1]])] = 0  # pairs stay inside a paragraph
+    before[np.concatenate([[False], lines[1:] != lines[:-1]])] = 0  # pairs stay inside a paragraph
     pair = _mix(h + _BASE * before)
     sign = 1 - 2 * (pair >> np.uint64(63)).astype(np.int64)
-    return np.bincount((pair % np.uint64(SOFT)).astype(np.int64), weights=sign, minlength=SOFT).astype(np.int64)
-
-
-def _blocks(lines: list[bytes]) -> Iterator[bytes]:
+    return np.bincount((pair % np.uint64(SOFT)).astype(np.int64), weights=sign, minlength=SOFT).astype(np.int64), h[-1]
+
+
+def _parts(line: bytes) -> Iterator[bytes]:
+    """A long line in parts of about ``BLOCK`` bytes, cut at white space, or between pieces of a longer word."""
+    start = 0
+    while len(line) - start > BLOCK + PIECE:
+        stop = start + BLOCK
+        if gap := _GAP.search(line, stop, stop + BLOCK):
+            stop = gap.start()
+        else:
+            word = start + max(line[start:stop].rfind(c) for c in _SPACES) + 1  # a part starts at white space or at a piece
+            stop -= (stop - word) % PIECE
+        yield line[start:stop]
+        start = stop
+    yield line[start:]
+
+
+def _blocks(lines: list[bytes]) -> Iterator[tuple[bytes, bool]]:
+    """Lines in blocks, and whether a block goes on with the line of the one before."""
     held, size = [], 0
     for line in lines:
         if held and size + len(line) > BLOCK:
-            yield b"\n".join(held)
+            yield b"\n".join(held), False
             held, size = [], 0
+        if len(line) > BLOCK:
+            for i, part in enumerate(_parts(line)):
+                yield part, i > 0
+            continue
         held.append(line)
         size += len(line) + 1
     if held:
-        yield b"\n".join(held)
+        yield b"\n".join(held), False
 
 
 def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +127,11 @@ def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
     if lines:
         digests = b"".join(hashlib.blake2b(x, digest_size=8 * WIDE).digest() for x in lines)
         wide = np.frombuffer(digests, "<u8").reshape(-1, WIDE).sum(axis=0, dtype=np.uint64)
-    return wide, sum((_soft(x) for x in _blocks(lines)), np.zeros(SOFT, np.int64))
+    soft, last = np.zeros(SOFT, np.int64), np.uint64(0)
+    for block, goes_on in _blocks(lines):
+        lanes, last = _soft(block, last if goes_on else np.uint64(0))
+        soft += lanes
+    return wide, soft
 
 
 def pack(wide: np.ndarray, soft: np.ndarray) -> bytes:
