@@ -249,6 +249,69 @@ def test_op6(spark):
     assert len(got) == len(urls) and np.mean([f"/{r['lang']}/" in urls[r["page_id"]] for r in got]) > 0.97
 
 
+def plain_posterior(pages, labelled):
+    """(page_id, lang, probability) by loops and dicts, from the rules' wording."""
+    def grams(text):
+        b = (" " + " ".join(text.lower().split()) + " ").encode()
+        out = {}
+        for i in range(len(b) - 2):
+            key = ((b[i] << 16 | b[i + 1] << 8 | b[i + 2]) * 0x9E3779B1 & 0xFFFFFFFF) >> 18
+            out[key] = out.get(key, 0) + 1
+        return out
+
+    langs = sorted({lang.lower() for lang, _ in labelled})
+    counts = {x: {} for x in langs}
+    for lang, text in labelled:
+        for g, n in grams(text or "").items():
+            counts[lang.lower()][g] = counts[lang.lower()].get(g, 0) + n
+    size = {x: sum(c.values()) + L.BUCKETS * L.PSEUDO / 4 for x, c in counts.items()}
+    seen = []
+    for page_id, url, page in pages:
+        g = grams(L.visible_text(page or ""))
+        ll = {x: sum(n * np.log((counts[x].get(k, 0) + L.PSEUDO / 4) / size[x]) for k, n in g.items()) / (1 + sum(g.values()) / L.SATURATION) for x in langs}
+        m = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", url or "")
+        host = m[1].lower() if m else ""
+        said = L.declared_language(page or "")
+        seen.append((page_id, host, ".".join(host.split(".")[-2:]), host.split(".")[-1], said if said in langs else None, max(langs, key=lambda x: (ll[x], -langs.index(x))), ll))
+    tally = lambda at, own, key: {x: sum(1 for o in seen if o is not own and o[at] == key and o[5] == x) for x in langs}
+    total = {x: sum(o[5] == x for o in seen) for x in langs}
+    every = {x: (total[x] + L.PSEUDO) / (len(seen) + L.PSEUDO * len(langs)) for x in langs}
+    out = []
+    for own in seen:
+        page_id, host, domain, suffix, said, _, ll = own
+        at_domain, at_host, at_suffix = tally(2, own, domain), tally(1, own, host), tally(3, own, suffix)
+        share = (sum(at_suffix.values()) + L.PSEUDO) / (len(seen) + L.PSEUDO)
+        logp = {}
+        for x in langs:
+            p = (at_domain[x] + L.DOMAIN_WEIGHT * every[x]) / (sum(at_domain.values()) + L.DOMAIN_WEIGHT)
+            p = (at_host[x] + L.HOST_WEIGHT * p) / (sum(at_host.values()) + L.HOST_WEIGHT)
+            logp[x] = ll[x] + np.log(p) + np.log((at_suffix[x] + L.HOST_WEIGHT * share) / (total[x] + L.HOST_WEIGHT))
+            if said:
+                logp[x] += np.log((tally(4, own, said)[x] + L.PSEUDO) / (total[x] + L.PSEUDO * len(langs)))
+        best = max(langs, key=lambda x: (logp[x], -langs.index(x)))
+        out.append((page_id, best, 1 / sum(np.exp(v - logp[best]) for v in logp.values())))
+    return out
+
+
+def test_posterior_equals_a_plain_one(spark):
+    rng = random.Random(21)
+    words = {"en": ["the", "and", "of", "with"], "de": ["der", "und", "mit", "über"], "fr": ["le", "et", "avec", "été"]}
+    text = lambda x, k: " ".join(rng.choices(words[x], k=k))
+    labelled = [(rng.choice([x, x.upper()]), text(x, rng.randrange(1, 40))) for x in words for _ in range(6)] + [("fr", None), ("de", "")]
+    docs = spark.createDataFrame([(i, lang, t) for i, (lang, t) in enumerate(labelled)], "doc_id long, lang string, text string")
+    pages = []
+    for i in range(60):
+        x = rng.choice(list(words))
+        host = rng.choice(["a.site.com", "b.site.com", "news.de", "x.fr", "", "UPPER.Site.COM"])
+        url = rng.choice([f"https://{host}/p", f"http://user@{host}:80/q?r", "no url", None]) if host else None
+        said = rng.choice(["", f' lang="{x}"', " lang='xx'", f" lang={rng.choice(list(words))}"])
+        pages.append((i, url, rng.choice([f"<html{said}><body>{text(x, rng.randrange(0, 12))}</body></html>", "", None, f"<html{said}>{text(x, 2)} {text(rng.choice(list(words)), 3)}"])))
+    pages += [pages[3], (None, "http://news.de/", "und")]
+    got = L.identify(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3), docs).collect()
+    key = lambda r: (str(r[0]), r[1], round(r[2], 6))
+    assert sorted(map(key, ((r["page_id"], r["lang"], r["probability"]) for r in got))) == sorted(map(key, plain_posterior(pages, labelled)))
+
+
 def test_open_markup_of_long_pages():
     assert L.visible_text("a<script>x</script >b<!-- y -->c<p class='z'>d").split() == ["a", "b", "c", "d"]
     assert L.visible_text("1 < 2 &amp; 3 <3 <b>4").split() == ["1", "<", "2", "&", "3", "<3", "4"]
