@@ -81,10 +81,9 @@ def test_op12(spark, tmp_path, monkeypatch, wide):
     monkeypatch.setattr(K, "WIDE", K.FAN ** wide)
     rows = T.ROWS if wide == 1 else T.ROWS + many_rows()
     sf = T.written(spark, tmp_path, rows)
-    if wide != 6:  # the tasks import the module anew
-        monkeypatch.setattr(K, "_packs", small(K._packs, wide))
-        monkeypatch.setattr(K, "_expand", small(K._expand, wide))
-        monkeypatch.setattr(K, "_answer", small(lambda: K_ANSWER, wide)())
+    # _answer is imported anew by the tasks, unlike what _packs and _expand return
+    answer = K._answer
+    monkeypatch.setattr(K, "_answer", lambda asked, pack: with_levels(answer, wide, asked, pack))
     got = sorted((tuple(r) for r in K.op12_merkle_manifest(spark, sf).collect()), key=str)
     assert got == sorted(plain(in_order(rows)), key=str)
     con = duckdb.connect()
@@ -92,27 +91,13 @@ def test_op12(spark, tmp_path, monkeypatch, wide):
     assert sorted(con.execute(K.OP12_SQL).fetchall(), key=str) == got
 
 
-K_ANSWER = K._answer
-
-
-def small(make, wide):
-    """The function that ``make`` gives, run with packs of ``wide`` levels in the worker, too."""
-    def outer(*args):
-        fn = make(*args)
-
-        def run(*tables):
-            from vocalstat.llm import merkle
-            before = merkle.LEVELS, merkle.WIDE
-            merkle.LEVELS, merkle.WIDE = wide, merkle.FAN ** wide
-            try:
-                out = fn(*tables)
-                return out if hasattr(out, "num_rows") else iter(list(out))
-            finally:
-                merkle.LEVELS, merkle.WIDE = before
-
-        return run
-
-    return outer
+def with_levels(answer, wide, asked, pack):
+    from vocalstat.llm import merkle
+    merkle.LEVELS, merkle.WIDE = wide, merkle.FAN ** wide
+    try:
+        return answer(asked, pack)
+    finally:
+        merkle.LEVELS, merkle.WIDE = 6, merkle.FAN ** 6
 
 
 def test_op12_odd_tables(spark, tmp_path):
