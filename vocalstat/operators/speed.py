@@ -1,9 +1,9 @@
 """Character speed C1-C4: ms per character, with data-dependent bins.
 
-Two passes: group means first (speed mean picks LOW/HIGH speed bins, mean
-sentence length picks SHORT/LONG length bins), then every row is binned with
-its group's choice. The choice table has one row per group and is joined by
-key (broadcast by AQE when small); rows are never gathered per group.
+Group means pick the bins (speed mean LOW/HIGH speed bins, mean sentence length
+SHORT/LONG length bins). Rows are counted by their places in all four bin lists,
+map-side first, and the choice is joined onto those few counts: a join of the rows
+on a handful of groups would sort a whole group in one task.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from vocalstat.functions import bins, dims
 from vocalstat.functions.exprs import bin_index, char_speed
 from vocalstat.operators import stats
+from vocalstat.session import materialize
 
 KEYS = ["ver", "lc", "alg", "sp"]
 
@@ -40,19 +41,22 @@ def speed_choice(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .withColumn("use_short_len", F.col("_len_avg") < F.lit(bins.CHARS_THRESHOLD)))
 
 
-def binned(df: DataFrame, keys: Sequence[str], choice: DataFrame) -> DataFrame:
-    """Rows with ``bin_cs`` / ``bin_slen`` labels (lower edges), half-open ``cut`` form."""
-    j = df.join(choice.select(*keys, "use_low_cs", "use_short_len"), list(keys))
+def binned(df: DataFrame, keys: Sequence[str], choice: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """Rows counted by ``columns`` and ``bin_cs`` / ``bin_slen`` labels (lower edges), half-open ``cut`` form.
 
-    def label(value: str, use_first, first_edges, second_edges):
-        i1 = bin_index(value, first_edges, closed_last=False, truncate=False)
-        i2 = bin_index(value, second_edges, closed_last=False, truncate=False)
-        lo1 = F.array(*[F.lit(e) for e in first_edges[:-1]])
-        lo2 = F.array(*[F.lit(e) for e in second_edges[:-1]])
-        return F.when(use_first, F.element_at(lo1, i1 + 1)).otherwise(F.element_at(lo2, i2 + 1)).cast("long")
+    (keys, columns, bin_cs, bin_slen, n); a combination may come in several rows.
+    """
+    lists = {"_cs1": ("char_speed", bins.CS_LOW), "_cs2": ("char_speed", bins.CS_HIGH),
+             "_len1": ("s_len", bins.CHARS_SHORT), "_len2": ("s_len", bins.CHARS_LONG)}
+    places = [bin_index(value, edges, closed_last=False, truncate=False).alias(c) for c, (value, edges) in lists.items()]
+    cells = df.select(*keys, *columns, *places).groupBy(*keys, *columns, *lists).agg(F.count(F.lit(1)).alias("n"))
+    j = materialize(cells, "speed-cells").join(choice.select(*keys, "use_low_cs", "use_short_len"), list(keys))
+
+    def label(place: str):
+        return F.element_at(F.array(*[F.lit(e) for e in lists[place][1][:-1]]), F.col(place) + 1)
 
-    return (j.withColumn("bin_cs", label("char_speed", F.col("use_low_cs"), bins.CS_LOW, bins.CS_HIGH))
-            .withColumn("bin_slen", label("s_len", F.col("use_short_len"), bins.CHARS_SHORT, bins.CHARS_LONG)))
+    return j.select(*keys, *columns, F.when(F.col("use_low_cs"), label("_cs1")).otherwise(label("_cs2")).cast("long").alias("bin_cs"),
+                    F.when(F.col("use_short_len"), label("_len1")).otherwise(label("_len2")).cast("long").alias("bin_slen"), "n")
 
 
 def speed_histogram(df: DataFrame, keys: Sequence[str], choice: DataFrame) -> DataFrame:
@@ -65,12 +69,12 @@ def speed_histogram(df: DataFrame, keys: Sequence[str], choice: DataFrame) -> Da
 
 def speed_vs_length(b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """C2 cs2s: speed bin x length bin, observed rows and columns only (C4)."""
-    return stats.crosstab(b, keys, "bin_cs", "bin_slen")
+    return stats.crosstab(b, keys, "bin_cs", "bin_slen", weight="n")
 
 
 def speed_vs(b: DataFrame, keys: Sequence[str], column: str, labels: Sequence[str]) -> DataFrame:
     """C3 cs2g / cs2a: speed bin x gender or age, columns dense over the fixed labels."""
-    return stats.crosstab(b, keys, "bin_cs", column, col_labels=labels)
+    return stats.crosstab(b, keys, "bin_cs", column, col_labels=labels, weight="n")
 
 
 def char_speed_stats(clips: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -84,7 +88,7 @@ def char_speed_stats(clips: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     ch = speed_choice(every, keys)
     df = every.where(F.col("char_speed").isNotNull())
     hist = speed_histogram(df, keys, ch)
-    b = binned(df, keys, ch)
+    b = binned(df, keys, ch, ["gender", "age"])
     cs2s = speed_vs_length(b, keys)
     cs2g = speed_vs(b, keys, "gender", dims.GENDERS)
     cs2a = speed_vs(b, keys, "age", dims.AGES)

@@ -386,16 +386,17 @@ def matrix_array(long_df: DataFrame, keys: Sequence[str], count: str = "n",
 
 def crosstab(df: DataFrame, keys: Sequence[str], row: str, column: str,
              col_labels: Sequence | None = None, row_labels: Sequence | None = None,
-             count: str = "n") -> DataFrame:
+             count: str = "n", weight: str | None = None) -> DataFrame:
     """(keys, row, column, n) without margins.
 
     Rows present in the data are kept (observed only, C4) unless ``row_labels``
     is given; columns are densified over ``col_labels`` when given, else the
     columns observed in the group. Rows/columns with a null label are dropped.
+    ``weight`` is a column of counts when ``df`` is counted already.
     """
     df, keys = _keys(df, keys)
     base = (df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
-            .groupBy(*keys, row, column).agg(F.count(F.lit(1)).alias("_n")))
+            .groupBy(*keys, row, column).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n")))
     if row_labels is None:
         rows = base.select(*keys, row).distinct()
     else:

@@ -305,7 +305,7 @@ def speed_crosstab(spark, sf_dir):
 def speed_by_status(spark, sf_dir):
     """Speed bin x a fixed label list (line status O, F), columns dense."""
     df = speed_rows(spark, sf_dir)
-    b = speed.binned(df, ["l_returnflag"], speed.speed_choice(df, ["l_returnflag"]))
+    b = speed.binned(df, ["l_returnflag"], speed.speed_choice(df, ["l_returnflag"]), ["l_linestatus"])
     return speed.speed_vs(b, ["l_returnflag"], "l_linestatus", ["O", "F"])
 
 

@@ -112,7 +112,7 @@ def speed_by_age(spark, sf_dir):
         (F.col("l_extendedprice") / 20000.0).alias("duration"))
     df = speed.with_speed(li, length="len")
     ch = speed.speed_choice(df, ["l_returnflag"])
-    return speed.speed_vs(speed.binned(df, ["l_returnflag"], ch), ["l_returnflag"], "age", dims.AGES)
+    return speed.speed_vs(speed.binned(df, ["l_returnflag"], ch, ["age"]), ["l_returnflag"], "age", dims.AGES)
 
 
 def _speed_by_age_sql() -> str:
