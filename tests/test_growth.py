@@ -41,3 +41,18 @@ def test_crosstab_joins_counts_not_rows(spark):
     assert {x: n for x, n in got.items() if n} == {x: both.count(x) for x in set(both)}
     observed = {(k, c, s) for k, c, _ in both for k2, _, s in both if k == k2}
     assert set(got) == observed
+
+
+def _labelled(spark, labels):
+    """(got, wanted, cells) of speed bins by label, columns dense over ``labels``."""
+    df = _speeds(spark)
+    rows = [(k, c, x) for k, x, c, _ in _plain_bins(df)[0] if x in labels]
+    want = {(k, c, x): rows.count((k, c, x)) for k, c in {r[:2] for r in rows} for x in labels}
+    b = speed.binned(df, ["k"], speed.speed_choice(df, ["k"]), ["label"]).where(F.col("label").isin(labels))
+    got = {(r.k, r.bin_cs, r.label): r.n for r in speed.speed_vs(b, ["k"], "label", labels).collect()}
+    return got, want, b.columns
+
+
+def test_speed_by_many_labels_from_counts(spark):
+    got, want, columns = _labelled(spark, [str(i) for i in range(7)])
+    assert got == want and "n" in columns
