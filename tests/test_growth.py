@@ -56,3 +56,8 @@ def _labelled(spark, labels):
 def test_speed_by_many_labels_from_counts(spark):
     got, want, columns = _labelled(spark, [str(i) for i in range(7)])
     assert got == want and "n" in columns
+
+
+def test_speed_by_two_labels_from_counts(spark):
+    got, want, columns = _labelled(spark, ["1", "0"])
+    assert got == want and "n" in columns
