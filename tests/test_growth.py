@@ -61,3 +61,16 @@ def test_speed_by_many_labels_from_counts(spark):
 def test_speed_by_two_labels_from_counts(spark):
     got, want, columns = _labelled(spark, ["1", "0"])
     assert got == want and "n" in columns
+
+
+def test_adaptive_histogram_joins_sums_not_rows(spark):
+    df = _speeds(spark)
+    choice = speed.speed_choice(df, ["k"])
+    hist = speed.speed_histogram(df, ["k"], choice)
+    want, low = _plain_bins(df)
+    for r in hist.collect():
+        edges = bins.CS_LOW if low[r.k] else bins.CS_HIGH
+        assert (r.lo, r.cnt) == (edges[r.bin], sum(k == r.k and c == edges[r.bin] for k, _, c, _ in want))
+    # the outermost join is one of sums: right below it stands their aggregate
+    plan = hist._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert "Aggregate" in plan[next(i for i, x in enumerate(plan) if "Join Inner" in x) + 1]

@@ -297,9 +297,9 @@ def adaptive_histogram_from_counts(vc: DataFrame, keys: Sequence[str], value: st
                                    truncate: bool = True, count: str = "cnt") -> DataFrame:
     """Data-dependent bins (A11, C1, C2): ``choice`` = (keys, use_low boolean) per group.
 
-    The chosen edge set is joined onto the value-count table by group key (a
-    table with one row per group), never onto raw rows; both edge sets must
-    have the same number of bins.
+    Rows are binned by both edge sets where they are and summed per (keys, both
+    bins); the chosen edge set is joined onto those few sums by group key, never
+    onto the rows. Both edge sets must have the same number of bins.
     """
     assert len(low_edges) == len(high_edges)
     vc, keys = _keys(vc, keys)
@@ -307,11 +307,12 @@ def adaptive_histogram_from_counts(vc: DataFrame, keys: Sequence[str], value: st
         choice = choice.withColumn(_G, F.lit(0))
     m = len(low_edges) - 1
     wt = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    j = vc.join(choice.select(*keys, "use_low"), keys)
-    b = F.when(F.col("use_low"), bin_index(value, low_edges, closed_last, truncate, sentinel=_OUT)).otherwise(
-        bin_index(value, high_edges, closed_last, truncate, sentinel=_OUT))
-    counts = (j.select(*keys, "use_low", b.alias("bin"), wt.alias("_w"))
-              .groupBy(*keys, "use_low", "bin").agg(F.sum("_w").alias("_c")))
+    at = lambda edges: bin_index(value, edges, closed_last, truncate, sentinel=_OUT)
+    cells = (vc.select(*keys, at(low_edges).alias("_bl"), at(high_edges).alias("_bh"), wt.alias("_w"))
+             .groupBy(*keys, "_bl", "_bh").agg(F.sum("_w").alias("_c")))
+    j = cells.join(choice.select(*keys, "use_low"), keys)
+    counts = (j.select(*keys, "use_low", F.when(F.col("use_low"), F.col("_bl")).otherwise(F.col("_bh")).alias("bin"), "_c")
+              .groupBy(*keys, "use_low", "bin").agg(F.sum("_c").alias("_c")))
     lo_low = F.array(*[F.lit(e) for e in low_edges[:-1]])
     lo_high = F.array(*[F.lit(e) for e in high_edges[:-1]])
     per_group = counts.groupBy(*keys, "use_low").agg(
