@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from vocalstat.functions import bins
 from vocalstat.operators import speed
+from vocalstat.plans import pipeline
 
 
 def _speeds(spark, n=4000):
@@ -74,3 +75,30 @@ def test_adaptive_histogram_joins_sums_not_rows(spark):
     # the outermost join is one of sums: right below it stands their aggregate
     plan = hist._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert "Aggregate" in plan[next(i for i, x in enumerate(plan) if "Join Inner" in x) + 1]
+
+
+def _clips(spark, n=600):
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 > 0, "20.0").otherwise("19.0").alias("ver"), F.when(F.col("id") % 5 > 0, "en").otherwise("xx").alias("lc"),
+        F.when(F.col("id") % 4 > 0, "").otherwise("s1").alias("alg"),
+        F.when(F.col("id") % 4 == 0, "train").when(F.col("id") % 5 > 0, "validated").otherwise("other").alias("sp"),
+        F.concat(F.lit("v"), F.col("id") % 9).alias("client_id"), F.concat(F.lit("p"), F.col("id")).alias("path"),
+        F.repeat(F.lit("x"), (F.col("id") % 40).cast("int")).alias("sentence"), F.lit("1").alias("up_votes"), F.lit("0").alias("down_votes"),
+        F.lit("twenties").alias("age"), F.lit("other").alias("gender"))
+
+
+def test_datasets_of_clips_are_broadcast(spark):
+    """Clips are never sorted by their dataset: the tables of a row per dataset or locale go to the clips."""
+    dur = _clips(spark).where("lc = 'en'").select("lc", F.col("path").alias("clip"), F.lit(4000).alias("duration_ms"))
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        c = pipeline.prepared_clips(pipeline.SplitInputs(clips=_clips(spark), durations=dur), materialize=False)
+        plan = c._jdf.queryExecution().executedPlan().toString()
+        got = {tuple(r) for r in c.groupBy("ver", "lc", "alg", "sp", "has_durations").agg(F.count("*"), F.count("duration")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1  # the join on clips stays as it was
+    rows = [(r.ver, r.lc, r.alg, sp) for r in _clips(spark).collect() for sp in ([r.sp] if r.alg else [r.sp, "clips"])]
+    rows = [r for r in rows if not r[2] or r[1] == "en"]  # xx has no validated clips
+    assert got == {(*r, r[1] == "en", rows.count(r), rows.count(r) if r[1] == "en" else 0) for r in rows}

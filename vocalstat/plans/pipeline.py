@@ -44,11 +44,12 @@ def prepared_clips(inp: SplitInputs, materialize: bool = True) -> DataFrame:
     c = splits.with_all_clips(c)
     bucket = F.col("alg") == ""
     flags = inp.clips.groupBy("ver", "lc").agg(F.max(bucket & (F.col("sp") == "validated")).alias("_validated"))
-    c = c.join(flags, ["ver", "lc"]).where(bucket | F.col("_validated")).drop("_validated")
+    # one row a dataset, and one a locale below: unhinted, a shuffle with few groups is not broadcast and sorts a dataset in one task
+    c = c.join(F.broadcast(flags), ["ver", "lc"]).where(bucket | F.col("_validated")).drop("_validated")
     if inp.durations is not None:
         c = splits.attach_durations(c, inp.durations)
         there = inp.durations.select("lc").distinct().withColumn("has_durations", F.lit(True))
-        c = c.join(there, "lc", "left").withColumn("has_durations", F.coalesce("has_durations", F.lit(False)))
+        c = c.join(F.broadcast(there), "lc", "left").withColumn("has_durations", F.coalesce("has_durations", F.lit(False)))
     else:
         c = c.withColumns({"duration": F.lit(None).cast("double"), "has_durations": F.lit(False)})
     return materialize_df(c, "clips") if materialize else c
