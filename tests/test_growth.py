@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from vocalstat.functions import bins
-from vocalstat.operators import speed
+from vocalstat.operators import speed, textcorpus
 from vocalstat.plans import pipeline
 
 
@@ -102,3 +102,20 @@ def test_datasets_of_clips_are_broadcast(spark):
     rows = [(r.ver, r.lc, r.alg, sp) for r in _clips(spark).collect() for sp in ([r.sp] if r.alg else [r.sp, "clips"])]
     rows = [r for r in rows if not r[2] or r[1] == "en"]  # xx has no validated clips
     assert got == {(*r, r[1] == "en", rows.count(r), rows.count(r) if r[1] == "en" else 0) for r in rows}
+
+
+def test_only_sentences_are_stored_for_counting(spark, monkeypatch):
+    """Normalised texts, tokens and phonemes are derived where they are counted; the records stay the same."""
+    base = spark.createDataFrame([("xx", str(i), t, 1) for i, t in enumerate(["One two, two", "three  TWO", "one two two", None, ""])],
+                                 "lc string, sentence_id string, sentence string, is_used int")
+    index = base.select(F.lit("20.0").alias("ver"), "lc", "sentence_id")
+    rows = spark.createDataFrame([("20.0", "xx", "", "validated", "0", None), ("20.0", "xx", "s1", "dev", "4", None)],
+                                 "ver string, lc string, alg string, sp string, sentence_id string, sentence string")
+    stored = {}
+    keep = textcorpus.materialize
+    monkeypatch.setattr(textcorpus, "materialize", lambda df, name="mat", **kw: stored.setdefault(name, df.columns) and keep(df, name, **kw))
+    enrich = lambda d: textcorpus.enrich_sentences(d).withColumn("phonemised", F.reverse("normalized"))
+    got = pipeline.text_corpus_statistics(base, index, rows, None, enrich).collect()
+    assert stored["tagged"] == ["lc", "sig", "sentence"]
+    assert sorted(map(str, got)) == sorted(map(str, pipeline.text_corpus_statistics(enrich(base), index, rows).collect()))
+    assert {(r.alg, r.sp): (r.s_cnt, r.uq_s, r.uq_n, r.w_sum, r.t_sum) for r in got}["", ""] == (5, 4, 3, 8, 3)

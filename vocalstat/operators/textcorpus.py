@@ -6,7 +6,7 @@ the same plan runs on the corpus table and on any other text table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -257,12 +257,20 @@ def spread_distinct(by_sig: DataFrame, groups: DataFrame, keys: Sequence[str], l
     return spread.groupBy(*keys).agg(n(SENTENCE).alias("uq_s"), n(NORMALIZED).alias("uq_n"))
 
 
-def counts_by_signature(corpus: DataFrame, tagged: DataFrame, lc: str = "lc") -> DataFrame:
-    """``item_counts`` of the corpus rows by (lc, signature): each sentence is read and tokenised once."""
+def counts_by_signature(corpus: DataFrame, tagged: DataFrame, lc: str = "lc",
+                        enrich: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``item_counts`` of the corpus rows by (lc, signature).
+
+    ``enrich`` adds columns that follow from the row itself (``enrich_sentences`` if the corpus has no
+    tokens). It runs on the tagged rows where they are counted, so that the sentences alone are moved
+    and stored, not their normalised texts and tokens as well.
+    """
+    if enrich is None and "tokens" not in corpus.columns:
+        enrich = enrich_sentences
     rows = corpus.withColumn("text", row_text("sentence")).join(tagged, [lc, "sentence_id", "text"])
     used = [c for c in ("char_cnt", "word_cnt", "valid", "sentence_domain", "sentence", "normalized", "tokens", "phonemised") if c in rows.columns]
     rows = materialize(rows.select(lc, "sig", *used), "tagged")
-    return materialize(item_counts(rows, [lc, "sig"]), "sig-items", partition_by=("kind",))
+    return materialize(item_counts(enrich(rows) if enrich else rows, [lc, "sig"]), "sig-items", partition_by=("kind",))
 
 
 def text_corpus_stats(df: DataFrame, keys: Sequence[str], capabilities: DataFrame | None = None,

@@ -14,7 +14,7 @@ from vocalstat.functions.exprs import (int_or_null, list_to_text, nodata, releas
                                        version_date, version_ordinal)
 from vocalstat.operators import audio, corpus, matrix, membership, speed, splits
 from vocalstat.plans import pipeline
-from vocalstat.plans.driver import (AGE_LABELS, GENDER_LABELS, _pick, documents, load, split_results)
+from vocalstat.plans.driver import (AGE_LABELS, GENDER_LABELS, _pick, load, split_results)
 from vocalstat.plans.sqlgen import hist_sql, r3, values_list
 from vocalstat.session import scratch_path
 from vocalstat.sources import sinks, tsv
@@ -164,9 +164,9 @@ def split_specs(spark, sf_dir):
 # ---------------------------------------------------------------- text corpus
 
 def _versioned(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """documents as a corpus (is_used 0 for each 11th), an index of three overlapping versions, and split rows."""
-    d = documents(spark, sf_dir).withColumnRenamed("text", "sentence").withColumnRenamed("lang", "lc")
-    d = d.withColumns({"sentence_id": F.col("doc_id").cast("string"), "is_used": (F.col("doc_id") % 11 > 0).cast("int")}).drop("source")
+    """documents as a corpus (is_used 0 for each 11th; not enriched), an index of three overlapping versions, and split rows."""
+    d = load(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("sentence"), F.col("lang").alias("lc"))
+    d = d.withColumns({"sentence_id": F.col("doc_id").cast("string"), "is_used": (F.col("doc_id") % 11 > 0).cast("int")})
     every = d.select("lc", "sentence_id", "doc_id")
     index = every.where("doc_id % 4 < 3").withColumn("ver", F.lit("16.1")).unionByName(
         every.where("doc_id % 4 > 0").withColumn("ver", F.lit("18.0"))).unionByName(every.withColumn("ver", F.lit("20.0"))).drop("doc_id")

@@ -8,6 +8,7 @@ overwrite, so a re-run rewrites only what it recomputed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,24 +79,27 @@ class TextCounts:
     counts: DataFrame
 
 
-def text_corpus_counts(base: DataFrame, index: DataFrame, split_rows: DataFrame) -> TextCounts:
+def text_corpus_counts(base: DataFrame, index: DataFrame, split_rows: DataFrame,
+                       enrich: Callable[[DataFrame], DataFrame] | None = None) -> TextCounts:
     """What E2 counts, per (ver, lc, alg, sp): the version's corpus as a whole (alg = sp = ''), its
     buckets (labelled with the first algorithm, Q14) and its algorithm splits (J3 + J4).
 
     A sentence that many versions and splits share is read once: rows get a signature, the set of
     groups they belong to; items are counted by signature and those counts spread over the groups.
+    ``enrich`` derives the columns that ``base`` lacks where its rows are counted.
     """
     usable = base.where(F.col("is_used") == 1) if "is_used" in base.columns else base
     tagged, groups = membership.signatures(membership.corpus_members(base, index, split_rows))
-    by_sig = textcorpus.counts_by_signature(usable, tagged)
+    by_sig = textcorpus.counts_by_signature(usable, tagged, enrich=enrich)
     counts = materialize_df(textcorpus.spread_counts(by_sig, groups, KEYS), "text-counts", partition_by=("kind",))
     return TextCounts(by_sig, groups, counts)
 
 
 def text_corpus_statistics(base: DataFrame, index: DataFrame, split_rows: DataFrame,
-                           capabilities: DataFrame | None = None) -> DataFrame:
+                           capabilities: DataFrame | None = None,
+                           enrich: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Text-corpus records per (ver, lc, alg, sp)."""
-    return text_records(text_corpus_counts(base, index, split_rows), capabilities)
+    return text_records(text_corpus_counts(base, index, split_rows, enrich), capabilities)
 
 
 def text_records(c: TextCounts, capabilities: DataFrame | None = None) -> DataFrame:

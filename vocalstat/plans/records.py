@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from vocalstat.functions import bins, dims
 from vocalstat.functions.exprs import list_to_text, matrix_to_text
-from vocalstat.operators import audio, speed, splits
+from vocalstat.operators import audio, speed, splits, textcorpus
 from vocalstat.plans import pipeline
 from vocalstat.plans.driver import _pick, load
 from vocalstat.plans.jobs import _clip_inputs, _prepared_sql, _versioned, release_clips
@@ -190,9 +190,9 @@ FROM (SELECT DISTINCT {K} FROM c) LEFT JOIN q USING ({K}) LEFT JOIN x USING ({K}
 def text_capabilities(spark, sf_dir):
     """A17 in E2: word and token fields of validator locales only, phoneme fields of phonemiser locales only; others have none."""
     base, index, rows = _versioned(spark, sf_dir)
-    base = base.withColumn("phonemised", F.reverse("normalized"))
+    enrich = lambda d: textcorpus.enrich_sentences(d).withColumn("phonemised", F.reverse("normalized"))
     caps = spark.createDataFrame([("en", True, True), ("de", True, False), ("fr", False, True)], "lc string, has_val boolean, has_phon boolean")
-    rec = pipeline.text_corpus_statistics(base, index.where("ver <> '18.0'"), rows.where("ver <> '18.0'"), caps)
+    rec = pipeline.text_corpus_statistics(base, index.where("ver <> '18.0'"), rows.where("ver <> '18.0'"), caps, enrich)
     return rec.select(*KEYS, "has_val", "has_phon", "s_cnt", "uq_n", "w_sum", "w_med", "t_sum", "p_cnt")
 
 
