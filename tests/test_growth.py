@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from vocalstat.functions import bins
-from vocalstat.operators import speed, textcorpus
-from vocalstat.plans import pipeline
+from vocalstat.operators import seq, speed, textcorpus
+from vocalstat.plans import driver, pipeline
+from vocalstat.sources import repair
 
 
 def _speeds(spark, n=4000):
@@ -119,3 +120,40 @@ def test_only_sentences_are_stored_for_counting(spark, monkeypatch):
     assert stored["tagged"] == ["lc", "sig", "sentence"]
     assert sorted(map(str, got)) == sorted(map(str, pipeline.text_corpus_statistics(enrich(base), index, rows).collect()))
     assert {(r.alg, r.sp): (r.s_cnt, r.uq_s, r.uq_n, r.w_sum, r.t_sum) for r in got}["", ""] == (5, 4, 3, 8, 3)
+
+
+def test_numbers_are_dense_and_ordered(spark):
+    rows = [(i * 7919 % 500 if i % 9 else None, i, f"v{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, i long, v string").repartition(7)
+    got = seq.number_rows(df, ["k", "i"], "n", partitions=6)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert got.columns == ["v", "n"] and [tuple(r) for r in got.orderBy("n").collect()] == [(v, n) for n, (_, _, v) in enumerate(want)]
+
+
+def test_invalid_texts_are_not_stored(spark, monkeypatch):
+    """What decides about broken lines is stored without them, and valid lines are joined with nothing."""
+    lines = spark.createDataFrame([("f", i, v) for i, v in enumerate(
+        ["a" * 64 + "\tone", "two\td\ts\t1\t2", "b" * 64 + "\tx\td\ts\t1\t2", "junk"])], "file string, ln long, value string")
+    stored, keep = {}, repair.materialize
+    monkeypatch.setattr(repair, "materialize", lambda df, name="mat", **kw: stored.setdefault(name, df.columns) and keep(df, name, **kw))
+    rows, problems = repair.repair_lines(lines, 6, repair.SENTENCE_COLUMNS, header=False)
+    assert sorted((r.ln, r.sentence) for r in rows.collect()) == [(0, "one two"), (2, "x")]
+    assert [(r.ln, r.line) for r in problems.collect()] == [(3, "junk")]
+    assert stored["invalid"] and not any("value" in columns for columns in stored.values())
+    joins = [x for x in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    assert len(joins) == 1
+
+
+def test_rendered_documents_of_one_id_keep_their_lines(spark, tmp_path):
+    """Texts leave for their numbers once, and lines of equal ids do not mix."""
+    docs = [(1, "a\nb\nc", "en", "s", 5), (1, "d\ne\nf", "en", "s", 5), (None, "g\nh", "en", "s", 3), (0, None, "en", "s", 0), (2, "k", "de", "t", 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(3) \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    lines = driver.rendered_lines(spark, str(tmp_path))
+    got = [r.value for r in lines.orderBy("ln").collect()]
+    assert [r.ln for r in lines.orderBy("ln").collect()] == list(range(10))
+    zeros = lambda i: f"{i:064d}"
+    one, two = [f"{zeros(1)}\ta", "b", "c\ten\ts\t1\t5"], [f"{zeros(1)}\td", "e", "f\ten\ts\t1\t5"]
+    assert got in ([*["g", "h\ten\ts\t1\t3", f"{zeros(0)}\ten\ts\t1\t0"], *x, f"{zeros(2)}\tk\tde\tt\t1\t1"] for x in (one + two, two + one))
+    assert "SortMergeJoin" not in lines._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(_pid" not in lines._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]

@@ -52,3 +52,19 @@ def prefix_sum(df: DataFrame, groups: Sequence[str], order: Sequence[str], value
     ``inclusive`` includes the row itself; otherwise the sum of strictly earlier rows.
     """
     return prefix_sums(df, groups, order, [(value, out, inclusive)], partitions)
+
+
+def number_rows(df: DataFrame, order: Sequence[str], out: str, partitions: int | None = None) -> DataFrame:
+    """Rows without the ``order`` columns, numbered densely from 0 in that order (unique for a deterministic result).
+
+    The rows are moved and stored once: sorted within range partitions, a row's place is its
+    ``monotonically_increasing_id``, and a table of one offset per partition makes it a number.
+    """
+    p = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(p, *order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
+    placed = materialize(placed.drop(*order), "numbered").withColumn("_pid", F.shiftright("_mid", 33))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = offsets.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    j = placed.join(F.broadcast(offsets), "_pid")
+    return j.withColumn(out, F.col("_off") + F.col("_mid") - F.shiftleft("_pid", 33)).drop("_pid", "_mid", "_off")

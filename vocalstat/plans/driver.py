@@ -561,15 +561,15 @@ def accent_freq(spark, sf_dir):
 
 def rendered_lines(spark, sf_dir):
     """documents rendered as one TAB line each (64-char id, text, lang, source, 1, n_chars)
-    and cut at the newlines their texts contain: (file, ln, value) with dense ln."""
-    from vocalstat.operators.seq import prefix_sum
+    and cut at the newlines their texts contain: (file, ln, value) with dense ln.
+    Documents that share an id keep their lines together."""
+    from vocalstat.operators.seq import number_rows
     d = load(spark, sf_dir, "documents")
     line = F.concat_ws("\t", F.lpad(F.col("doc_id").cast("string"), 64, "0"), "text", "lang", "source", F.lit("1"),
                        F.col("n_chars").cast("string"))
-    docs = d.select(F.lit("documents").alias("file"), "doc_id", F.split(line, "\n", -1).alias("_parts"))
-    docs = prefix_sum(docs.withColumn("_n", F.size("_parts")), ["file"], ["doc_id"], "_n", out="_base", inclusive=False)
-    return docs.select("file", "_base", F.posexplode("_parts").alias("_pos", "value")) \
-        .select("file", (F.col("_base") + F.col("_pos")).alias("ln"), "value")
+    docs = d.select("doc_id", F.monotonically_increasing_id().alias("_doc"), F.split(line, "\n", -1).alias("_parts"))
+    lines = docs.select("doc_id", "_doc", F.posexplode("_parts").alias("_pos", "value"))
+    return number_rows(lines, ["doc_id", "_doc", "_pos"], "ln").select(F.lit("documents").alias("file"), "ln", "value")
 
 
 def repair_rows(spark, sf_dir):

@@ -17,14 +17,14 @@ Plan, built-in functions only:
 1. ``number_lines``: line numbers per file from the scan's file/block metadata and
    ``monotonically_increasing_id`` (block offsets from a table of block counts).
 2. Valid lines leave the scan as they are; they are neither shuffled nor stored.
-3. Invalid lines are stored once. What decides about them is narrow: whether a line
+3. What decides about invalid lines is narrow, and stored without their texts: whether a line
    has an id, its number of TABs, whether it ends in digits. Line number less running
    count names an island (a run of neighbours); running counts of ids and TABs name the
    record group in it and tell at which line a record is complete. Running sums are
    distributed (``operators.seq``), so an open record of any length is decided
    without holding it, or its group, in one task.
-4. Lines of records that are complete meet by record and are joined; every other
-   invalid line is quarantined by itself. Only a record that comes out is ever gathered.
+4. Lines of records that are complete are read again, meet by record and are joined; every
+   other invalid line is quarantined by itself. Only a record that comes out is ever gathered.
 5. Optional dedup per file: a hash aggregate on the record fields.
 """
 
@@ -160,19 +160,23 @@ def repair_lines(lines: DataFrame, ncols: int, names: Sequence[str] | None = Non
     tail = F.lit(True) if not digit_tail else size > digit_tail
     for k in range(1, digit_tail + 1):
         tail = tail & F.coalesce(F.try_element_at(arr, F.lit(-k)).rlike(r"^[0-9]+$"), F.lit(False))
-    bad = materialize(df.where(~F.col("_ok")).select(
-        "file", "ln", "value", _has_id(folded, idc, id_len).alias("_id"), (size - 1).alias("_tabs"), tail.alias("_tail"), "_idc", "_txc", "_ends"), "invalid")
-    inner, closing = _records_of(bad, good.select("file", "ln", "_ends"), ncols)
+    bad = df.where(~F.col("_ok"))
+    facts = materialize(bad.select(
+        "file", "ln", _has_id(folded, idc, id_len).alias("_id"), (size - 1).alias("_tabs"), tail.alias("_tail"), "_idc", "_txc", "_ends"), "invalid")
+    inner, closing = _records_of(facts, good.select("file", "ln", "_ends"), ncols)
     inner = materialize(inner, "record-lines")
 
     parts = bad.join(inner, ["file", "ln"]).select("file", "_rec", "ln", "value", "_txc")
-    parts = parts.unionByName(good.join(closing, ["file", "ln"]).select("file", "_rec", "ln", "value", "_txc"))
+    # a valid line closes a record only where its id comes last, right after the text; else no valid line is moved for it
+    closes = isinstance(id_col, str) or isinstance(text_col, str) or (text_col == 0 and id_col == 1)
+    if closes:
+        parts = parts.unionByName(good.join(closing, ["file", "ln"]).select("file", "_rec", "ln", "value", "_txc"))
     whole = parts.groupBy("file", "_rec").agg(F.array_sort(F.collect_list(F.struct("ln", "value"))).alias("_l"), F.max("_txc").alias("_txc"))
     text = _collapse(F.array_join(F.transform("_l", lambda x: x["value"]), " "))
     rebuilt = whole.select("file", F.col("_rec").alias("ln"), _fold(_fields(text), ncols, txc).alias("_rec"))
     problems = bad.join(inner, ["file", "ln"], "left_anti").select("file", "ln", F.col("value").alias("line"), F.lit("unrepairable").alias("reason"))
     # a valid line that closes a record of several lines is no row of its own
-    alone = good.join(closing, ["file", "ln"], "left_anti") if isinstance(id_col, str) or isinstance(text_col, str) or text_col < id_col else good
+    alone = good.join(closing, ["file", "ln"], "left_anti") if closes else good
     recs = alone.select("file", "ln", folded.alias("_rec")).unionByName(rebuilt)
     rows = recs.select("file", "ln", *[F.element_at("_rec", i + 1).alias(n) for i, n in enumerate(names)])
     if dedup:
